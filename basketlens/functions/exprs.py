@@ -73,8 +73,10 @@ def hours_between(earlier: Column, later: Column) -> Column:
 
 
 def cents_text(cents: Column) -> Column:
-    """Render an integer number of cents as ``1234.56``."""
-    return (cents.cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)").cast("string")
+    """Render a non-negative integer number of cents as ``1234.56``."""
+    c = cents.cast("bigint")
+    return F.concat(F.call_function("div", c, F.lit(100)).cast("string"), F.lit("."),
+                    F.lpad((c % 100).cast("string"), 2, "0"))
 
 
 def portable(df, doubles=()):

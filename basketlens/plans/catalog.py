@@ -11,8 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.exprs import portable
-from ..operators import metrics
+from pyspark.sql import functions as F
+
+from ..operators import metrics, monitor, quality, sales
+from ..session import scratch_path
+from ..sinks import tables as sink_tables
 from ..sources.adapters import ShopTables
+from ..sources.tables import read_csv_staging
+from . import cards
 
 # Fixed clocks of the checked queries (the fixtures' "now").
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -80,3 +86,210 @@ def _fdm(t: ShopTables) -> DataFrame:
 @register("sales_funnel", doubles=FUNNEL_COUNTS)
 def _sf(t: ShopTables) -> DataFrame:
     return metrics.sales_funnel(t.user_sessions, t.cart_items, t.carts, t.orders)
+
+
+# --- C1-C10 -------------------------------------------------------------------
+
+CLV_BINS, CLV_LO, CLV_HI = 50, 0.0, 10_000_000.0
+
+
+def _pp_of(t: ShopTables) -> DataFrame:
+    return metrics.product_performance(t.products, t.categories, t.order_items, t.orders)
+
+
+def _clv_of(t: ShopTables) -> DataFrame:
+    return metrics.customer_lifetime_value(t.users, t.orders)
+
+
+@register("card_revenue_30d")
+def _c1(t: ShopTables) -> DataFrame:
+    return cards.card_revenue_30d(t.orders, AS_OF)
+
+
+@register("card_new_customers_30d")
+def _c2(t: ShopTables) -> DataFrame:
+    return cards.card_new_customers_30d(t.users, AS_OF)
+
+
+@register("card_avg_order_value")
+def _c3(t: ShopTables) -> DataFrame:
+    return cards.card_avg_order_value(t.orders, AS_OF)
+
+
+@register("card_daily_revenue_trend")
+def _c4(t: ShopTables) -> DataFrame:
+    return cards.card_daily_revenue_trend(t.orders, AS_OF)
+
+
+@register("card_top_products", doubles=("total_quantity_sold", "current_stock"))
+def _c5(t: ShopTables) -> DataFrame:
+    return cards.card_top_products(_pp_of(t), 20)
+
+
+@register("card_low_stock", doubles=("current_stock",))
+def _c6(t: ShopTables) -> DataFrame:
+    return cards.card_low_stock(_pp_of(t))
+
+
+@register("card_category_performance")
+def _c7(t: ShopTables) -> DataFrame:
+    return cards.card_category_performance(_pp_of(t))
+
+
+@register("card_clv_values")
+def _c8(t: ShopTables) -> DataFrame:
+    return cards.card_clv_values(_clv_of(t))
+
+
+@register("card_clv_histogram")
+def _c8h(t: ShopTables) -> DataFrame:
+    return cards.clv_histogram(_clv_of(t), CLV_BINS, CLV_LO, CLV_HI)
+
+
+@register("card_customer_segments")
+def _c9(t: ShopTables) -> DataFrame:
+    return cards.card_customer_segments(_clv_of(t))
+
+
+@register("card_sales_funnel_30d", doubles=FUNNEL_COUNTS)
+def _c10(t: ShopTables) -> DataFrame:
+    return cards.card_sales_funnel_30d(
+        metrics.sales_funnel(t.user_sessions, t.cart_items, t.carts, t.orders), AS_OF)
+
+
+# --- T1-T4, K1-K3, K7 ---------------------------------------------------------
+
+RUN_DATE = dt.date(2024, 1, 30)   # the day a 02:00 run on the as_of day loads
+
+
+def _extract_of(t: ShopTables, run_date=None) -> DataFrame:
+    return sales.daily_sales_extract(t.orders, t.order_items, t.products, t.categories,
+                                     t.users, run_date)
+
+
+@register("daily_sales_extract")
+def _t1(t: ShopTables) -> DataFrame:
+    """T1 over all days (the backfill form)."""
+    return _extract_of(t)
+
+
+@register("daily_sales_extract_day")
+def _t1d(t: ShopTables) -> DataFrame:
+    """T1 for one run date, as the daily job runs it."""
+    return _extract_of(t, RUN_DATE)
+
+
+@register("daily_sales_summary")
+def _t2(t: ShopTables) -> DataFrame:
+    return sales.daily_sales_summary(_extract_of(t))
+
+
+@register("hourly_sales_summary")
+def _t3(t: ShopTables) -> DataFrame:
+    return sales.hourly_sales_summary(_extract_of(t))
+
+
+@register("pipeline_row_counts")
+def _k7(t: ShopTables) -> DataFrame:
+    extract = _extract_of(t)
+    return sales.pipeline_row_counts(extract, sales.daily_sales_summary(extract),
+                                     sales.hourly_sales_summary(extract))
+
+
+@register("daily_sales_backfill")
+def _t4(t: ShopTables) -> DataFrame:
+    """T4: run the job over all days into a fresh target under the session's
+    shared checkpoint folder, then read the loaded daily table back."""
+    target = scratch_path(t.spark, "daily_pipeline")
+    sales.run_daily_pipeline(t.spark, t, target, run_date=None)
+    return sink_tables.read_summary(t.spark, sink_tables.daily_path(target)).drop("created_at")
+
+
+@register("csv_staging_roundtrip")
+def _k3(t: ShopTables) -> DataFrame:
+    """K3 + S5: the extract written as header CSV and read back with its schema."""
+    extract = _extract_of(t)
+    path = scratch_path(t.spark, "csv_staging")
+    sink_tables.write_csv_staging(extract, path)
+    return read_csv_staging(t.spark, path, extract.schema)
+
+
+# --- Q1-Q4, R1-R3 ---------------------------------------------------------------
+
+@register("dq_freshness")
+def _q1(t: ShopTables) -> DataFrame:
+    return quality.check_data_freshness(t.orders, "created_at", 24, AS_OF)
+
+
+@register("dq_null_rates")
+def _q2(t: ShopTables) -> DataFrame:
+    return quality.check_null_rates(t.orders, ["user_id", "total_amount", "status"])
+
+
+@register("dq_orphans")
+def _q3(t: ShopTables) -> DataFrame:
+    return quality.check_referential_integrity(t.order_items, "order_id", t.orders, "id",
+                                               "order_items", "orders")
+
+
+@register("dq_all_checks")
+def _q4(t: ShopTables) -> DataFrame:
+    return quality.run_all_checks(t.all_tables(), AS_OF)
+
+
+@register("audit_unique")
+def _r1(t: ShopTables) -> DataFrame:
+    return quality.audit_unique(t.all_tables())
+
+
+@register("audit_not_null")
+def _r2(t: ShopTables) -> DataFrame:
+    return quality.audit_not_null(t.all_tables())
+
+
+@register("audit_foreign_keys")
+def _r3(t: ShopTables) -> DataFrame:
+    return quality.audit_foreign_keys(t.all_tables())
+
+
+# --- M1-M6 ------------------------------------------------------------------------
+
+def _trailing_of(t: ShopTables) -> DataFrame:
+    return monitor.trailing_average(monitor.daily_revenue(t.orders))
+
+
+def _scheduled_runs(t: ShopTables) -> DataFrame:
+    """Load times of the daily summary as the 02:00 schedule would stamp them:
+    the run for day d finishes loading at d + 1 day 02:00."""
+    daily = sales.daily_sales_summary(_extract_of(t))
+    return daily.select((F.col("order_date").cast("timestamp_ntz")
+                         + F.make_dt_interval(F.lit(1), F.lit(2))).alias("created_at"))
+
+
+@register("monitor_daily_revenue")
+def _m1(t: ShopTables) -> DataFrame:
+    return monitor.daily_revenue(t.orders)
+
+
+@register("monitor_trailing_avg")
+def _m2(t: ShopTables) -> DataFrame:
+    return _trailing_of(t)
+
+
+@register("monitor_revenue_alerts")
+def _m3(t: ShopTables) -> DataFrame:
+    return monitor.revenue_alerts(_trailing_of(t))
+
+
+@register("monitor_pipeline_health")
+def _m4(t: ShopTables) -> DataFrame:
+    return monitor.pipeline_health(_scheduled_runs(t), AS_OF)
+
+
+@register("alert_payloads")
+def _m5(t: ShopTables) -> DataFrame:
+    daily = monitor.daily_revenue(t.orders)
+    alerts = monitor.collect_alerts(
+        monitor.revenue_alerts(monitor.trailing_average(daily)),
+        monitor.pipeline_health(_scheduled_runs(t), AS_OF), AS_OF, daily=daily)
+    return monitor.alert_payloads(alerts)
