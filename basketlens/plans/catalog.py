@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ..operators import metrics, monitor, quality, sales
 from ..session import scratch_path
 from ..sinks import tables as sink_tables
+from ..sources import event_adapters
 from ..sources.adapters import ShopTables
+from ..streaming import events
 from ..sources.tables import read_csv_staging
 from . import cards
 
@@ -293,3 +295,59 @@ def _m5(t: ShopTables) -> DataFrame:
         monitor.revenue_alerts(monitor.trailing_average(daily)),
         monitor.pipeline_health(_scheduled_runs(t), AS_OF), AS_OF, daily=daily)
     return monitor.alert_payloads(alerts)
+
+
+# --- E1-E7, S2, K4, K6 ------------------------------------------------------------
+
+def _raw_stream(t: ShopTables) -> DataFrame:
+    return event_adapters.raw_stream_rows(t.spark, t.raw("events"), t.orders, t.raw("lineitem"))
+
+
+@register("event_envelopes")
+def _e123(t: ShopTables) -> DataFrame:
+    """E1-E3; JSON is compared decoded, so the key returns fields read back."""
+    env = event_adapters.envelopes(t.raw("events"), t.orders, t.raw("lineitem"))
+    return env.select("topic", "key",
+                      F.get_json_object("value", "$.event_id").alias("event_id"),
+                      F.get_json_object("value", "$.event_type").alias("event_type"),
+                      F.get_json_object("value", "$.timestamp").alias("timestamp_text"))
+
+
+@register("events_decode", doubles=("field_count",))
+def _s2(t: ShopTables) -> DataFrame:
+    decoded = events.decode(_raw_stream(t))
+    return decoded.select("topic", "key", F.col("m").isNotNull().alias("is_json"),
+                          F.when(F.col("m").isNotNull(), F.size("m")).alias("field_count"))
+
+
+@register("user_events_normalized")
+def _e4(t: ShopTables) -> DataFrame:
+    return events.normalise(_raw_stream(t), events.USER_TOPIC)
+
+
+@register("product_events_normalized")
+def _e5(t: ShopTables) -> DataFrame:
+    return events.normalise(_raw_stream(t), events.PRODUCT_TOPIC)
+
+
+@register("order_events_normalized")
+def _e6(t: ShopTables) -> DataFrame:
+    return events.normalise(_raw_stream(t), events.ORDER_TOPIC)
+
+
+@register("events_dead_letter")
+def _k6(t: ShopTables) -> DataFrame:
+    dl = events.dead_letter(_raw_stream(t))
+    return dl.select("topic", "reason",
+                     F.get_json_object("value", "$.event_id").alias("event_id"))
+
+
+@register("events_routed_counts")
+def _e7(t: ShopTables) -> DataFrame:
+    return events.routed_counts(_raw_stream(t))
+
+
+@register("event_layout")
+def _k4(t: ShopTables) -> DataFrame:
+    return events.event_layout(events.normalise(_raw_stream(t), events.USER_TOPIC),
+                               events.USER_TOPIC)
