@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.exprs import portable
 from pyspark.sql import functions as F
 
-from ..operators import metrics, monitor, quality, sales
+from ..operators import metrics, monitor, quality, sales, upkeep
 from ..session import scratch_path
 from ..sinks import tables as sink_tables
 from ..sources import event_adapters
@@ -351,3 +351,30 @@ def _e7(t: ShopTables) -> DataFrame:
 def _k4(t: ShopTables) -> DataFrame:
     return events.event_layout(events.normalise(_raw_stream(t), events.USER_TOPIC),
                                events.USER_TOPIC)
+
+
+# --- R4, R5 -------------------------------------------------------------------------
+
+ERASE_SIGNUPS_BEFORE = "2023-07-01 00:00:00"
+
+
+@register("cascade_delete")
+def _r4(t: ShopTables) -> DataFrame:
+    """Erase cancelled orders, discontinued products (stock -1) and accounts
+    that signed up before July 2023, with their cascades; report per table."""
+    before = t.all_tables()
+    requested = {
+        "orders": t.orders.filter(F.col("status") == "cancelled").select("id"),
+        "products": t.products.filter(F.col("stock_quantity") == -1).select("id"),
+        "users": t.users.filter(F.col("created_at") < F.lit(ERASE_SIGNUPS_BEFORE)
+                                .cast("timestamp_ntz")).select("id"),
+    }
+    after, blocked = upkeep.cascade_delete(before, requested)
+    return upkeep.delete_summary(before, after, blocked)
+
+
+@register("defaults_filled")
+def _r5(t: ShopTables) -> DataFrame:
+    filled = upkeep.with_defaults(t.orders, "orders")
+    return filled.select("id", "status", "tax_amount", "shipping_amount", "discount_amount",
+                         "payment_status")
