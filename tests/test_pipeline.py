@@ -49,9 +49,13 @@ def test_append_duplicates_and_overwrite_day_is_idempotent(spark, scratch):
     assert {r.order_date for r in once.select("order_date").distinct().collect()} == {day}
 
 
-def test_day_filter_reaches_the_scan(spark):
+def test_day_filter_reaches_the_scan(spark, scratch, capsys):
+    """On a stored orders table, DATE(created_at) = d becomes a pushed range."""
     t = ShopTables(spark, SF)
-    ex = sales.daily_sales_extract(t.orders, t.order_items, t.products, t.categories, t.users,
-                                   dt.date(2024, 1, 30))
-    plan = ex._jdf.queryExecution().executedPlan().toString()
-    assert "o_orderdate" in plan and "DataFilters" in plan or "PushedFilters" in plan
+    t.orders.write.parquet(f"{scratch}/orders")
+    stored = spark.read.parquet(f"{scratch}/orders")
+    stored.filter(sales.day_filter("created_at", dt.date(2024, 1, 30))).explain("formatted")
+    plan = capsys.readouterr().out
+    scan = plan[plan.index("Scan parquet"):]
+    pushed = scan[scan.index("PushedFilters"):].splitlines()[0]
+    assert "created_at" in pushed and "GreaterThanOrEqual" in pushed and "LessThan" in pushed
