@@ -79,6 +79,19 @@ def cents_text(cents: Column) -> Column:
                     F.lpad((c % 100).cast("string"), 2, "0"))
 
 
+def literal_rows(spark, rows, schema):
+    """A small literal table built on the JVM (``inline`` over one row), so
+    reading it needs no Python worker and no parallelized RDD."""
+    from pyspark.sql import types as T
+
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(
+        *[F.col(f.name) for f in schema.fields])
+
+
 def portable(df, doubles=()):
     """Export types for cross-engine checks: integers -> bigint, decimals and
     floats -> double, dates -> midnight timestamp_ntz. DuckDB hands DECIMAL and

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.exprs import ntz
+from ..functions.exprs import literal_rows, ntz
 from .tables import read_table
 
 # Fixed values of the fixture rules.
@@ -54,7 +54,7 @@ def users(customer: DataFrame) -> DataFrame:
 
 def categories(spark: SparkSession) -> DataFrame:
     """A six-row literal table; joins against it broadcast a bounded side."""
-    return spark.createDataFrame(CATEGORY_ROWS, schemas.CATEGORIES)
+    return literal_rows(spark, CATEGORY_ROWS, schemas.CATEGORIES)
 
 
 def products(part: DataFrame, cats: DataFrame) -> DataFrame:

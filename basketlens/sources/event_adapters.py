@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.exprs import literal_rows
 from ..streaming import events as ev
 
 PRODUCT_TYPES = {"view": "view", "click": "add_to_cart", "purchase": "purchase"}
@@ -110,7 +111,7 @@ def envelopes(events: DataFrame, shop_orders: DataFrame, lineitem: DataFrame) ->
 
 def bad_messages(spark: SparkSession) -> DataFrame:
     rows = [(t, k, v) for t, k, v, _ in BAD_MESSAGES]
-    df = spark.createDataFrame(rows, "topic string, key string, value string")
+    df = literal_rows(spark, rows, "topic string, key string, value string")
     return df.withColumn("timestamp", F.lit(BAD_MESSAGE_TIME).cast("timestamp_ntz"))
 
 
