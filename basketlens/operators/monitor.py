@@ -136,16 +136,40 @@ def missing_input_alerts(df: DataFrame, title: str, message: str, as_of=None) ->
                     as_of_ts(as_of).alias("alert_time")))
 
 
+def monitoring_error_alert(spark, message: str, as_of=None) -> DataFrame:
+    """M6: the check itself could not run (its input is missing)."""
+    return spark.range(1).select(F.lit(TITLE_MONITORING_ERROR).alias("alert_title"),
+                                 F.lit(f"Failed to check pipeline health: {message}")
+                                 .alias("message"),
+                                 F.lit(SEVERITY_WARNING).alias("severity"),
+                                 as_of_ts(as_of).alias("alert_time"))
+
+
+def pipeline_health_or_error(spark, runs: DataFrame | None, as_of=None) -> DataFrame:
+    """M4 when the run log is available, else the M6 error alert, both as
+    alert rows (title, message, severity, alert_time)."""
+    if runs is None or "created_at" not in runs.columns:
+        return monitoring_error_alert(spark, "no pipeline run log with created_at", as_of)
+    health = pipeline_health(runs, as_of)
+    return (health.filter(F.col("alert_title").isNotNull())
+            .select("alert_title", "message", F.col("status").alias("severity"),
+                    as_of_ts(as_of).alias("alert_time")))
+
+
 def collect_alerts(revenue: DataFrame, health: DataFrame, as_of=None,
                    daily: DataFrame | None = None) -> DataFrame:
-    """All alert rows (title, message, severity, alert_time) of one check run."""
+    """All alert rows (title, message, severity, alert_time) of one check run.
+    ``health`` is either M4's frame or already alert rows (M4 / M6)."""
     now = as_of_ts(as_of)
     rev = (revenue.filter(F.col("alert_title").isNotNull())
            .select("alert_title", "message", F.col("status").alias("severity"),
                    now.alias("alert_time")))
-    hl = (health.filter(F.col("alert_title").isNotNull())
-          .select("alert_title", "message", F.col("status").alias("severity"),
-                  now.alias("alert_time")))
+    if "severity" in health.columns:
+        hl = health.select(*ALERT_COLUMNS)
+    else:
+        hl = (health.filter(F.col("alert_title").isNotNull())
+              .select("alert_title", "message", F.col("status").alias("severity"),
+                      now.alias("alert_time")))
     out = rev.unionByName(hl)
     if daily is not None:
         out = out.unionByName(missing_input_alerts(

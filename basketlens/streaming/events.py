@@ -67,6 +67,13 @@ def _json_or(col: str, default_json: str, df: DataFrame) -> Column:
     return F.parse_json(F.lit(default_json))
 
 
+def _event_id(df: DataFrame) -> Column:
+    """The input's id when it has one, else a random UUID (uuid4)."""
+    if "event_id" in df.columns:
+        return F.col("event_id").cast("string")
+    return F.expr("uuid()")
+
+
 def _opt(df: DataFrame, name: str, type_name: str = "string") -> Column:
     return F.col(name).cast(type_name) if name in df.columns else F.lit(None).cast(type_name)
 
@@ -74,7 +81,7 @@ def _opt(df: DataFrame, name: str, type_name: str = "string") -> Column:
 def user_event_envelopes(df: DataFrame) -> DataFrame:
     """E1. ``df``: event_id, timestamp, user_id, event_type, page and optional
     session_id, user_agent, ip_address, metadata (JSON text)."""
-    fields = [("event_id", F.col("event_id").cast("string")),
+    fields = [("event_id", _event_id(df)),
               ("timestamp", iso_text(F.col("timestamp"))),
               ("user_id", F.col("user_id").cast("string")),
               ("event_type", F.col("event_type")),
@@ -91,7 +98,7 @@ def product_event_envelopes(df: DataFrame, omit_quantity: Column | None = None)
     """E2 (quantity defaults to 1 when the column is absent). ``omit_quantity``
     marks rows whose message leaves the quantity key out altogether."""
     qty = F.col("quantity").cast("int") if "quantity" in df.columns else F.lit(1)
-    base = [("event_id", F.col("event_id").cast("string")),
+    base = [("event_id", _event_id(df)),
             ("timestamp", iso_text(F.col("timestamp"))),
             ("product_id", F.col("product_id").cast("string")),
             ("event_type", F.col("event_type")),
@@ -114,7 +121,7 @@ def product_event_envelopes(df: DataFrame, omit_quantity: Column | None = None)
 def order_event_envelopes(df: DataFrame) -> DataFrame:
     """E3. ``items`` is an array of structs (or absent -> [])."""
     items = F.col("items") if "items" in df.columns else F.array()
-    fields = [("event_id", F.col("event_id").cast("string")),
+    fields = [("event_id", _event_id(df)),
               ("timestamp", iso_text(F.col("timestamp"))),
               ("order_id", F.col("order_id").cast("string")),
               ("event_type", F.col("event_type")),

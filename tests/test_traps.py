@@ -221,3 +221,23 @@ def test_defaults_fill_only_absent_columns(spark):
     out = upkeep.with_defaults(df, "orders").first()
     assert out.status is None                       # explicit NULL stays
     assert out.payment_status == "pending" and out.discount_amount == D("0.00")
+
+
+def test_monitoring_error_when_run_log_is_missing(spark):
+    rows = monitor.pipeline_health_or_error(spark, None, T(2024, 1, 31)).collect()
+    assert [(r.alert_title, r.severity) for r in rows] == [("Monitoring Error", "warning")]
+    runs = spark.createDataFrame([(T(2024, 1, 1),)], "created_at timestamp_ntz")
+    late = monitor.pipeline_health_or_error(spark, runs, T(2024, 1, 31)).collect()
+    assert [r.alert_title for r in late] == ["Pipeline Failure"]
+
+
+def test_envelope_gets_a_uuid_when_input_has_no_id(spark):
+    from basketlens.streaming import events
+
+    df = spark.createDataFrame([(T(2024, 1, 1), "7", "signup", "/")],
+                               "timestamp timestamp_ntz, user_id string, event_type string, "
+                               "page string")
+    env = events.user_event_envelopes(df)
+    back = events.normalise(env.withColumn("timestamp", F.lit(None).cast("timestamp_ntz")),
+                            events.USER_TOPIC).first()
+    assert len(back.event_id) == 36 and back.user_id == "7" and back.metadata == "{}"
