@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import ensure_checkpoint_dir
 
 # Parents are settled in this order, so that every table whose rows can block a
 # parent (through a non-cascading key) has already lost its own deleted rows.
@@ -23,6 +24,14 @@ def _fk_children(parent: str, tables: dict[str, DataFrame], cascade: bool):
         yield child, col, pcol
 
 
+def _settle(ids: DataFrame) -> DataFrame:
+    """Materialise an id set in the shared checkpoint folder: later semi / anti
+    joins read it back instead of re-running the joins that produced it, and
+    a lost executor does not send the job back to the start."""
+    ensure_checkpoint_dir(ids.sparkSession)
+    return ids.checkpoint(eager=True)
+
+
 def _remove(tables: dict[str, DataFrame], table: str, ids: DataFrame, key: str,
             removed: dict[str, DataFrame]) -> None:
     """Drop rows of ``table`` whose ``key`` is in ``ids`` and cascade on."""
@@ -32,8 +41,11 @@ def _remove(tables: dict[str, DataFrame], table: str, ids: DataFrame, key: str,
     removed[table] = gone if table not in removed else removed[table].unionByName(gone)
     if "id" not in df.columns:
         return
-    gone_ids = gone.select(F.col("id").alias("_id"))
-    for child, col, _pcol in _fk_children(table, tables, cascade=True):
+    children = list(_fk_children(table, tables, cascade=True))
+    if not children:
+        return
+    gone_ids = _settle(gone.select(F.col("id").alias("_id")))
+    for child, col, _pcol in children:
         _remove(tables, child, gone_ids, col, removed)
 
 
@@ -67,7 +79,7 @@ def cascade_delete(tables: dict[str, DataFrame],
             blocked_parts.append(blocked.select(F.lit(table).alias("table_name"),
                                                 F.col("_id").alias("id")))
             ids = ids.join(blocked, "_id", "left_anti")
-        _remove(tables, table, ids, "id", removed)
+        _remove(tables, table, _settle(ids), "id", removed)
     if blocked_parts:
         blocked_all = blocked_parts[0]
         for part in blocked_parts[1:]:
