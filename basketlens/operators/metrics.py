@@ -66,18 +66,27 @@ def customer_lifetime_value(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+# NULL order ids are spread over this many shuffle keys (see below).
+NULL_KEY_SPREAD = 1024
+
+
 def _items_with_status(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """order_items LEFT JOIN orders, giving each item its order's status.
 
-    Items with a NULL order id can never match, so they skip the join: with a
-    hash shuffle they would all land in one task, whatever their number.
+    A plain hash shuffle would send every item with a NULL order id to one
+    task, however many there are. The join key is therefore the struct
+    (order_id IS NULL, coalesce(order_id, salt)): an order's key is (false,
+    id), so a NULL key still never matches, and the salt (a hash of the row,
+    deterministic so a retried task reshuffles identically) spreads those rows
+    over NULL_KEY_SPREAD keys. One scan of the items, no skewed task.
     """
-    o = orders.select(F.col("id").alias("_oid"), F.col("status"))
-    keyed = order_items.filter(F.col("order_id").isNotNull())
-    matched = keyed.join(o, keyed["order_id"] == o["_oid"], "left").drop("_oid")
-    unkeyed = (order_items.filter(F.col("order_id").isNull())
-               .withColumn("status", F.lit(None).cast("string")))
-    return matched.unionByName(unkeyed)
+    salt = F.pmod(F.xxhash64("product_id", "quantity", "price"), F.lit(NULL_KEY_SPREAD))
+    items = order_items.withColumn(
+        "_jk", F.struct(F.col("order_id").isNull().alias("n"),
+                        F.coalesce(F.col("order_id"), salt).alias("k")))
+    o = orders.select(F.struct(F.lit(False).alias("n"), F.col("id").alias("k")).alias("_jk"),
+                      "status")
+    return items.join(o, "_jk", "left").drop("_jk")
 
 
 def stock_status(stock: F.Column) -> F.Column:

@@ -93,8 +93,39 @@ def start_ingest(raw: DataFrame, out_dir: str, checkpoint_root: str,
     return started
 
 
+def start_topic_ingest(read_topic, out_dir: str, checkpoint_root: str,
+                       available_now: bool = False,
+                       processing_time: str | None = None) -> dict[str, StreamingQuery]:
+    """Per-topic variant of ``start_ingest`` for a broker source.
+
+    ``read_topic(topic)`` returns the raw stream of one topic (for Kafka,
+    ``read_kafka_stream(spark, kafka_source_options(servers, [topic]))``). Each
+    topic gets two queries, its table and its dead-letter folder
+    ``dead_letter_<topic>``, so every message is read twice instead of once
+    per destination table.
+    """
+    out_dir = out_dir.rstrip("/")
+    checkpoint_root = checkpoint_root.rstrip("/")
+    started: dict[str, StreamingQuery] = {}
+    for topic in events.TOPIC_NAMES:
+        raw = read_topic(topic)
+        plans = {topic: events.normalise(raw, topic),
+                 f"{DEAD_LETTER}_{topic}": events.dead_letter(raw)}
+        for name, plan in plans.items():
+            writer = (plan.writeStream.format("parquet").outputMode("append")
+                      .option("path", f"{out_dir}/{name}")
+                      .option("checkpointLocation", f"{checkpoint_root}/{name}")
+                      .queryName(f"ingest_{name}"))
+            if available_now:
+                writer = writer.trigger(availableNow=True)
+            elif processing_time is not None:
+                writer = writer.trigger(processingTime=processing_time)
+            started[name] = writer.start()
+    return started
+
+
 def read_landed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    schema = schemas.DEAD_LETTER if name == DEAD_LETTER else schemas.TOPICS[name][1]
+    schema = schemas.DEAD_LETTER if name.startswith(DEAD_LETTER) else schemas.TOPICS[name][1]
     return spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{name}")
 
 

@@ -108,3 +108,22 @@ def test_compaction_sorts_and_partitions_by_day(spark, scratch):
     ingest.compact_events(spark, landed, f"{scratch}/tables", events.USER_TOPIC,
                           day=dt.date(2024, 1, 1))
     assert spark.read.parquet(f"{scratch}/tables/user_events").count() == 6   # idempotent
+
+
+def test_per_topic_ingest_matches_single_source_ingest(spark, scratch):
+    t = ShopTables(spark, SF)
+    raw = event_adapters.raw_stream_rows(spark, t.raw("events"), t.orders, t.raw("lineitem"))
+    landing, out, ckpt = f"{scratch}/landing", f"{scratch}/out", f"{scratch}/ckpt"
+    _write_batch(spark, raw, landing)
+
+    def read_topic(topic):
+        return ingest.read_file_stream(spark, landing).filter(F.col("topic") == topic)
+
+    for q in ingest.start_topic_ingest(read_topic, out, ckpt, available_now=True).values():
+        q.awaitTermination()
+    for topic in events.TOPIC_NAMES:
+        assert (ingest.read_landed(spark, out, topic).count()
+                == events.normalise(raw, topic).count())
+    dead = sum(ingest.read_landed(spark, out, f"{ingest.DEAD_LETTER}_{topic}").count()
+               for topic in events.TOPIC_NAMES)
+    assert dead == events.dead_letter(raw).count()
