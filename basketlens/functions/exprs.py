@@ -20,6 +20,25 @@ def ntz(value: _dt.datetime | _dt.date | str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def iso_text(ts: Column) -> Column:
+    """Python ``datetime.isoformat()`` of a TIMESTAMP_NTZ: ``T`` separator,
+    six fraction digits only when the microseconds are non-zero.
+
+    Built from ``cast(ts AS STRING)``, which is zone-free for NTZ values;
+    ``date_format`` would first cast to the zoned type and shift local times
+    that fall into a daylight-saving gap of the session zone."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    base = F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+    frac = F.substring(text, 21, 6)
+    return F.when(F.length(frac) == 0, base).otherwise(
+        F.concat(base, F.lit("."), F.rpad(frac, 6, "0")))
+
+
+def trunc_second(ts: Column) -> Column:
+    """TIMESTAMP_NTZ truncated to the whole second, without a zone round trip."""
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19).cast("timestamp_ntz")
+
+
 def date_lit(value: _dt.date | str) -> Column:
     text = value.isoformat() if isinstance(value, _dt.date) else str(value)
     return F.lit(text[:10]).cast("date")

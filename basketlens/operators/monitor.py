@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import as_of_ts, cents_text, hours_between, int_div
+from ..functions.exprs import as_of_ts, cents_text, hours_between, int_div, iso_text
 
 TRAILING_DAYS = 30
 LOW_FACTOR = 0.5
@@ -120,13 +120,6 @@ def pipeline_health(runs: DataFrame, as_of=None,
         F.when(stale, F.lit(MESSAGE_PIPELINE)).alias("message"))
 
 
-def _iso_text(ts: F.Column) -> F.Column:
-    """Python ``datetime.isoformat()``: microseconds only when non-zero."""
-    return F.when(F.date_format(ts, "SSSSSS") == "000000",
-                  F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) \
-            .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-
-
 def missing_input_alerts(df: DataFrame, title: str, message: str, as_of=None) -> DataFrame:
     """M6: one warning alert when a check's input has no rows (the
     reference's except-branch alerts); no row otherwise."""
@@ -187,7 +180,7 @@ def alert_payloads(alerts: DataFrame) -> DataFrame:
                  F.lit(False).alias("short")),
         F.struct(F.lit("Severity").alias("title"), F.upper(sev).alias("value"),
                  F.lit(True).alias("short")),
-        F.struct(F.lit("Time").alias("title"), _iso_text(F.col("alert_time")).alias("value"),
+        F.struct(F.lit("Time").alias("title"), iso_text(F.col("alert_time")).alias("value"),
                  F.lit(True).alias("short")))
     body = F.struct(
         F.concat(F.lit(ALERT_PREFIX), F.col("alert_title")).alias("text"),

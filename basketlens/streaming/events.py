@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.exprs import iso_text, trunc_second
 
 USER_TOPIC = "user_events"
 PRODUCT_TOPIC = "product_events"
@@ -43,13 +44,6 @@ JSON_DEFAULTS = {"metadata": "{}", "items": "[]"}
 
 # --- envelopes (producer side) ----------------------------------------------------
 
-def iso_text(ts: Column) -> Column:
-    """``datetime.isoformat()``: microseconds only when non-zero."""
-    return (F.when(F.date_format(ts, "SSSSSS") == "000000",
-                   F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-             .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")))
-
-
 def envelope(df: DataFrame, topic: str, key: str, fields: list[tuple[str, Column]]) -> DataFrame:
     """(topic, key, value): the value is the JSON object of ``fields`` in order,
     NULLs kept (the producer always writes every key); an empty key becomes a
@@ -158,9 +152,7 @@ def _get(key: str) -> Column:
 
 def _ts(key: str = "timestamp") -> Column:
     """ISO text -> TIMESTAMP_NTZ truncated to the second (a DateTime column)."""
-    parsed = F.expr(f"try_cast(m['{key}'] AS TIMESTAMP_NTZ)")
-    # Format-and-parse keeps the value zone-free (date_trunc returns the zoned type).
-    return F.to_timestamp_ntz(F.date_format(parsed, "yyyy-MM-dd HH:mm:ss"))
+    return trunc_second(F.expr(f"try_cast(m['{key}'] AS TIMESTAMP_NTZ)"))
 
 
 def _nested(key: str) -> Column:

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from basketlens import schemas
+from basketlens.functions.exprs import iso_text, trunc_second
 from basketlens.sources import event_adapters
 from basketlens.sources.adapters import ShopTables
 from basketlens.streaming import events, ingest
@@ -20,8 +21,7 @@ def test_round_trip_returns_input_rows_to_the_second(spark):
         "timestamp", F.lit(None).cast("timestamp_ntz"))
     back = events.normalise(raw, events.USER_TOPIC)
     want = users.select(F.col("event_id").cast("string").alias("event_id"),
-                        F.to_timestamp_ntz(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
-                        .alias("timestamp"),
+                        trunc_second(F.col("timestamp")).alias("timestamp"),
                         F.col("user_id").cast("string").alias("user_id"), "event_type", "page")
     got = back.select("event_id", "timestamp", "user_id", "event_type", "page")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -127,3 +127,18 @@ def test_per_topic_ingest_matches_single_source_ingest(spark, scratch):
     dead = sum(ingest.read_landed(spark, out, f"{ingest.DEAD_LETTER}_{topic}").count()
                for topic in events.TOPIC_NAMES)
     assert dead == events.dead_letter(raw).count()
+
+
+def test_iso_text_and_truncation_ignore_the_session_zone(spark):
+    """A local time inside a daylight-saving gap must not move."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2020-03-08 02:30:00",), ("2024-01-01 00:00:07.5",)],
+                                   "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        got = [(r.i, r.s) for r in df.select(iso_text(F.col("t")).alias("i"),
+                                               trunc_second(F.col("t")).alias("s")).collect()]
+        assert got == [("2020-03-08T02:30:00", dt.datetime(2020, 3, 8, 2, 30)),
+                       ("2024-01-01T00:00:07.500000", dt.datetime(2024, 1, 1, 0, 0, 7))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
