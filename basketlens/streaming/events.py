@@ -24,14 +24,6 @@ PRODUCT_TOPIC = "product_events"
 ORDER_TOPIC = "order_events"
 TOPIC_NAMES = [USER_TOPIC, PRODUCT_TOPIC, ORDER_TOPIC]
 
-# Field order of each envelope (fixed values: the producer's dict order).
-USER_FIELDS = ["event_id", "timestamp", "user_id", "event_type", "page", "session_id",
-               "user_agent", "ip_address", "metadata"]
-PRODUCT_FIELDS = ["event_id", "timestamp", "product_id", "event_type", "user_id", "quantity",
-                  "price", "category_id", "metadata"]
-ORDER_FIELDS = ["event_id", "timestamp", "order_id", "event_type", "user_id", "total_amount",
-                "items", "payment_method", "metadata"]
-
 # Required fields per topic (a missing or NULL one rejects the message), and
 # optional ones with the default used when the key is absent.
 REQUIRED = {
