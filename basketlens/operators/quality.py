@@ -16,6 +16,20 @@ from ..functions.exprs import as_of_ts, hours_between, ratio
 LONG_FORM = ["check_name", "table_name", "column_name", "metric", "value"]
 
 
+def _freshness_aggs(timestamp_col: str, max_age_hours: int, now: F.Column) -> list:
+    ts = F.col(timestamp_col)
+    cutoff = now - F.make_dt_interval(F.lit(0), F.lit(max_age_hours))
+    return [F.max(ts).alias("latest_record"),
+            F.count(F.lit(1)).alias("total_records"),
+            F.count_if(ts > cutoff).alias("recent_records")]
+
+
+def _freshness_columns(max_age_hours: int, now: F.Column) -> list:
+    age = hours_between(F.col("latest_record"), now)
+    return [age.alias("age_hours"),
+            F.coalesce(age <= F.lit(float(max_age_hours)), F.lit(False)).alias("is_fresh")]
+
+
 def check_data_freshness(df: DataFrame, timestamp_col: str, max_age_hours: int = 24,
                          as_of=None) -> DataFrame:
     """Q1: latest_record, age_hours, is_fresh (age <= max), total_records,
@@ -25,19 +39,9 @@ def check_data_freshness(df: DataFrame, timestamp_col: str, max_age_hours: int =
     ``as_of``. An empty table gives NULL age and ``is_fresh = false``.
     """
     now = as_of_ts(as_of)
-    ts = F.col(timestamp_col)
-    cutoff = now - F.make_dt_interval(F.lit(0), F.lit(max_age_hours))
-    agg = df.agg(F.max(ts).alias("latest_record"),
-                 F.count(F.lit(1)).alias("total_records"),
-                 F.count_if(ts > cutoff).alias("recent_records"))
-    age = hours_between(F.col("latest_record"), now)
-    return agg.select(
-        "latest_record",
-        age.alias("age_hours"),
-        F.coalesce(age <= F.lit(float(max_age_hours)), F.lit(False)).alias("is_fresh"),
-        "total_records",
-        "recent_records",
-    )
+    agg = df.agg(*_freshness_aggs(timestamp_col, max_age_hours, now))
+    return agg.select("latest_record", *_freshness_columns(max_age_hours, now),
+                      "total_records", "recent_records")
 
 
 def check_null_rates(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -89,29 +93,52 @@ INTEGRITY_CHECKS = [("products", "category_id", "categories", "id"),
                     ("order_items", "order_id", "orders", "id")]
 
 
+def _long_multi(df: DataFrame, table: str,
+                items: list[tuple[str, str | None, str]]) -> DataFrame:
+    """Unpivot a one-row aggregate into (check, table, column, metric, value)
+    rows, one per (check, column, metric) item, with a single explode."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(check).alias("check_name"),
+                 F.lit(column).cast("string").alias("column_name"),
+                 F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+        for check, column, m in items])).alias("m"))
+    return stacked.select(F.col("m.check_name").alias("check_name"),
+                          F.lit(table).alias("table_name"),
+                          F.col("m.column_name").alias("column_name"),
+                          F.col("m.metric").alias("metric"), F.col("m.value").alias("value"))
+
+
 def _long(df: DataFrame, check: str, table: str, column: str | None,
           metrics: list[str]) -> DataFrame:
     """Unpivot one check's single row into (check, table, column, metric, value)."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-        for m in metrics])).alias("m"))
-    return stacked.select(F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
-                          F.lit(column).cast("string").alias("column_name"),
-                          F.col("m.metric").alias("metric"), F.col("m.value").alias("value"))
+    return _long_multi(df, table, [(check, column, m) for m in metrics])
 
 
 def run_all_checks(tables: dict[str, DataFrame], as_of=None) -> DataFrame:
     """Q4: three freshness, three null-rate and three integrity checks as one
-    long-form frame (check_name, table_name, column_name, metric, value)."""
+    long-form frame (check_name, table_name, column_name, metric, value).
+
+    A table's freshness and null-rate metrics come from one aggregate pass
+    over it, so users, orders and products are each read once for both."""
+    now = as_of_ts(as_of)
+    null_cols = dict(NULL_RATE_CHECKS)
     parts: list[DataFrame] = []
     for table, col in FRESHNESS_CHECKS:
-        fresh = check_data_freshness(tables[table], col, 24, as_of)
-        parts.append(_long(fresh, "freshness", table, col,
-                           ["age_hours", "is_fresh", "total_records", "recent_records"]))
+        cols = null_cols.get(table, [])
+        n = F.count(F.lit(1))
+        rates = [ratio(F.count_if(F.col(c).isNull()), n).alias(f"{c}_null_rate") for c in cols]
+        one = tables[table].agg(*_freshness_aggs(col, 24, now), *rates)
+        one = one.select("*", *_freshness_columns(24, now))
+        items = [("freshness", col, m)
+                 for m in ["age_hours", "is_fresh", "total_records", "recent_records"]]
+        if cols:
+            items += [("null_rates", None, m)
+                      for m in ["total_records"] + [f"{c}_null_rate" for c in cols]]
+        parts.append(_long_multi(one, table, items))
     for table, cols in NULL_RATE_CHECKS:
-        rates = check_null_rates(tables[table], cols)
-        parts.append(_long(rates, "null_rates", table, None,
-                           ["total_records"] + [f"{c}_null_rate" for c in cols]))
+        if table not in dict(FRESHNESS_CHECKS):
+            parts.append(_long(check_null_rates(tables[table], cols), "null_rates", table, None,
+                               ["total_records"] + [f"{c}_null_rate" for c in cols]))
     for child, col, parent, pcol in INTEGRITY_CHECKS:
         ri = check_referential_integrity(tables[child], col, tables[parent], pcol, child, parent)
         parts.append(_long(ri, "referential_integrity", child, col,
