@@ -241,3 +241,12 @@ def test_envelope_gets_a_uuid_when_input_has_no_id(spark):
     back = events.normalise(env.withColumn("timestamp", F.lit(None).cast("timestamp_ntz")),
                             events.USER_TOPIC).first()
     assert len(back.event_id) == 36 and back.user_id == "7" and back.metadata == "{}"
+
+
+def test_funnel_order_metrics_absent_not_zero(spark):
+    orders = orders_df(spark, [(1, 7, "pending", "1.00", T(2024, 1, 3)),
+                               (2, 8, "cancelled", "1.00", T(2024, 1, 4)),
+                               (3, 9, None, "1.00", T(2024, 1, 5))])
+    rows = {(r.metric_date, r.metric_type): r.metric_value
+            for r in metrics.funnel_order_metrics(orders).collect()}
+    assert rows == {(dt.date(2024, 1, 4), "checkouts_started"): 1}
