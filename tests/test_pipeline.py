@@ -59,3 +59,20 @@ def test_day_filter_reaches_the_scan(spark, scratch, capsys):
     scan = plan[plan.index("Scan parquet"):]
     pushed = scan[scan.index("PushedFilters"):].splitlines()[0]
     assert "created_at" in pushed and "GreaterThanOrEqual" in pushed and "LessThan" in pushed
+
+
+def test_csv_staging_keeps_types_and_an_na_category(spark, scratch):
+    """Unlike an inferred re-read, the staged CSV comes back with its schema:
+    decimals stay decimal and a category named NA is not read as missing."""
+    from decimal import Decimal
+
+    from basketlens.sources.tables import read_csv_staging
+
+    df = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "NA", Decimal("10.50"), 3), (dt.date(2024, 1, 2), None,
+                                                           Decimal("0.00"), 4)],
+        "order_date date, category_name string, total_amount decimal(10,2), order_hour int")
+    sinks.write_csv_staging(df, f"{scratch}/csv")
+    back = read_csv_staging(spark, f"{scratch}/csv", df.schema)
+    assert back.schema == df.schema
+    assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)

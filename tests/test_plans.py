@@ -33,3 +33,14 @@ def test_clv_reads_only_needed_columns(spark, capsys):
 def test_top_products_is_a_top_k_not_a_full_sort(spark, capsys):
     plan = _plan(entry.queries()["card_top_products"](spark, SF), capsys)
     assert "TakeOrderedAndProject" in plan
+
+
+def test_null_order_ids_are_spread_not_piled(spark, capsys):
+    """V2's item/order join shuffles on the struct key, not the raw order id."""
+    plan = _plan(entry.queries()["product_performance"](spark, SF), capsys)
+    assert "_jk" in plan
+
+
+def test_summary_uses_no_expand(spark, capsys):
+    plan = _plan(entry.queries()["daily_sales_summary"](spark, SF), capsys)
+    assert "Expand" not in plan
