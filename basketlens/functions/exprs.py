@@ -104,7 +104,7 @@ def literal_rows(spark, rows, schema):
     from pyspark.sql import types as T
 
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
                           for v, f in zip(row, schema.fields)]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs))).select(
