@@ -18,7 +18,7 @@ from ..sinks import tables as sink_tables
 from ..sources import event_adapters
 from ..sources.adapters import ShopTables
 from ..sources.tables import read_csv_staging
-from ..streaming import events
+from ..streaming import events, ingest
 from . import cards
 
 # Fixed clocks of the checked queries (the fixtures' "now").
@@ -377,3 +377,22 @@ def _r5(t: ShopTables) -> DataFrame:
     filled = upkeep.with_defaults(t.orders, "orders")
     return filled.select("id", "status", "tax_amount", "shipping_amount", "discount_amount",
                          "payment_status")
+
+
+@register("events_ingest_stream")
+def _e7_stream(t: ShopTables) -> DataFrame:
+    """E7 end to end: the raw stream lands as files under the shared
+    checkpoint folder, the four Structured Streaming ingest queries run with
+    ``availableNow``, and the rows each sink stored are counted."""
+    base = scratch_path(t.spark, "ingest")
+    _raw_stream(t).write.parquet(f"{base}/landing")
+    stream = ingest.read_file_stream(t.spark, f"{base}/landing")
+    for query in ingest.start_ingest(stream, f"{base}/out", f"{base}/ckpt",
+                                     available_now=True).values():
+        query.awaitTermination()
+    stored = None
+    for name in events.TOPIC_NAMES + [ingest.DEAD_LETTER]:
+        part = ingest.read_landed(t.spark, f"{base}/out", name).select(
+            F.lit(name).alias("destination"))
+        stored = part if stored is None else stored.unionByName(part)
+    return stored.groupBy("destination").agg(F.count(F.lit(1)).alias("rows"))

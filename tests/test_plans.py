@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 # These two write tables when called (the daily load and the CSV staging).
-EAGER = {"daily_sales_backfill", "csv_staging_roundtrip"}
+EAGER = {"daily_sales_backfill", "csv_staging_roundtrip", "events_ingest_stream"}
 
 
 def _plan(df, capsys) -> str:

@@ -19,7 +19,8 @@ sys.path.insert(0, ROOT)
 import __spark_entry__ as entry  # noqa: E402
 from basketlens.session import build_session  # noqa: E402
 
-EAGER = {"daily_sales_backfill", "csv_staging_roundtrip"}   # these write when called
+EAGER = {"daily_sales_backfill", "csv_staging_roundtrip",
+         "events_ingest_stream"}   # these write when called
 
 
 def shape(plan: str) -> dict[str, int]:
