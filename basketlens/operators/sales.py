@@ -56,9 +56,12 @@ def daily_sales_extract(orders: DataFrame, order_items: DataFrame, products: Dat
                          "category_id")
          .join(F.broadcast(cats), F.col("category_id") == F.col("_cid"), "inner"))
     u = users.select(F.col("id").alias("_uid"), F.col("email").alias("customer_email"))
-    joined = (o.join(oi, "order_id", "inner")
-               .join(p, F.col("product_id") == F.col("_pid"), "inner")
-               .join(u, F.col("user_id") == F.col("_uid"), "inner"))
+    # Inner joins commute; the written order is the executed one (no CBO). Users
+    # meet orders while the rows are still one per order, so only two joins
+    # shuffle item-level rows (by order id, then by product id).
+    joined = (o.join(u, F.col("user_id") == F.col("_uid"), "inner")
+               .join(oi, "order_id", "inner")
+               .join(p, F.col("product_id") == F.col("_pid"), "inner"))
     return joined.select(
         F.to_date("_created_at").alias("order_date"),
         "order_id", "user_id", "status", "total_amount", "subtotal", "tax_amount",
