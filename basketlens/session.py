@@ -28,17 +28,30 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The driver-side SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect has no driver-side context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if current:
         return current
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return sc.getConf().get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -50,10 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     current = checkpoint_dir(spark)
     if current:
         return current
+    sc = _context(spark)
+    if sc is None:
+        raise ValueError("set spark.checkpoint.dir to a shared folder on the cluster")
     path = fallback or tempfile.mkdtemp(prefix="basketlens-ckpt-")
     os.makedirs(path, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
