@@ -60,8 +60,9 @@ def _duck(users, orders, products, items, cats):
     con.execute("CREATE TABLE shop_users AS SELECT id::BIGINT id, email, first_name, last_name, "
                 "created_at::TIMESTAMP created_at FROM u")
     con.execute("CREATE TABLE shop_orders AS SELECT id::BIGINT id, user_id::BIGINT user_id, "
-                "status, total_amount::DECIMAL(10,2) total_amount, created_at::TIMESTAMP "
-                "created_at FROM o")
+                "status, total_amount::DECIMAL(10,2) total_amount, "
+                "total_amount::DECIMAL(10,2) subtotal, 0::DECIMAL(10,2) tax_amount, "
+                "0::DECIMAL(10,2) shipping_amount, created_at::TIMESTAMP created_at FROM o")
     con.execute("CREATE TABLE shop_products AS SELECT id::BIGINT id, name, sku, "
                 "price::DECIMAL(10,2) price, stock_quantity::INTEGER stock_quantity, "
                 "category_id::BIGINT category_id FROM p")
@@ -96,3 +97,28 @@ def test_hot_keys_give_the_reference_results(spark):
     want = con.sql(_sql(oracle.PRODUCT_PERF, oracle.PP_COLS)).df()
     assert _rows(pp) == _rows(want)
     assert 1 in set(pp["product_id"])
+
+
+def test_hot_keys_in_sales_summaries_and_orphan_counts(spark):
+    from basketlens.operators import quality, sales
+
+    users, orders, products, items, cats = _fixture(seed=11)
+    s_users = spark.createDataFrame(users, schemas.USERS)
+    s_orders = spark.createDataFrame(orders, schemas.ORDERS_OP)
+    s_products = spark.createDataFrame(products, schemas.PRODUCTS)
+    s_items = spark.createDataFrame(items, schemas.ORDER_ITEMS)
+    s_cats = spark.createDataFrame(cats, schemas.CATEGORIES)
+    con = _duck(users, orders, products, items, cats)
+    extract_cte = f"WITH {oracle.EXTRACT[0]} AS ({oracle.EXTRACT[1]}) "
+
+    extract = sales.daily_sales_extract(s_orders, s_items, s_products, s_cats, s_users)
+    daily = portable(sales.daily_sales_summary(extract)).toPandas()
+    assert _rows(daily) == _rows(con.sql(extract_cte + oracle.DAILY_SUMMARY_SQL).df())
+    hourly = portable(sales.hourly_sales_summary(extract)).toPandas()
+    assert _rows(hourly) == _rows(con.sql(extract_cte + oracle.HOURLY_SUMMARY_SQL).df())
+    assert len(daily) > 0
+
+    orphans = quality.check_referential_integrity(s_items, "order_id", s_orders, "id").first()
+    want = con.sql("SELECT COUNT(*) FROM shop_order_items c LEFT JOIN shop_orders p "
+                   "ON c.order_id = p.id WHERE p.id IS NULL AND c.order_id IS NOT NULL").fetchall()[0][0]
+    assert orphans.orphaned_records == want and want > 0
