@@ -142,3 +142,21 @@ def test_iso_text_and_truncation_ignore_the_session_zone(spark):
                        ("2024-01-01T00:00:07.500000", dt.datetime(2024, 1, 1, 0, 0, 7))]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_compacted_files_are_sorted_by_time_then_entity(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    t = ShopTables(spark, SF)
+    raw = event_adapters.raw_stream_rows(spark, t.raw("events"), t.orders, t.raw("lineitem"))
+    landed = f"{scratch}/landed"
+    events.normalise(raw, events.USER_TOPIC).write.parquet(f"{landed}/user_events")
+    ingest.compact_events(spark, landed, f"{scratch}/tables", events.USER_TOPIC)
+    files = glob.glob(f"{scratch}/tables/user_events/event_date=*/*.parquet")
+    assert files
+    for path in files:
+        rows = pq.read_table(path, columns=["timestamp", "user_id"]).to_pylist()
+        keys = [(r["timestamp"], r["user_id"]) for r in rows]
+        assert keys == sorted(keys)
