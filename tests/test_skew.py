@@ -122,3 +122,43 @@ def test_hot_keys_in_sales_summaries_and_orphan_counts(spark):
     want = con.sql("SELECT COUNT(*) FROM shop_order_items c LEFT JOIN shop_orders p "
                    "ON c.order_id = p.id WHERE p.id IS NULL AND c.order_id IS NOT NULL").fetchall()[0][0]
     assert orphans.orphaned_records == want and want > 0
+
+
+def test_hot_cart_and_hot_day_in_the_funnel(spark):
+    rng = np.random.default_rng(5)
+    users, orders, products, items, cats = _fixture(seed=3)
+    base = dt.datetime(2024, 1, 1)
+    sessions = [(base + dt.timedelta(hours=int(rng.integers(0, 24 * 10))),) for _ in range(300)]
+    carts = [(c, c) for c in range(1, 21)]
+    cart_items = []
+    for i in range(600):
+        cart = 1 if i % 3 == 0 else (None if i % 3 == 1 else int(rng.integers(1, 25)))
+        when = base + dt.timedelta(hours=int(rng.integers(0, 24 * 10)))
+        if i % 5 == 0:
+            when = base + dt.timedelta(days=3, minutes=i)          # one hot day
+        cart_items.append((i, cart, when))
+    s_sessions = spark.createDataFrame(sessions, "created_at timestamp_ntz")
+    s_carts = spark.createDataFrame(carts, "id bigint, user_id bigint")
+    s_items = spark.createDataFrame(cart_items, "id bigint, cart_id bigint, created_at timestamp_ntz")
+    s_orders = spark.createDataFrame(orders, schemas.ORDERS_OP)
+    con = _duck(users, orders, products, items, cats)
+    con.register("ss", pd.DataFrame(sessions, columns=["created_at"]))
+    con.register("cc", pd.DataFrame(carts, columns=["id", "user_id"]))
+    con.register("ci", pd.DataFrame(cart_items, columns=["id", "cart_id", "created_at"]))
+    con.execute("CREATE TABLE shop_sessions AS SELECT created_at::TIMESTAMP created_at FROM ss")
+    con.execute("CREATE TABLE shop_carts AS SELECT id::BIGINT id, user_id::BIGINT user_id FROM cc")
+    con.execute("CREATE TABLE shop_cart_items AS SELECT id::BIGINT id, cart_id::BIGINT cart_id, "
+                "created_at::TIMESTAMP created_at FROM ci")
+
+    got = portable(metrics.funnel_daily_metrics(s_sessions, s_items, s_carts, s_orders)).toPandas()
+    want = con.sql(_sql(oracle.FUNNEL_LONG, [
+        "CAST(metric_date AS TIMESTAMP) AS metric_date", "metric_type",
+        "CAST(metric_value AS BIGINT) AS metric_value"])).df()
+    assert _rows(got) == _rows(want)
+    wide = portable(metrics.sales_funnel(s_sessions, s_items, s_carts, s_orders),
+                    ("page_views", "cart_additions", "checkouts_started",
+                     "orders_completed")).toPandas()
+    want = con.sql(f"WITH {oracle.FUNNEL_LONG[0]} AS ({oracle.FUNNEL_LONG[1]}), "
+                   f"{oracle.FUNNEL_WIDE[0]} AS ({oracle.FUNNEL_WIDE[1]}) "
+                   f"SELECT {', '.join(oracle.FUNNEL_COLS)} FROM funnel").df()
+    assert _rows(wide) == _rows(want)
