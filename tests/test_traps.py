@@ -265,3 +265,28 @@ def test_alerts_table_appends_rows_by_day(spark, scratch):
     assert {r.alert_date for r in back.select("alert_date").distinct().collect()} == {
         dt.date(2024, 1, 31)}
     assert back.first().payload.startswith('{"text":"')
+
+
+def test_rate_rounding_matches_decimal_half_up(spark):
+    """Property: pct_round2 equals ROUND(100 * a / b, 2) done in exact decimal
+    arithmetic, half up, for any non-negative counts."""
+    from decimal import ROUND_HALF_UP
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from basketlens.functions.exprs import pct_round2
+
+    pairs = st.lists(st.tuples(st.integers(0, 10**9), st.integers(1, 10**9)),
+                     min_size=50, max_size=50)
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(pairs)
+    def check(rows):
+        df = spark.createDataFrame(rows, "a bigint, b bigint")
+        got = [r.r for r in df.select(pct_round2(F.col("a"), F.col("b")).alias("r")).collect()]
+        want = [float((D(100) * a / D(b)).quantize(D("0.01"), rounding=ROUND_HALF_UP))
+                for a, b in rows]
+        assert got == want
+
+    check()
