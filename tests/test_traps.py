@@ -290,3 +290,25 @@ def test_rate_rounding_matches_decimal_half_up(spark):
         assert got == want
 
     check()
+
+
+def test_whole_days_matches_timedelta_days(spark):
+    """Property (P13): EXTRACT(DAYS FROM later - earlier) counts whole 24-hour
+    periods, which is Python's ``timedelta.days`` for a non-negative gap."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from basketlens.functions.exprs import whole_days
+
+    stamps = st.datetimes(min_value=T(2000, 1, 1), max_value=T(2030, 1, 1))
+    pairs = st.lists(st.tuples(stamps, stamps), min_size=40, max_size=40)
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(pairs)
+    def check(rows):
+        rows = [(min(a, b), max(a, b)) for a, b in rows]
+        df = spark.createDataFrame(rows, "e timestamp_ntz, l timestamp_ntz")
+        got = [r.d for r in df.select(whole_days(F.col("l"), F.col("e")).alias("d")).collect()]
+        assert got == [(later - earlier).days for earlier, later in rows]
+
+    check()
