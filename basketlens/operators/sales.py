@@ -148,7 +148,7 @@ def run_daily_pipeline(spark: SparkSession, inputs, target: str,
     """
     from pyspark.sql import Observation
 
-    sinks.create_summary_tables(target)
+    sinks.create_summary_tables(spark, target)
     extract = daily_sales_extract(inputs.orders, inputs.order_items, inputs.products,
                                   inputs.categories, inputs.users, run_date)
     obs_e = Observation("extract")

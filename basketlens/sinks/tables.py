@@ -26,9 +26,8 @@ def _create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
      .partitionBy(*partition_by).parquet(path))
 
 
-def create_summary_tables(target: str) -> None:
+def create_summary_tables(spark: SparkSession, target: str) -> None:
     """K1: both summary tables, partitioned by ``order_date``."""
-    spark = SparkSession.getActiveSession()
     _create_if_absent(spark, daily_path(target), schemas.DAILY_SALES_SUMMARY, ["order_date"])
     _create_if_absent(spark, hourly_path(target), schemas.HOURLY_SALES_SUMMARY, ["order_date"])
 
