@@ -29,11 +29,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _matrices(tbl: pa.Table):
-    """(dimension, ids, quantised matrix) for each vector length in the group, by id."""
+    """(dimension, ids, quantised matrix) for each vector length in a group of
+    (tile, id, vector) rows; rows in id order."""
     if tbl.num_rows == 0:
         return
-    ids = tbl.column("vec_id").to_numpy()
-    lists = tbl.column("x").combine_chunks()
+    ids = tbl.column(1).to_numpy()
+    lists = tbl.column(2).combine_chunks()
     if isinstance(lists, pa.ChunkedArray):
         lists = pa.concat_arrays(lists.chunks)
     size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -124,9 +125,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     right = (rows.withColumn("shard", F.pmod(F.xxhash64(deal), F.lit(shards)))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
-    tile = (F.col("block") * shards + F.col("shard")).cast("bigint").alias("tile")
-    lists = (left.select(tile, "vec_id", "x").groupBy("tile")
-             .cogroup(right.select(tile, "vec_id", "x").groupBy("tile"))
+    tile = (F.col("block") * shards + F.col("shard")).cast("bigint")
+    left = left.select(tile.alias("q_tile"), F.col("vec_id").alias("q_id"), F.col("x").alias("q_x"))
+    right = right.select(tile.alias("c_tile"), F.col("vec_id").alias("c_id"), F.col("x").alias("c_x"))
+    lists = (left.groupBy("q_tile").cogroup(right.groupBy("c_tile"))
              .applyInArrow(_tile(k), LIST_SCHEMA))
     merged = merge_lists(lists, shards * blocks, k)
     return (merged.select("query_id", F.posexplode("top").alias("pos", "hit"))
@@ -136,13 +138,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
 ranked AS (
   SELECT query_id, vec_id, score,
