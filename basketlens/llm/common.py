@@ -19,7 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of one Arrow batch, so that a batch of long documents stays small.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
 def ship(spark: SparkSession) -> None:
+    for key, value in ARROW_BATCH.items():
+        if spark.conf.get(key, None) is None:       # a session's own setting stays
+            spark.conf.set(key, value)
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled_text
+from .common import filled_text, staged
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 CHUNK_PATTERN = (r"(?s).{%d,%d}?(?<=[aeiou][nrst]\x20)|.{1,%d}"
@@ -69,11 +69,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = (recipes(texts, verified_seed(texts))
             .groupBy("recipe", "text_sha256", "doc_id")
             .agg(F.count(F.lit(1)).alias("copies")))
-    groups = (rows.groupBy(F.col("recipe").alias("group_recipe"))
-              .agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")))
-    joined = rows.join(groups, F.col("recipe") == F.col("group_recipe"))
+    # Written out, so that both sides of the join are plain shuffles, which adaptive execution
+    # splits where one group holds many rows.
+    groups = staged(docs.sparkSession, rows.groupBy(F.col("recipe").alias("group_recipe"))
+                    .agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+                    .filter("group_size > 1"), "copy_groups")
+    joined = rows.join(groups, F.col("recipe") == F.col("group_recipe"), "left")
+    alone = F.col("group_size").isNull()
     return (joined
-            .select("doc_id", "keep_id", "group_size", "text_sha256",
+            .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id"))
+                    .alias("keep_id"), F.coalesce("group_size", "copies").alias("group_size"),
+                    "text_sha256",
                     F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, token_files, topk
+from . import (bpe, chat, exact_dedup, mixing, near_dedup, pii, substring_dedup, token_files,
+               topk, toxicity)
 from .common import table
 
 
@@ -20,6 +21,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -29,24 +39,51 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
                       is_query=lambda vec_id: vec_id % 50 == 0, k=5)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"),
                                   tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find_spans(docs, pii.fit(docs)))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
                              tokenizer_path("word_bpe_49k.json"), digest=True)
 
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_exact_topk": op4_exact_topk,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_chat_format": op6_chat_format,
     "op7_token_files": op7_token_files,
+    "op8_mixing": op8_mixing,
+    "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }
 
+# What learned models, vocabularies or drawn samples decide has no SQL; tests/llm compares
+# those queries with plain versions.
 ORACLE_SQL = {
+    "op1_near_dedup": near_dedup.ORACLE_SQL,
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op4_exact_topk": topk.ORACLE_SQL,
+    "op6_chat_format": chat.ORACLE_SQL,
 }
