@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import filled_text
+from .shingles import shingle_set
 
 # Word lists of the grammar.
 THREATS = {"kill", "hurt", "destroy", "beat", "punish", "attack", "shoot", "burn", "crush",
@@ -46,7 +47,7 @@ DIRECT, REACH = 4, 3
 
 #: Bounds of what is fitted: labelled rows taken, and entries of the learned lexicon.
 TRAIN_ROWS, LEXICON_SIZE = 20_000, 2_000
-MIN_DOCS, MIN_LOG_ODDS = 4, 2.5
+MIN_FAMILIES, MIN_LOG_ODDS, MAX_CHANCE = 3, 2.0, 1e-6
 STEMS = (4, 5, 6)
 HELD_OUT_REMAINDER, FOLDS, THRESHOLD = 2, 4, 0.3
 
@@ -72,7 +73,7 @@ class Grammar:
     """The learned transducer weights and the curve over clause scores."""
 
     insults: dict[str, float] = field(default_factory=dict)
-    curve: list[float] = field(default_factory=lambda: [-3.0, 2.0, 0.0])
+    curve: list[float] = field(default_factory=lambda: [-3.0, 2.0, 0.0, 0.0])
 
     def __post_init__(self):
         self.memo: dict[str, tuple[str, float]] = {}
@@ -111,36 +112,50 @@ class Grammar:
                 total += weight
         return total
 
-    def features(self, text: str) -> tuple[float, float]:
-        """Largest and summed clause score of a whole text."""
+    def features(self, text: str) -> tuple[float, float, float]:
+        """Largest and summed clause score of a whole text, and the sum per 100 words; as
+        logarithms."""
         words = WORD.findall(text.lower())
         symbol = self.symbol
         if not any(symbol(w)[0] in ("I", "H") for w in set(words)):
-            return 0.0, 0.0
+            return 0.0, 0.0, 0.0
         best = total = 0.0
         for part in CLAUSE_END.split(text):
             quoted = part.count('"') >= 2 or ("“" in part and "”" in part)
             score = self.clause(WORD.findall(part.lower()), quoted)
             best, total = max(best, score), total + score
-        return best, total
+        return math.log1p(best), math.log1p(total), math.log1p(100 * total / len(words))
 
     def score(self, text: str) -> float:
-        best, total = self.features(text)
-        a, b, c = self.curve
-        z = a + b * math.log1p(best) + c * math.log1p(total)
+        z = self.curve[0] + sum(a * b for a, b in zip(self.curve[1:], self.features(text)))
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def _entries(batches):
-    """(entry, toxic) once for each document that has the entry."""
+    """(entry, word, family, toxic): each word of a document with its entries. Near copies
+    mostly have the same family, a MinHash of their shingles, and count once."""
     for batch in batches:
-        names, toxic = [], []
+        columns: tuple[list, ...] = ([], [], [], [])
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = {f for w in set(WORD.findall(text.lower())) for f in forms(w)}
-            names += own
-            toxic += [y] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(toxic, pa.int32())],
-                                         names=["entry", "toxic"])
+            shared = shingle_set(text, 3)
+            family = int(shared.view(np.int64).min()) if len(shared) else 0
+            own = [(f, w) for w in set(WORD.findall(text.lower())) for f in forms(w)]
+            for column, values in zip(columns, ([f for f, _ in own], [w for _, w in own],
+                                                [family] * len(own), [y] * len(own))):
+                column += values
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()))],
+            names=["entry", "word", "family", "toxic"])
+
+
+def chance(hits: int, trials: int, rate: float) -> float:
+    """P(Binomial(trials, rate) >= hits), by its leading terms; 1 where hits are no excess."""
+    if hits <= trials * rate:
+        return 1.0
+    log = (math.lgamma(trials + 1) - math.lgamma(hits + 1) - math.lgamma(trials - hits + 1)
+           + hits * math.log(rate) + (trials - hits) * math.log1p(-rate))
+    ratio = (trials - hits) * rate / ((hits + 1) * (1 - rate))
+    return min(1.0, math.exp(log) / max(1e-9, 1 - ratio))
 
 
 def _feature_rows(grammar: Grammar):
@@ -148,9 +163,8 @@ def _feature_rows(grammar: Grammar):
         for batch in batches:
             rows = [grammar.features(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.float64()),
-                 pa.array([r[1] for r in rows], pa.float64()), batch.column(1)],
-                names=["best", "total", "toxic"])
+                [*[pa.array([r[k] for r in rows], pa.float64()) for k in range(3)], batch.column(1)],
+                names=["best", "total", "density", "toxic"])
     return run
 
 
@@ -179,22 +193,27 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Gra
     # at most train_rows pairs of numbers: small enough to send to every task
     sample = (docs.select("doc_id", filled_text().alias("text"))
               .join(F.broadcast(usable), "doc_id").select("text", F.col("toxic").cast("int")))
-    counts = {int(r["toxic"]): r["n"] for r in
-              sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(counts) < 2:
+    trials = (sample.mapInArrow(_entries, "entry string, word string, family bigint, toxic int")
+              .groupBy("entry", "word", "family").agg(F.max("toxic").alias("toxic")))
+    counts = trials.filter("entry = word").groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
+    n = {int(r["toxic"]): r["n"] for r in counts.collect()}
+    if len(n) < 2:
         return Grammar()
-    odds = F.log((F.col("bad") + 0.5) / (counts[1] + 1.0)) - F.log(
-        (F.col("docs") - F.col("bad") + 0.5) / (counts[0] + 1.0))
-    lexicon = (sample.mapInArrow(_entries, "entry string, toxic int").groupBy("entry")
-               .agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("docs"))
-               .filter(F.col("bad") >= MIN_DOCS).withColumn("odds", odds)
+    odds = F.log((F.col("bad") + 0.5) / (n[1] + 1.0)) - F.log(
+        (F.col("trials") - F.col("bad") + 0.5) / (n[0] + 1.0))
+    lexicon = (trials.groupBy("entry", "family")
+               .agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("trials"))
+               .groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("trials").alias("trials"),
+                                     F.sum((F.col("bad") > 0).cast("int")).alias("families"))
+               .filter(F.col("families") >= MIN_FAMILIES).withColumn("odds", odds)
                .filter(F.col("odds") >= MIN_LOG_ODDS)
                .orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "entry").limit(LEXICON_SIZE))
-    grammar = Grammar({r["entry"]: float(r["odds"]) for r in lexicon.collect()})
-    rows = sample.mapInArrow(_feature_rows(grammar), "best double, total double, toxic int")
+    rate = n[1] / (n[0] + n[1])
+    grammar = Grammar({r["entry"]: float(r["odds"]) for r in lexicon.collect()
+                       if chance(r["bad"], r["trials"], rate) < MAX_CHANCE})
+    rows = sample.mapInArrow(_feature_rows(grammar), "best double, total double, density double, toxic int")
     found = np.array([tuple(r) for r in rows.collect()], dtype=float)
-    x = np.column_stack([np.ones(len(found)), np.log1p(found[:, 0]), np.log1p(found[:, 1])])
-    grammar.curve = fit_curve(x, found[:, 2])
+    grammar.curve = fit_curve(np.column_stack([np.ones(len(found)), found[:, :3]]), found[:, 3])
     return grammar
 
 
