@@ -28,9 +28,10 @@ from ..session import scratch_path
 from .common import blocks, filled_text
 
 MANIFEST_SCHEMA = "part bigint, n_docs bigint, n_tokens bigint"
-CACHE_PIECES = 700_000
+CACHE_PIECES = 1_200_000
 CACHED_CHARS = 48
 CALL_PIECES = 2000
+PUNCTUATION = ",.;:!?"
 BLOCK_CHARS = 1 << 20
 BLANK = "\u0120"          # how byte-level vocabularies write the blank
 # Two or more blanks, or a blank between two other white spaces: there a text can't be
@@ -57,6 +58,7 @@ class PieceEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.cache: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.opens[i] = token.startswith(BLANK)
@@ -65,9 +67,26 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.dtype) for e in found]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Codes of pieces as they stand after a blank. Many go into one call; a piece has
-        no blank inside, so its code begins where a token begins with the blank."""
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Codes of pieces as they stand after a blank. A word and the punctuation behind it are
+        separate for the pre-tokenizer, so the word is encoded once for all endings."""
+        endings = {}
+        for piece in pieces:
+            word = piece.rstrip(PUNCTUATION)
+            if word and len(word) < len(piece) and word[-1].isalnum():
+                endings[piece] = (word, piece[len(word):])
+        words = pieces.difference(endings)
+        words.update(w for w, _ in endings.values() if w not in self.cache)
+        codes = self._encode_words(list(words))
+        for piece, (word, tail) in endings.items():
+            if tail not in self.tails:
+                self.tails[tail] = self._library([tail])[0].tobytes()
+            codes[piece] = (codes[word] if word in codes else self.cache[word]) + self.tails[tail]
+        return codes
+
+    def _encode_words(self, pieces: list[str]) -> dict[str, bytes]:
+        """Many pieces go into one call of the library; a piece has no blank inside, so its code
+        begins where a token begins with the blank."""
         codes: dict[str, bytes] = {}
         width = np.dtype(self.dtype).itemsize
         for at in range(0, len(pieces), CALL_PIECES):
@@ -82,22 +101,21 @@ class PieceEncoder:
         whole = [any(s in t for s in self.special) or UNSAFE.search(t) is not None for t in texts]
         split = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
         first = [s.pop(0) if s else "" for s in split]
-        new = set().union(*split).difference(self.cache.keys())
+        new = set().union(*split).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
             new = set().union(*split)
         # White space at a piece's end would run into the next piece's: one by one.
         alone = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
-        codes = self._learn(list(new.difference(alone)))
+        codes = self._learn(new.difference(alone))
         codes.update((p, c.tobytes())
                      for p, c in zip(alone, self._library([" " + p for p in alone])))
         self.cache.update(codes)
         code_of = self.cache.__getitem__
         heads = self._library([t if w else f for t, w, f in zip(texts, whole, first)])
         done = [h.tobytes() + b"".join(map(code_of, s)) for h, s in zip(heads, split)]
-        for piece in codes:
-            if len(piece) > CACHED_CHARS:       # long ones rarely come again
-                del self.cache[piece]
+        for piece in [p for p in codes if len(p) > CACHED_CHARS]:
+            del self.cache[piece]               # long ones rarely come again
         return done
 
 
