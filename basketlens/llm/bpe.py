@@ -16,13 +16,14 @@ import heapq
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, filled_text
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 CACHED_CHARS = 48
 BLOCK_CHARS = 1 << 20
 END = "</w>"
@@ -63,31 +64,40 @@ class PairIndex:
             left, right = vocab[a], vocab[b]
             self.rank.setdefault(left * self.width + right, len(self.rules))
             self.rules.append((left, right, vocab[a + b]))
+        self.letter = {c: vocab[c] for c in byte_letters()}
+        self.last_letter = {c: vocab[c + END] for c in byte_letters()}
+        base = [*self.letter.values(), *self.last_letter.values()]
+        self.small = np.zeros(self.width, dtype=np.int64)
+        self.small[base] = np.arange(len(base))
+        self.letter_rank = np.array([[self.rank.get(x * self.width + y, -1) for y in base]
+                                     for x in base])
 
     def encode(self, words: list[str]) -> list[list[int]]:
-        vocab, width, rank_of, rules = self.vocab, self.width, self.rank, self.rules
+        width, rank_of, rules = self.width, self.rank, self.rules
+        letter, last = self.letter, self.last_letter
         symbol: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        word_of: list[int] = []
         starts: list[int] = []
-        index: dict[int, list[int]] = {}
-        for w, word in enumerate(words):
-            units = [vocab.get(c) for c in word[:-1]] + [vocab.get(word[-1] + END)] if word else []
-            units = [u for u in units if u is not None]
-            first, last = len(symbol), len(symbol) + len(units) - 1
-            starts.append(first if units else -1)
-            symbol += units
-            for at in range(first, last + 1):
-                before.append(at - 1 if at > first else -1)
-                after.append(at + 1 if at < last else -1)
-                word_of.append(w)
-                if at < last:
-                    rank = rank_of.get(symbol[at] * width + symbol[at + 1])
-                    if rank is not None:
-                        index.setdefault(rank, []).append(at)
-        active = list(index)
-        heapq.heapify(active)
+        sizes: list[int] = []
+        for word in words:
+            starts.append(len(symbol))
+            symbol += [letter[c] for c in word[:-1]]
+            symbol.append(last[word[-1]])
+            sizes.append(len(word))
+        at = np.arange(len(symbol))
+        after, before = at + 1, at - 1
+        after[np.cumsum(sizes, dtype=np.int64) - 1] = -1
+        before[starts] = -1
+        word_of = np.repeat(np.arange(len(words)), sizes).tolist()
+        # the first pairs are pairs of letters, whose ranks stand in a table
+        small = self.small[np.array(symbol, dtype=np.int64)]
+        ranks = self.letter_rank[small[:-1], small[1:]] if len(symbol) > 1 else np.empty(0, int)
+        places = np.flatnonzero((after[:-1] >= 0) & (ranks >= 0))
+        places = places[np.argsort(ranks[places], kind="stable")]
+        cuts = np.flatnonzero(np.diff(ranks[places], prepend=-1))
+        index: dict[int, list[int]] = {
+            int(ranks[own[0]]): own.tolist() for own in np.split(places, cuts[1:]) if len(own)}
+        after, before = after.tolist(), before.tolist()
+        active = sorted(index)
         while active:
             rank = heapq.heappop(active)
             places = index.pop(rank, None)
@@ -124,15 +134,18 @@ class PairIndex:
                 index[rank] = index.get(rank, []) + waiting
                 heapq.heappush(active, rank)
         codes = []
-        for at in starts:
-            code = []
-            while at >= 0:
-                code.append(symbol[at])
-                at = after[at]
-            codes.append(code)
+        for start, size in zip(starts, sizes):
+            codes.append([c for c in symbol[start:start + size] if c >= 0])
         return codes
 
 
+def _together(codes: list[tuple[int, str, str]]) -> tuple[int, str, str]:
+    if not codes:
+        return 0, "", ""
+    counts, ids, texts = zip(*codes)
+    return sum(counts), " ".join(ids), " ".join(texts)
+
+
 class WordCoder:
     """Whole texts to ids and back, as the tokenizers library does with a word-end
     vocabulary (lower case, white space dropped, special strings kept)."""
@@ -149,7 +162,7 @@ class WordCoder:
         self.names.update({i: t for t, i in self.special.items()})
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, str, str]] = {}
         self.cache: dict[str, tuple[int, str, str]] = {}
 
     def tokens(self, piece: str) -> list[str]:
@@ -163,7 +176,7 @@ class WordCoder:
         return [t for t, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids if i in self.names])
+        return " ".join([self.names[i] for i in ids])
 
     def learn(self, pieces: list[str], into: dict) -> None:
         """Encode pieces not seen before; `into` gets (count, ids, decoded) of each."""
@@ -172,10 +185,10 @@ class WordCoder:
         if len(code) > CACHE_WORDS:
             code.clear()
         words = list({t for s in split for t in s if t not in code})
-        code.update(zip(words, self.pairs.encode(words)))
+        code.update((word, (len(ids), " ".join(map(str, ids)), self.decode(ids)))
+                    for word, ids in zip(words, self.pairs.encode(words)))
         for piece, own in zip(pieces, split):
-            ids = [i for t in own for i in code[t]]
-            into[piece] = (len(ids), " ".join(map(str, ids)), self.decode(ids))
+            into[piece] = code[own[0]] if len(own) == 1 else _together([code[t] for t in own])
 
     def pieces(self, text: str) -> list[str]:
         if any(c in text for c in SEPARATORS):
@@ -195,20 +208,16 @@ class WordCoder:
         """(n_tokens, ids joined by one space, decoded text) of each text."""
         split = [self.segments(t) for t in texts]
         cache = self.cache
-        new = {p for s in split for p in s if p not in cache}
+        new = set().union(*split).difference(cache)
         if len(cache) + len(new) > CACHE_WORDS:
             cache.clear()
-            new = {p for s in split for p in s}
-        fresh: dict[str, tuple[int, str, str]] = {
-            p: (1, str(self.special[p]), p) for p in new if p in self.special}
-        self.learn([p for p in new if p not in fresh], fresh)
-        cache.update((p, v) for p, v in fresh.items() if len(p) <= CACHED_CHARS)
-        out = []
-        for own in split:
-            codes = [cache[p] if p in cache else fresh[p] for p in own]
-            codes = [c for c in codes if c[0]]
-            out.append((sum([c[0] for c in codes]), " ".join([c[1] for c in codes]),
-                        " ".join([c[2] for c in codes])))
+            new = set().union(*split)
+        for special in new.intersection(self.special):
+            cache[special] = (1, str(self.special[special]), special)
+        self.learn(list(new.difference(self.special)), cache)
+        out = [_together(list(map(cache.__getitem__, own))) for own in split]
+        for piece in [p for p in new if len(p) > CACHED_CHARS]:
+            del cache[piece]                    # long ones rarely come again
         return out
 
 
