@@ -11,9 +11,10 @@ verified exactly on the full sets.
 Only components are asked for, so a bucket is not expanded into all its pairs. In STAR_ROUNDS
 rounds every bucket compares its members with one hub (another one each round), and what is
 linked by then need not be compared again. In what is left, the members outside a bucket's
-largest component are compared with all members of other components, in blocks of at
-most about BLOCK x BLOCK signatures in one step, so every pair that could still join
-two components is looked at and no bucket is held whole.
+largest component are compared with all members of other components, in blocks of about BLOCK x
+BLOCK members, so every pair that could still join two components is looked at and no bucket is
+held whole. Candidates are not written out: a block pair verifies its own survivors, the most
+alike first, and gives the links that join components.
 """
 
 from __future__ import annotations
@@ -136,48 +137,103 @@ def _verify(percent: int):
     return run
 
 
-def _compare_blocks(least):
-    """Rows (bucket, lb, rb, side, rid, label, sig), sorted by block pair: compare side 0
-    with side 1 of each, across labels, and give the surviving pairs."""
-    def finish(rows):
-        lefts, rights = rows
-        if not lefts or not rights:
-            return
-        lid, llab = np.array([r[0] for r in lefts]), np.array([r[1] for r in lefts])
-        rid, rlab = np.array([r[0] for r in rights]), np.array([r[1] for r in rights])
-        lsig, rsig = (np.frombuffer(b"".join([r[2] for r in side]), "<u2").reshape(-1, LANES)
-                      for side in (lefts, rights))
-        rows_at_once = max(1, (1 << 16) // len(rid))
-        for at in range(0, len(lid), rows_at_once):
-            i, j = np.nonzero(llab[at:at + rows_at_once, None] != rlab[None, :])
-            i = i + at
-            keep = survivors(lsig[i], rsig[j], least)
-            if len(keep):
-                a, b = lid[i[keep]], rid[j[keep]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
+def _by_block(handle):
+    """Feed rows (bucket, band, lb, rb, side, rid, label, sig, ...), sorted by block pair, to
+    handle(key, lefts, rights) one block pair at a time."""
     def run(batches):
         key, rows = None, ([], [])
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(7)]
-            for bucket, lb, rb, side, rid, label, sig in zip(*columns):
+            for bucket, band, lb, rb, side, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if (bucket, lb, rb) != key:
-                    yield from finish(rows)
+                    if rows[0] and rows[1]:
+                        yield from handle(key, *rows)
                     key, rows = (bucket, lb, rb), ([], [])
-                rows[side].append((rid, label, sig))
-        yield from finish(rows)
+                rows[side].append((band, *row))
+        if rows[0] and rows[1]:
+            yield from handle(key, *rows)
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, pruned: bool = False) -> DataFrame:
+def _open_pairs(lefts, rights, least):
+    """Index pairs of two blocks with different labels that survive the batches and share no
+    earlier band, and their matches: every pair is looked at in one bucket only."""
+    band = lefts[0][0]
+    label = [np.array([r[2] for r in side]) for side in (lefts, rights)]
+    left, right = (np.frombuffer(b"".join([r[3] for r in side]), "<u2").reshape(-1, LANES)
+                   for side in (lefts, rights))
+    ids = [np.array([r[1] for r in side]) for side in (lefts, rights)]
+    once = dict(zip(ids[0].tolist(), range(len(lefts))))
+    rows_at_once = max(1, (1 << 16) // len(rights))
+    for at in range(0, len(lefts), rows_at_once):
+        i, j = np.nonzero(label[0][at:at + rows_at_once, None] != label[1][None, :])
+        i = i + at
+        keep = survivors(left[i], right[j], least)
+        i, j = i[keep], j[keep]
+        same = left[i] == right[j]
+        bands = same.reshape(-1, BANDS, LANES // BANDS).all(axis=2)
+        new = ~bands[:, :band].any(axis=1)
+        # two members outside the main component meet from both sides: take one
+        both = np.array([ids[1][y] in once and ids[1][y] < ids[0][x] for x, y in zip(i, j)], dtype=bool)
+        keep = new & ~both
+        yield i[keep], j[keep], same[keep].sum(axis=1)
+
+
+def _involved(least):
+    """The rows of block pairs that have an open pair."""
+    def handle(key, lefts, rights):
+        rows = ([], [])
+        for i, j, _ in _open_pairs(lefts, rights, least):
+            rows[0].append(i)
+            rows[1].append(j)
+        for side, found, own in ((0, rows[0], lefts), (1, rows[1], rights)):
+            at = np.unique(np.concatenate(found)) if found else []
+            if len(at):
+                columns = list(zip(*[own[k] for k in at]))
+                n = len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in (
+                        ([key[0]] * n, pa.int64()), (columns[0], pa.int32()),
+                        ([key[1]] * n, pa.int64()), ([key[2]] * n, pa.int64()),
+                        ([side] * n, pa.int32()), (columns[1], pa.int64()), (columns[2], pa.int64()))],
+                    names=["bucket", "band", "lb", "rb", "side", "rid", "label"])
+    return _by_block(handle)
+
+
+def _block_links(least, percent: int):
+    """Links that join components, verified on the full sets, most matches first. What is joined
+    already, here or before, is not verified again."""
+    def handle(key, lefts, rights):
+        parent: dict[int, int] = {}
+
+        def root(x):
+            while x in parent:
+                x = parent[x]
+            return x
+        sets = [[np.frombuffer(r[4], dtype=np.uint64) for r in side] for side in (lefts, rights)]
+        links = []
+        pairs = [np.concatenate(c) for c in zip(*_open_pairs(lefts, rights, least))] or [[]] * 3
+        for at in np.argsort(-np.asarray(pairs[2]), kind="stable"):
+            i, j = int(pairs[0][at]), int(pairs[1][at])
+            x, y = root(lefts[i][2]), root(rights[j][2])
+            if x != y:
+                s, t = sets[0][i], sets[1][j]
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    parent[x] = y
+                    links.append((lefts[i][1], rights[j][1]))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)],
+                                             names=["a", "b"])
+    return _by_block(handle)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links, after the batches and the exact check."""
     one = lambda name, col: sets.select(F.col("rid").alias(name), F.col(col).alias(f"{col}_{name}"))
-    if not pruned:
-        with_sig = pairs.join(one("a", "sig"), "a").join(one("b", "sig"), "b")
-        pairs = (with_sig.select("a", "b", "sig_a", "sig_b")
-                 .mapInArrow(_prune(fewest_matches(percent / 100)), "a bigint, b bigint"))
-        pairs = staged(pairs.sparkSession, pairs, "near_pairs")
+    with_sig = pairs.join(one("a", "sig"), "a").join(one("b", "sig"), "b")
+    pairs = (with_sig.select("a", "b", "sig_a", "sig_b")
+             .mapInArrow(_prune(fewest_matches(percent / 100)), "a bigint, b bigint"))
+    pairs = staged(pairs.sparkSession, pairs, "near_pairs")
     with_set = pairs.join(one("a", "set"), "a").join(one("b", "set"), "b")
     return (with_set.select("a", "b", "set_a", "set_b")
             .mapInArrow(_verify(percent), "a bigint, b bigint"))
@@ -194,15 +250,17 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, rid, label) of buckets that hold more than one component."""
+    """Members (bucket, band, rid, label) of buckets that hold more than one component."""
     rows = members.join(labels, "rid")
     mixed = (rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
              .filter("lo <> hi").select("bucket"))
-    return rows.join(mixed, "bucket", "left_semi").select("bucket", "rid", "label")
+    return rows.join(mixed, "bucket", "left_semi").select("bucket", "band", "rid", "label")
 
 
-def _remaining_pairs(rows: DataFrame, sets: DataFrame, least) -> DataFrame:
-    """Pairs across components in unresolved buckets that survive the batches."""
+def _remaining_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) across components in unresolved buckets. Block pairs are compared by signature
+    first; full sets are fetched only for the rows that have an open pair there."""
+    least = fewest_matches(percent / 100)
     counts = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     per = (counts.groupBy("bucket")
            .agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"))
@@ -216,12 +274,18 @@ def _remaining_pairs(rows: DataFrame, sets: DataFrame, least) -> DataFrame:
              .withColumn("rb", span("right_blocks")).withColumn("side", F.lit(0)))
     rights = (rows.withColumn("rb", deal("right_blocks"))
               .withColumn("lb", span("left_blocks")).withColumn("side", F.lit(1)))
-    columns = ["bucket", "lb", "rb", "side", "rid", "label"]
-    blocks = (lefts.select(*columns).unionByName(rights.select(*columns))
-              .join(sets.select("rid", "sig"), "rid")
-              .repartition("bucket", "lb", "rb").sortWithinPartitions("bucket", "lb", "rb"))
-    return (blocks.select(*columns, "sig").mapInArrow(_compare_blocks(least), "a bigint, b bigint")
-            .distinct())
+    columns = ["bucket", "band", "lb", "rb", "side", "rid", "label"]
+
+    def dealt(blocks: DataFrame, *what: str) -> DataFrame:
+        return (blocks.join(sets.select("rid", *what), "rid").select(*columns, *what)
+                .repartition("bucket", "lb", "rb").sortWithinPartitions("bucket", "lb", "rb"))
+
+    blocks = lefts.select(*columns).unionByName(rights.select(*columns))
+    involved = dealt(blocks, "sig").mapInArrow(
+        _involved(least), "bucket bigint, band int, lb bigint, rb bigint, side int, rid bigint, "
+                          "label bigint")
+    involved = staged(sets.sparkSession, involved, "near_open")
+    return dealt(involved, "sig", "set").mapInArrow(_block_links(least, percent), "a bigint, b bigint")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -240,14 +304,14 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
     rows = staged(spark, texts.mapInArrow(
         _summaries(words), "doc_id bigint, n_shingles bigint, print binary, bands array<bigint>"),
         "near_rows")
-    classes = (rows.filter("n_shingles > 0").groupBy("print")
-               .agg(F.min(F.struct("doc_id", "bands")).alias("low"), F.min("doc_id").alias("rid"))
-               .filter("rid is not null"))
-    # a null id sorts first in the struct, so its bands are those of an equal set anyway
-    banded = classes.select("rid", F.explode("low.bands").alias("bucket"))
+    # Written out, so that joins with it are plain shuffles, which can be split at a hot class.
+    classes = staged(spark, rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("print")
+                     .agg(F.min(F.struct("doc_id", "bands")).alias("low"))
+                     .select("print", F.col("low.doc_id").alias("rid"), "low.bands"), "near_classes")
+    banded = classes.select("rid", F.posexplode("bands").alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = staged(spark, banded.join(shared.select("bucket"), "bucket", "left_semi")
-                     .select("bucket", "rid"), "near_members")
+                     .select("bucket", "band", "rid"), "near_members")
     active = members.select("rid").distinct()
     sets = staged(spark, texts.join(active, F.col("doc_id") == F.col("rid"), "left_semi")
                   .select("doc_id", "text")
@@ -262,9 +326,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
                  .select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b"))
                  .distinct())
         labels = _relabel(labels, verified(pairs, sets, percent))
-    least = fewest_matches(percent / 100)
-    left = staged(spark, _remaining_pairs(_unresolved(members, labels), sets, least), "near_pairs")
-    labels = _relabel(labels, verified(left, sets, percent, pruned=True))
+    labels = _relabel(labels, _remaining_links(_unresolved(members, labels), sets, percent))
     named = classes.select(F.col("print").alias("c_print"), F.col("rid").alias("c_rid"))
     joined = (rows.join(named, (F.col("print") == F.col("c_print")) & (F.col("n_shingles") > 0), "left")
               .join(labels, F.col("c_rid") == F.col("rid"), "left"))
