@@ -66,27 +66,26 @@ def customer_lifetime_value(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-# NULL order ids are spread over this many shuffle keys (see below).
-NULL_KEY_SPREAD = 1024
-
-
-def _items_with_status(order_items: DataFrame, orders: DataFrame) -> DataFrame:
-    """order_items LEFT JOIN orders, giving each item its order's status.
-
-    A plain hash shuffle would send every item with a NULL order id to one
-    task, however many there are. The join key is therefore the struct
-    (order_id IS NULL, coalesce(order_id, salt)): an order's key is (false,
-    id), so a NULL key still never matches, and the salt (a hash of the row,
-    deterministic so a retried task reshuffles identically) spreads those rows
-    over NULL_KEY_SPREAD keys. One scan of the items, no skewed task.
+def _pairs_with_status(order_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """order_items summed per (order, product), LEFT JOIN orders for the status.
+
+    The sums fold repeated pairs in the map tasks, so a pair that holds a third of
+    all items is one row per task, and the join moves one row per pair. A plain
+    hash shuffle would still send all pairs with a NULL order id to one task. The
+    join key is therefore the struct (order_id IS NULL, coalesce(order_id, hash of
+    the product)): an order's key is (false, id), so a NULL key still never
+    matches, and it is spread over as many keys as there are products.
     """
-    salt = F.pmod(F.xxhash64("product_id", "quantity", "price"), F.lit(NULL_KEY_SPREAD))
-    items = order_items.withColumn(
+    pairs = order_items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("quantity").alias("_quantity"),
+        F.sum(F.col("quantity") * F.col("price")).alias("_amount"),
+        F.sum("price").alias("_price"), F.count("price").alias("_prices"))
+    pairs = pairs.withColumn(
         "_jk", F.struct(F.col("order_id").isNull().alias("n"),
-                        F.coalesce(F.col("order_id"), salt).alias("k")))
+                        F.coalesce(F.col("order_id"), F.xxhash64("product_id")).alias("k")))
     o = orders.select(F.struct(F.lit(False).alias("n"), F.col("id").alias("k")).alias("_jk"),
                       "status")
-    return items.join(o, "_jk", "left").drop("_jk")
+    return pairs.join(o, "_jk", "left").drop("_jk")
 
 
 def stock_status(stock: F.Column) -> F.Column:
@@ -107,17 +106,18 @@ def product_performance(products: DataFrame, categories: DataFrame,
     item rows and the kept ones, aggregate the kept ones, and keep a product
     when it has no items or at least one kept item.
     """
-    items = _items_with_status(order_items, orders)
+    pairs = _pairs_with_status(order_items, orders)
     kept = (F.col("status") == "completed") | F.col("status").isNull()
-    per_product = (items
+    of_kept = lambda c: F.sum(F.when(kept, F.col(c)))
+    per_product = (pairs
                    .groupBy("product_id")
-                   .agg(F.count(F.lit(1)).alias("_n_rows"),
+                   .agg(F.sum("_rows").alias("_n_rows"),
                         F.count_if(kept).alias("_n_kept"),
                         F.count_distinct(F.when(kept, F.col("order_id"))).alias("_orders"),
-                        F.sum(F.when(kept, F.col("quantity"))).alias("total_quantity_sold"),
-                        F.sum(F.when(kept, F.col("quantity") * F.col("price"))).alias("total_revenue"),
-                        F.sum(F.when(kept, F.col("price"))).alias("_price_sum"),
-                        F.count(F.when(kept, F.col("price"))).alias("_price_n")))
+                        of_kept("_quantity").alias("total_quantity_sold"),
+                        of_kept("_amount").alias("total_revenue"),
+                        of_kept("_price").alias("_price_sum"),
+                        of_kept("_prices").alias("_price_n")))
     cats = categories.select(F.col("id").alias("_cid"), F.col("name").alias("category_name"))
     p = products.join(cats, products["category_id"] == cats["_cid"], "left")
     joined = p.join(per_product, p["id"] == per_product["product_id"], "left")

@@ -31,22 +31,25 @@ SEVERITY_WARNING = "warning"
 COLOR_CRITICAL = "danger"
 COLOR_OTHER = "warning"
 
-ALERT_COLUMNS = ["alert_title", "message", "severity", "alert_time"]
+ALERT_COLUMNS = ["check_date", "alert_title", "message", "severity", "alert_time"]
 
 
-def daily_revenue(orders: DataFrame) -> DataFrame:
-    """M1: completed revenue per calendar day, on a date spine from the first
-    to the last day with completed orders, so days without orders count 0.
+def daily_revenue(orders: DataFrame, as_of=None) -> DataFrame:
+    """M1: completed revenue per calendar day, on a date spine from the first day
+    with completed orders to the checked day (``as_of``'s date, by default today), so
+    days without orders count 0, also after the last sale: an outage has rows.
 
     The spine has one row per calendar day (bounded by the date range, not by
-    the data volume); it is built from a one-row min/max aggregate.
+    the data volume); its start is a one-row aggregate of the per-day table, which
+    keeps the same columns in both uses so that one exchange serves them.
     """
-    per_day = (orders.filter(F.col("status") == "completed")
+    day = F.to_date(as_of_ts(as_of))
+    per_day = (orders.filter((F.col("status") == "completed") & (F.to_date("created_at") <= day))
                .groupBy(F.to_date("created_at").alias("metric_date"))
                .agg(F.sum("total_amount").alias("_revenue")))
-    bounds = per_day.agg(F.min("metric_date").alias("lo"), F.max("metric_date").alias("hi"))
-    spine = bounds.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("metric_date"))
+    bounds = per_day.agg(F.min("metric_date").alias("lo"), F.count("_revenue").alias("n"))
+    spine = bounds.filter(F.col("lo").isNotNull() & (F.col("n") >= 0)).select(
+        F.explode(F.sequence(F.col("lo"), day, F.expr("INTERVAL 1 DAY"))).alias("metric_date"))
     return (spine.join(per_day, "metric_date", "left")
             .select("metric_date",
                     F.coalesce(F.col("_revenue"), F.lit(0).cast("decimal(20,2)"))
@@ -103,6 +106,11 @@ def revenue_alerts(trailing: DataFrame) -> DataFrame:
                     title.alias("alert_title"), message.alias("message")))
 
 
+def revenue_check(history: DataFrame, as_of=None) -> DataFrame:
+    """The check one run makes: M3's row of the checked day (``as_of``'s date) alone."""
+    return history.filter(F.col("metric_date") == F.to_date(as_of_ts(as_of)))
+
+
 def pipeline_health(runs: DataFrame, as_of=None,
                     stale_after_hours: int = STALE_AFTER_HOURS) -> DataFrame:
     """M4: one row: last_run (max ``created_at`` of the loaded summary),
@@ -124,14 +132,16 @@ def missing_input_alerts(df: DataFrame, title: str, message: str, as_of=None) ->
     """M6: one warning alert when a check's input has no rows (the
     reference's except-branch alerts); no row otherwise."""
     return (df.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == 0)
-            .select(F.lit(title).alias("alert_title"), F.lit(message).alias("message"),
+            .select(F.to_date(as_of_ts(as_of)).alias("check_date"),
+                    F.lit(title).alias("alert_title"), F.lit(message).alias("message"),
                     F.lit(SEVERITY_WARNING).alias("severity"),
                     as_of_ts(as_of).alias("alert_time")))
 
 
 def monitoring_error_alert(spark, message: str, as_of=None) -> DataFrame:
     """M6: the check itself could not run (its input is missing)."""
-    return spark.range(1).select(F.lit(TITLE_MONITORING_ERROR).alias("alert_title"),
+    return spark.range(1).select(F.to_date(as_of_ts(as_of)).alias("check_date"),
+                                 F.lit(TITLE_MONITORING_ERROR).alias("alert_title"),
                                  F.lit(f"Failed to check pipeline health: {message}")
                                  .alias("message"),
                                  F.lit(SEVERITY_WARNING).alias("severity"),
@@ -145,24 +155,24 @@ def pipeline_health_or_error(spark, runs: DataFrame | None, as_of=None) -> DataF
         return monitoring_error_alert(spark, "no pipeline run log with created_at", as_of)
     health = pipeline_health(runs, as_of)
     return (health.filter(F.col("alert_title").isNotNull())
-            .select("alert_title", "message", F.col("status").alias("severity"),
-                    as_of_ts(as_of).alias("alert_time")))
+            .select(F.to_date(as_of_ts(as_of)).alias("check_date"), "alert_title", "message",
+                    F.col("status").alias("severity"), as_of_ts(as_of).alias("alert_time")))
 
 
 def collect_alerts(revenue: DataFrame, health: DataFrame, as_of=None,
                    daily: DataFrame | None = None) -> DataFrame:
-    """All alert rows (title, message, severity, alert_time) of one check run.
-    ``health`` is either M4's frame or already alert rows (M4 / M6)."""
+    """All alert rows (check_date, title, message, severity, alert_time) of one check run.
+    ``revenue`` is the checked day's row (``revenue_check``); ``health`` is either M4's frame or already alert rows (M4 / M6)."""
     now = as_of_ts(as_of)
     rev = (revenue.filter(F.col("alert_title").isNotNull())
-           .select("alert_title", "message", F.col("status").alias("severity"),
-                   now.alias("alert_time")))
+           .select(F.col("metric_date").alias("check_date"), "alert_title", "message",
+                   F.col("status").alias("severity"), now.alias("alert_time")))
     if "severity" in health.columns:
         hl = health.select(*ALERT_COLUMNS)
     else:
         hl = (health.filter(F.col("alert_title").isNotNull())
-              .select("alert_title", "message", F.col("status").alias("severity"),
-                      now.alias("alert_time")))
+              .select(F.to_date(now).alias("check_date"), "alert_title", "message",
+                      F.col("status").alias("severity"), now.alias("alert_time")))
     out = rev.unionByName(hl)
     if daily is not None:
         out = out.unionByName(missing_input_alerts(

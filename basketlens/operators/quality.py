@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.exprs import as_of_ts, hours_between, ratio
 
-LONG_FORM = ["check_name", "table_name", "column_name", "metric", "value"]
+LONG_FORM = ["check_name", "table_name", "column_name", "metric", "value", "text_value"]
 
 
 def _freshness_aggs(timestamp_col: str, max_age_hours: int, now: F.Column) -> list:
@@ -31,8 +31,8 @@ def _freshness_columns(max_age_hours: int, now: F.Column) -> list:
 
 
 def check_data_freshness(df: DataFrame, timestamp_col: str, max_age_hours: int = 24,
-                         as_of=None) -> DataFrame:
-    """Q1: latest_record, age_hours, is_fresh (age <= max), total_records,
+                         as_of=None, table: str = "table") -> DataFrame:
+    """Q1: table_name, latest_record, age_hours, is_fresh (age <= max), total_records,
     recent_records (strictly newer than ``as_of - max_age_hours``).
 
     Both of the reference's clocks (SQL ``NOW()`` and Python ``now()``) are one
@@ -40,7 +40,8 @@ def check_data_freshness(df: DataFrame, timestamp_col: str, max_age_hours: int =
     """
     now = as_of_ts(as_of)
     agg = df.agg(*_freshness_aggs(timestamp_col, max_age_hours, now))
-    return agg.select("latest_record", *_freshness_columns(max_age_hours, now),
+    return agg.select(F.lit(table).alias("table_name"), "latest_record",
+                      *_freshness_columns(max_age_hours, now),
                       "total_records", "recent_records")
 
 
@@ -93,19 +94,30 @@ INTEGRITY_CHECKS = [("products", "category_id", "categories", "id"),
                     ("order_items", "order_id", "orders", "id")]
 
 
+# Metrics that are no numbers; they stand in text_value.
+TEXT_METRICS = {"latest_record", "parent_table"}
+
+
 def _long_multi(df: DataFrame, table: str,
                 items: list[tuple[str, str | None, str]]) -> DataFrame:
-    """Unpivot a one-row aggregate into (check, table, column, metric, value)
+    """Unpivot a one-row aggregate into (check, table, column, metric, value, text_value)
     rows, one per (check, column, metric) item, with a single explode."""
+    def value(m: str) -> F.Column:
+        return F.lit(None).cast("double") if m in TEXT_METRICS else F.col(m).cast("double")
+
+    def text(m: str) -> F.Column:
+        return (F.col(m) if m in TEXT_METRICS else F.lit(None)).cast("string")
+
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(check).alias("check_name"),
-                 F.lit(column).cast("string").alias("column_name"),
-                 F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
+                 F.lit(column).cast("string").alias("column_name"), F.lit(m).alias("metric"),
+                 value(m).alias("value"), text(m).alias("text_value"))
         for check, column, m in items])).alias("m"))
     return stacked.select(F.col("m.check_name").alias("check_name"),
                           F.lit(table).alias("table_name"),
                           F.col("m.column_name").alias("column_name"),
-                          F.col("m.metric").alias("metric"), F.col("m.value").alias("value"))
+                          F.col("m.metric").alias("metric"), F.col("m.value").alias("value"),
+                          F.col("m.text_value").alias("text_value"))
 
 
 def _long(df: DataFrame, check: str, table: str, column: str | None,
@@ -130,7 +142,7 @@ def run_all_checks(tables: dict[str, DataFrame], as_of=None) -> DataFrame:
         one = tables[table].agg(*_freshness_aggs(col, 24, now), *rates)
         one = one.select("*", *_freshness_columns(24, now))
         items = [("freshness", col, m)
-                 for m in ["age_hours", "is_fresh", "total_records", "recent_records"]]
+                 for m in ["latest_record", "age_hours", "is_fresh", "total_records", "recent_records"]]
         if cols:
             items += [("null_rates", None, m)
                       for m in ["total_records"] + [f"{c}_null_rate" for c in cols]]
@@ -142,23 +154,48 @@ def run_all_checks(tables: dict[str, DataFrame], as_of=None) -> DataFrame:
     for child, col, parent, pcol in INTEGRITY_CHECKS:
         ri = check_referential_integrity(tables[child], col, tables[parent], pcol, child, parent)
         parts.append(_long(ri, "referential_integrity", child, col,
-                           ["orphaned_records", "has_orphans"]))
+                           ["parent_table", "orphaned_records", "has_orphans"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+CHECKED, ABSENT = "checked", "column_absent"
+
+
+def _absent(tables: dict[str, DataFrame], names: dict[str, str], numbers: list[str]) -> DataFrame:
+    """The row of a constraint that cannot be checked: the input lacks a column."""
+    spark = next(iter(tables.values())).sparkSession
+    return spark.range(1).select(*[F.lit(v).alias(n) for n, v in names.items()],
+                                 *[F.lit(None).cast("bigint").alias(n) for n in numbers],
+                                 F.lit(ABSENT).alias("status"))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _has(tables: dict[str, DataFrame], table: str, *cols: str) -> bool:
+    return table in tables and set(cols) <= set(tables[table].columns)
+
+
 def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
-    """For every declared PRIMARY KEY / UNIQUE column present, the rows
+    """One row for every declared PRIMARY KEY / UNIQUE column: the rows
     checked, the keys that repeat and the rows they cover. NULL keys are
-    skipped, as a UNIQUE constraint allows many NULLs."""
+    skipped, as a UNIQUE constraint allows many NULLs. A constraint whose columns
+    the input lacks is a row with status ``column_absent``."""
     parts = []
+    numbers = ["rows_checked", "duplicate_keys", "duplicate_rows"]
     for table, cols in schemas.UNIQUE_KEYS:
-        df = tables.get(table)
-        if df is None or not set(cols) <= set(df.columns):
+        names = {"table_name": table, "key_columns": ",".join(cols)}
+        if not _has(tables, table, *cols):
+            parts.append(_absent(tables, names, numbers))
             continue
-        keyed = df.select(*cols)
+        keyed = tables[table].select(*cols)
         for c in cols:
             keyed = keyed.filter(F.col(c).isNotNull())
         per_key = keyed.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
@@ -167,52 +204,46 @@ def audit_unique(tables: dict[str, DataFrame]) -> DataFrame:
             F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
             F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0))
              .cast("bigint").alias("duplicate_rows"),
-        ).select(F.lit(table).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"),
-                 "rows_checked", "duplicate_keys", "duplicate_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ).select(*[F.lit(v).alias(n) for n, v in names.items()], *numbers,
+                 F.lit(CHECKED).alias("status")))
+    return _union(parts)
 
 
 def audit_not_null(tables: dict[str, DataFrame]) -> DataFrame:
-    """R2: NULL count per declared NOT NULL column present in the input, one
-    aggregate pass per table."""
+    """R2: NULL count per declared NOT NULL column, one aggregate pass per table;
+    an absent column is a row with status ``column_absent``."""
     parts = []
+    numbers = ["null_count", "total_records"]
     for table, cols in schemas.NOT_NULL.items():
-        df = tables.get(table)
-        if df is None:
-            continue
-        present = [c for c in cols if c in df.columns]
+        present = [c for c in cols if _has(tables, table, c)]
+        parts += [_absent(tables, {"table_name": table, "column_name": c}, numbers)
+                  for c in cols if c not in present]
         if not present:
             continue
-        agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                     *[F.count_if(F.col(c).isNull()).alias(c) for c in present])
+        agg = tables[table].agg(F.count(F.lit(1)).alias("_total"),
+                                *[F.count_if(F.col(c).isNull()).alias(c) for c in present])
         stacked = agg.select("_total", F.explode(F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_count"))
             for c in present])).alias("m"))
         parts.append(stacked.select(F.lit(table).alias("table_name"),
                                     F.col("m.column_name").alias("column_name"),
                                     F.col("m.null_count").alias("null_count"),
-                                    F.col("_total").alias("total_records")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                                    F.col("_total").alias("total_records"),
+                                    F.lit(CHECKED).alias("status")))
+    return _union(parts)
 
 
 def audit_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphan counts over every declared foreign key whose columns exist."""
+    """Orphan counts over every declared foreign key; one whose columns are absent
+    is a row with status ``column_absent``."""
     parts = []
     for child, col, parent, pcol, _cascade in schemas.FOREIGN_KEYS:
-        c, p = tables.get(child), tables.get(parent)
-        if c is None or p is None or col not in c.columns or pcol not in p.columns:
+        names = {"child_table": child, "child_column": col, "parent_table": parent,
+                 "parent_column": pcol}
+        if not (_has(tables, child, col) and _has(tables, parent, pcol)):
+            parts.append(_absent(tables, names, ["orphaned_records"]))
             continue
-        parts.append(_orphan_count(c, col, p, pcol).select(
-            F.lit(child).alias("child_table"), F.lit(col).alias("child_column"),
-            F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"),
-            "orphaned_records"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(_orphan_count(tables[child], col, tables[parent], pcol).select(
+            *[F.lit(v).alias(n) for n, v in names.items()], "orphaned_records",
+            F.lit(CHECKED).alias("status")))
+    return _union(parts)

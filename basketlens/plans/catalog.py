@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.exprs import portable
 from ..operators import metrics, monitor, quality, sales, upkeep
 from ..session import scratch_path
@@ -192,18 +193,27 @@ def _t3(t: ShopTables) -> DataFrame:
 
 @register("pipeline_row_counts")
 def _k7(t: ShopTables) -> DataFrame:
-    extract = _extract_of(t)
-    return sales.pipeline_row_counts(extract, sales.daily_sales_summary(extract),
-                                     sales.hourly_sales_summary(extract))
+    return sales.pipeline_row_counts(_extract_of(t))
 
 
 @register("daily_sales_backfill")
 def _t4(t: ShopTables) -> DataFrame:
     """T4: run the job over all days into a fresh target under the session's
-    shared checkpoint folder, then read the loaded daily table back."""
+    shared checkpoint folder, then read both loaded tables back."""
     target = scratch_path(t.spark, "daily_pipeline")
     sales.run_daily_pipeline(t.spark, t, target, run_date=None)
-    return sink_tables.read_summary(t.spark, sink_tables.daily_path(target)).drop("created_at")
+    daily, hourly = (sink_tables.read_summary(t.spark, path(target)).drop("created_at")
+                     for path in (sink_tables.daily_path, sink_tables.hourly_path))
+    return daily.select(F.lit("daily").alias("summary"), "order_date", "category_name",
+                        F.lit(-1).alias("order_hour"), F.col("total_orders").alias("orders"),
+                        F.col("unique_customers").alias("customers"),
+                        F.col("total_revenue").alias("revenue"),
+                        F.col("total_items_sold").alias("items_sold")).unionByName(
+        hourly.select(F.lit("hourly").alias("summary"), "order_date",
+                      F.lit("all").alias("category_name"), "order_hour",
+                      F.col("hourly_orders").alias("orders"), F.lit(-1).cast("bigint").alias("customers"),
+                      F.col("hourly_revenue").alias("revenue"),
+                      F.lit(-1).cast("bigint").alias("items_sold")))
 
 
 @register("csv_staging_roundtrip")
@@ -219,7 +229,7 @@ def _k3(t: ShopTables) -> DataFrame:
 
 @register("dq_freshness")
 def _q1(t: ShopTables) -> DataFrame:
-    return quality.check_data_freshness(t.orders, "created_at", 24, AS_OF)
+    return quality.check_data_freshness(t.orders, "created_at", 24, AS_OF, "orders")
 
 
 @register("dq_null_rates")
@@ -256,20 +266,23 @@ def _r3(t: ShopTables) -> DataFrame:
 # --- M1-M6 ------------------------------------------------------------------------
 
 def _trailing_of(t: ShopTables) -> DataFrame:
-    return monitor.trailing_average(monitor.daily_revenue(t.orders))
+    return monitor.trailing_average(monitor.daily_revenue(t.orders, AS_OF))
+
 
+LOAD_TIME = dt.datetime(2024, 1, 29, 20, 0, 0)
 
-def _scheduled_runs(t: ShopTables) -> DataFrame:
-    """Load times of the daily summary as the 02:00 schedule would stamp them:
-    the run for day d finishes loading at d + 1 day 02:00."""
-    daily = sales.daily_sales_summary(_extract_of(t))
-    return daily.select((F.col("order_date").cast("timestamp_ntz")
-                         + F.make_dt_interval(F.lit(1), F.lit(2))).alias("created_at"))
+
+def _loaded_summary(t: ShopTables) -> DataFrame:
+    """The daily summary table after the job has loaded a day at LOAD_TIME; M4 reads the
+    load time that the sink stamped."""
+    target = scratch_path(t.spark, "health")
+    sales.run_daily_pipeline(t.spark, t, target, run_date=RUN_DATE, load_time=LOAD_TIME)
+    return sink_tables.read_summary(t.spark, sink_tables.daily_path(target))
 
 
 @register("monitor_daily_revenue")
 def _m1(t: ShopTables) -> DataFrame:
-    return monitor.daily_revenue(t.orders)
+    return monitor.daily_revenue(t.orders, AS_OF)
 
 
 @register("monitor_trailing_avg")
@@ -282,17 +295,24 @@ def _m3(t: ShopTables) -> DataFrame:
     return monitor.revenue_alerts(_trailing_of(t))
 
 
+@register("monitor_revenue_check")
+def _m3_day(t: ShopTables) -> DataFrame:
+    """M3 for the checked day alone, as one scheduled run does it."""
+    return monitor.revenue_check(monitor.revenue_alerts(_trailing_of(t)), AS_OF)
+
+
 @register("monitor_pipeline_health")
 def _m4(t: ShopTables) -> DataFrame:
-    return monitor.pipeline_health(_scheduled_runs(t), AS_OF)
+    return monitor.pipeline_health(_loaded_summary(t), AS_OF)
 
 
 @register("alert_payloads")
 def _m5(t: ShopTables) -> DataFrame:
-    daily = monitor.daily_revenue(t.orders)
+    daily = monitor.daily_revenue(t.orders, AS_OF)
+    history = monitor.revenue_alerts(monitor.trailing_average(daily))
     alerts = monitor.collect_alerts(
-        monitor.revenue_alerts(monitor.trailing_average(daily)),
-        monitor.pipeline_health(_scheduled_runs(t), AS_OF), AS_OF, daily=daily)
+        monitor.revenue_check(history, AS_OF),
+        monitor.pipeline_health(_loaded_summary(t), AS_OF), AS_OF, daily=daily)
     return monitor.alert_payloads(alerts)
 
 
@@ -304,12 +324,16 @@ def _raw_stream(t: ShopTables) -> DataFrame:
 
 @register("event_envelopes")
 def _e123(t: ShopTables) -> DataFrame:
-    """E1-E3; JSON is compared decoded, so the key returns fields read back."""
+    """Every field of every message, read back from its JSON."""
     env = event_adapters.envelopes(t.raw("events"), t.orders, t.raw("lineitem"))
-    return env.select("topic", "key",
-                      F.get_json_object("value", "$.event_id").alias("event_id"),
-                      F.get_json_object("value", "$.event_type").alias("event_type"),
-                      F.get_json_object("value", "$.timestamp").alias("timestamp_text"))
+    read = events.decode(env)
+    texts = ["event_id", "event_type", "user_id", "page", "session_id", "user_agent", "ip_address",
+             "product_id", "category_id", "order_id", "items", "payment_method", "metadata"]
+    return read.select("topic", "key", *[F.col("m").getItem(c).alias(c) for c in texts],
+                       F.col("m").getItem("timestamp").alias("timestamp_text"),
+                       *[F.col("m").getItem(c).cast("double").alias(c)
+                         for c in ("quantity", "price", "total_amount")],
+                       F.size("m").alias("field_count"))
 
 
 @register("events_decode", doubles=("field_count",))
@@ -379,6 +403,26 @@ def _r5(t: ShopTables) -> DataFrame:
                          "payment_status")
 
 
+@register("defaults_all_tables")
+def _r5_all(t: ShopTables) -> DataFrame:
+    """Every declared default of all nine tables: rows per filled value (a clock default
+    counts as 'now')."""
+    parts = []
+    for name, df in t.all_tables().items():
+        filled = upkeep.with_defaults(df, name)
+        for column, literal, _type in schemas.DEFAULTS[name]:
+            if column not in df.columns:
+                value = (F.when(F.col(column).isNotNull(), F.lit("now")) if "localtimestamp" in literal
+                         else F.col(column).cast("string"))
+                parts.append(filled.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+                             .select(F.lit(name).alias("table_name"),
+                                     F.lit(column).alias("column_name"), "value", "rows"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @register("events_ingest_stream")
 def _e7_stream(t: ShopTables) -> DataFrame:
     """E7 end to end: the raw stream lands as files under the shared

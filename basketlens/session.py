@@ -64,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     sc = _context(spark)
-    if sc is None:
+    if sc is None or not (fallback or sc.master == "local" or sc.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a shared folder on the cluster")
     path = fallback or tempfile.mkdtemp(prefix="basketlens-ckpt-")
     os.makedirs(path, exist_ok=True)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.exprs import as_of_ts
+from ..sources.tables import CSV_OPTIONS
 
 
 def daily_path(target: str) -> str:
@@ -32,24 +34,21 @@ def create_summary_tables(spark: SparkSession, target: str) -> None:
     _create_if_absent(spark, hourly_path(target), schemas.HOURLY_SALES_SUMMARY, ["order_date"])
 
 
-def load_summary(df: DataFrame, path: str, overwrite_day: bool = False) -> None:
-    """K2: append rows, stamping ``created_at`` as the database default did.
+def load_summary(df: DataFrame, path: str, overwrite_day: bool = False, load_time=None) -> None:
+    """K2: append rows, stamping ``created_at`` as the database default did (with
+    ``load_time``, by default now).
 
     ``overwrite_day=True`` uses dynamic partition overwrite: only the days
     present in ``df`` are replaced, so rerunning a day is idempotent.
     """
     schema = (schemas.DAILY_SALES_SUMMARY if "category_name" in df.columns
               else schemas.HOURLY_SALES_SUMMARY)
-    stamped = df.withColumn("created_at", F.localtimestamp())
+    stamped = df.withColumn("created_at", as_of_ts(load_time))
     ordered = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                for f in schema.fields])
-    # One task per day: each day folder gets one file, however many tasks
-    # produced the rows (a summary day is at most a few thousand rows). The
-    # explicit count keeps AQE from coalescing a backfill's thousands of days
-    # into one writing task.
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = ordered.repartition(n, "order_date").write.partitionBy("order_date")
+    # Rows of a day together, tasks by bytes: one task for a single day, as many as the data
+    # fills for a backfill, whatever spark.sql.shuffle.partitions says.
+    writer = ordered.hint("rebalance", "order_date").write.partitionBy("order_date")
     if overwrite_day:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -65,12 +64,12 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv_staging(df: DataFrame, path: str) -> None:
-    """K3 re-aimed: header CSV, one file per task, no index column."""
-    (df.write.mode("overwrite").option("header", True).option("nullValue", "")
-     .csv(path))
+    """K3 re-aimed: header CSV, one file per task, no index column, lossless."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
-    """M5 sink: alerts are rows in a table, partitioned by alert day."""
-    (alerts.withColumn("alert_date", F.to_date("alert_time"))
-     .write.mode("append").partitionBy("alert_date").parquet(path))
+    """M5 sink: alerts are rows in a table, partitioned by the day they are about.
+    A day that is checked again replaces its alerts, so a rerun adds no second one."""
+    (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("check_date").parquet(path))

@@ -1,9 +1,10 @@
 """Build the shop's operational tables from the driver's TPC-H-like tables.
 
 The driver's tables hold no NULL, no orphan, and every customer and part has
-orders, so these adapters plant the awkward rows by key arithmetic. Each
-adapter is a projection (plus, for ``order_items``, one anti join on a small
-slice), so it adds no shuffle of the large tables beyond what the metric needs.
+orders, so these adapters plant the awkward rows by key arithmetic. Traps are
+planted in columns or by ADDING rows; every given row reaches the queries. Each
+adapter is a projection over one scan of its table (``order_items`` adds a slice
+of ``orders``), so it adds no shuffle beyond what the metric needs.
 The DuckDB oracles (``plans.oracle``) use the same rules.
 """
 
@@ -24,17 +25,23 @@ PRODUCT_UPDATE_BASE = "2024-01-01 00:00:00"
 ORDER_DAY_SHIFT = 8217          # orders move from 1995-2001 onto the events' clock
 ORPHAN_ORDER_OFFSET = 1_000_000_000
 ORPHAN_CATEGORY_ID = 99
-NO_SESSION_DAY = 7              # day of month without sessions (carts but no sessions)
-NO_CART_DAY = 9                 # day of month without cart additions
-# The six categories, one per p_type value: id, name.
+ADDED_CART_ID = 1_000_000_000   # added cart items: this plus the event id,
+ADDED_CART_DAYS = 400           # so many days later than any session
+ADDED_SESSION_DAYS = -400       # added sessions: so many days before any cart
+UNSOLD_OFFSET = 10_000_000      # added products that no item names
+OPEN_ONLY_OFFSET = 20_000_000   # added products sold only through open orders
+OPEN_ONLY_PRODUCTS = 50
+OPEN_ITEM_ID = 4_000_000_000    # their items: this plus the order id
+# The six categories, one per p_type value: id, name, slug, parent (one has an absent parent).
 CATEGORY_ROWS = [
-    (1, "ECONOMY"),
-    (2, "LARGE"),
-    (3, "MEDIUM"),
-    (4, "PROMO"),
-    (5, "SMALL"),
-    (6, "STANDARD"),
+    (1, "ECONOMY", "economy", None),
+    (2, "LARGE", "large", 1),
+    (3, "MEDIUM", "medium", 1),
+    (4, "PROMO", "promo", None),
+    (5, "SMALL", "small", 42),
+    (6, "STANDARD", "standard", 4),
 ]
+CATEGORY_SCHEMA = "id bigint, name string, slug string, parent_id bigint"
 ORDER_STATUS_BY_CODE = {"F": "completed", "O": "pending", "P": "shipped"}
 
 def _null(type_name: str):
@@ -46,6 +53,7 @@ def users(customer: DataFrame) -> DataFrame:
     return customer.select(
         k.alias("id"),
         F.col("c_name").alias("email"),
+        F.when(k % 71 != 0, F.concat(F.lit("hash-"), k.cast("string"))).alias("password_hash"),
         F.when(k % 31 == 0, _null("string")).otherwise(F.col("c_mktsegment")).alias("first_name"),
         F.col("c_name").alias("last_name"),
         (ntz(USER_SIGNUP_BASE) + F.make_dt_interval((k % 240).cast("int"))).alias("created_at"),
@@ -54,17 +62,26 @@ def users(customer: DataFrame) -> DataFrame:
 
 def categories(spark: SparkSession) -> DataFrame:
     """A six-row literal table; joins against it broadcast a bounded side."""
-    return literal_rows(spark, CATEGORY_ROWS, schemas.CATEGORIES)
+    return literal_rows(spark, CATEGORY_ROWS, CATEGORY_SCHEMA)
+
+
+def _copies(*offsets):
+    """One output row per offset that is not NULL."""
+    return F.explode(F.filter(F.array(*[o.cast("bigint") for o in offsets]), lambda x: x.isNotNull()))
 
 
 def products(part: DataFrame, cats: DataFrame) -> DataFrame:
     k = F.col("p_partkey")
     lookup = F.broadcast(cats.select(F.col("id").alias("_cat_id"), F.col("name").alias("_cat_name")))
-    joined = part.join(lookup, part["p_type"] == lookup["_cat_name"], "left")
+    joined = part.join(lookup, part["p_type"] == lookup["_cat_name"], "left").withColumn(
+        "_offset", _copies(F.lit(0), F.when(k % 17 == 0, UNSOLD_OFFSET),
+                           F.when(k < OPEN_ONLY_PRODUCTS, OPEN_ONLY_OFFSET)))
+    own = k + F.col("_offset")
     return joined.select(
-        k.alias("id"),
+        own.alias("id"),
         F.col("p_name").alias("name"),
-        F.concat(F.lit("SKU-"), k.cast("string")).alias("sku"),
+        F.when(k % 73 != 0, F.concat(F.lit("slug-"), own.cast("string"))).alias("slug"),
+        F.concat(F.lit("SKU-"), own.cast("string")).alias("sku"),
         F.col("p_retailprice").cast(schemas.MONEY).alias("price"),
         F.when(k % 37 == 0, _null("int"))
          .when(k % 41 == 0, F.lit(-1))
@@ -95,6 +112,7 @@ def orders(orders_raw: DataFrame) -> DataFrame:
          .when(k % 997 == 0, F.lit(-1).cast("bigint"))
          .when(F.col("o_custkey") % 29 == 0, _null("bigint"))
          .otherwise(F.col("o_custkey")).alias("user_id"),
+        F.when(k % 89 != 0, F.concat(F.lit("ORD-"), k.cast("string"))).alias("order_number"),
         _order_status().alias("status"),
         total.alias("total_amount"),
         subtotal.alias("subtotal"),
@@ -106,35 +124,40 @@ def orders(orders_raw: DataFrame) -> DataFrame:
 
 
 def order_items(lineitem: DataFrame, orders_raw: DataFrame) -> DataFrame:
-    """Line items as order items, with orphans, NULL order ids, unsold products
-    (p % 17) and products sold only through non-completed orders (p % 19).
-
-    Only the p % 19 slice (about 5% of line items) needs the order status, so
-    only that slice meets ``orders`` in an anti join; the rest is a plain scan.
-    """
-    lk = F.col("l_orderkey")
-    pk = F.col("l_partkey")
-    sold = lineitem.filter(pk % 17 != 0)
-    plain = sold.filter(pk % 19 != 0)
-    special = sold.filter((pk % 19 == 0) & (lk % 53 != 0) & (lk % 499 != 0) & (lk % 503 != 0))
-    final_orders = orders_raw.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey"))
-    special = special.join(final_orders, lk == final_orders["o_orderkey"], "left_anti")
-    items = plain.unionByName(special)
-    return items.select(
+    """Every line item as an order item, with orphans, NULL order ids and items that name a
+    variant but no product; plus one item of an added product on every 97th open order."""
+    lk, pk = F.col("l_orderkey"), F.col("l_partkey")
+    items = lineitem.select(
+        (lk * 8 + F.col("l_linenumber")).alias("id"),
         F.when(lk % 499 == 0, lk + F.lit(ORPHAN_ORDER_OFFSET))
          .when(lk % 503 == 0, _null("bigint"))
          .otherwise(lk).alias("order_id"),
-        pk.alias("product_id"),
+        F.when(lk % 613 != 0, pk).alias("product_id"),
+        F.when((lk % 5 == 0) | (lk % 613 == 0), pk).alias("variant_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(schemas.MONEY).alias("price"),
     )
+    ok = F.col("o_orderkey")
+    open_orders = orders_raw.filter((F.col("o_orderstatus") == "O") & (ok % 97 == 0)
+                                    & (ok % 53 != 0) & (ok % 50 != 0))
+    return items.unionByName(open_orders.select(
+        (ok + F.lit(OPEN_ITEM_ID)).alias("id"), ok.alias("order_id"),
+        (F.lit(OPEN_ONLY_OFFSET) + ok % OPEN_ONLY_PRODUCTS).alias("product_id"),
+        _null("bigint").alias("variant_id"), (F.lit(1) + ok % 5).cast("int").alias("quantity"),
+        F.col("o_totalprice").cast(schemas.MONEY).alias("price")))
+
+
+def _days_later(ts: str, days: str):
+    return F.col(ts) + F.make_dt_interval(F.col(days).cast("int"))
 
 
 def user_sessions(events: DataFrame) -> DataFrame:
-    return (events
-            .filter(F.col("event_type").isin("view", "click")
-                    & (F.dayofmonth("ts") != NO_SESSION_DAY))
-            .select(F.col("ts").alias("created_at")))
+    """Every view and click, plus added sessions on days without carts."""
+    e = F.col("event_id")
+    return (events.withColumn("_days", _copies(
+                F.when(F.col("event_type").isin("view", "click"), 0),
+                F.when(e % 103 == 0, ADDED_SESSION_DAYS)))
+            .select(_days_later("ts", "_days").alias("created_at")))
 
 
 def carts(events: DataFrame) -> DataFrame:
@@ -144,12 +167,18 @@ def carts(events: DataFrame) -> DataFrame:
 
 
 def cart_items(events: DataFrame) -> DataFrame:
+    """Every click as a cart addition, plus added ones on days without sessions."""
     e = F.col("event_id")
-    return (events
-            .filter((F.col("event_type") == "click") & (F.dayofmonth("ts") != NO_CART_DAY))
-            .select(e.alias("id"),
+    added = F.col("_days") > 0
+    return (events.withColumn("_days", _copies(F.when(F.col("event_type") == "click", 0),
+                                               F.when(e % 101 == 0, ADDED_CART_DAYS)))
+            .select(F.when(added, e + ADDED_CART_ID).otherwise(e).alias("id"),
                     F.when(e % 47 == 0, _null("bigint")).otherwise(F.col("user_id")).alias("cart_id"),
-                    F.col("ts").alias("created_at")))
+                    F.when(e % 17 != 0, e % 180).alias("product_id"),
+                    F.when(e % 6 == 0, e % 180).alias("variant_id"),
+                    F.when(e % 59 != 0, F.lit(1) + e % 5).cast("int").alias("quantity"),
+                    F.col("value").cast(schemas.MONEY).alias("price"),
+                    _days_later("ts", "_days").alias("created_at")))
 
 
 def product_variants(part: DataFrame) -> DataFrame:

@@ -23,9 +23,6 @@ from ..streaming import events as ev
 PRODUCT_TYPES = {"view": "view", "click": "add_to_cart", "purchase": "purchase"}
 USER_TYPES = ["signup", "error"]
 PRODUCT_ID_MODULUS = 200
-# An order event carries at most this many items; a larger order is split into
-# several 'created' events (…-1, …-2), so no message and no group is unbounded.
-MAX_ITEMS_PER_EVENT = 1000
 
 # Bad messages (fixed values): topic, key, value, expected reason.
 BAD_MESSAGES = [
@@ -71,37 +68,30 @@ def product_event_rows(events: DataFrame) -> DataFrame:
 
 
 def order_event_rows(shop_orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """One row per order (per chunk of MAX_ITEMS_PER_EVENT lines).
-
-    Lines are grouped per (order, chunk), so each collected list is bounded by
-    MAX_ITEMS_PER_EVENT whatever the order size."""
-    chunk = F.floor((F.col("l_linenumber") - 1) / MAX_ITEMS_PER_EVENT).cast("int")
-    per_chunk = (lineitem
-                 .groupBy(F.col("l_orderkey").alias("_oid"), chunk.alias("_chunk"))
+    """One row per order with all its lines in one list, as the producer sends one
+    message per order. The list is one order's lines, the size of one message."""
+    per_order = (lineitem.groupBy(F.col("l_orderkey").alias("_oid"))
                  .agg(F.sort_array(F.collect_list(F.struct(
                      F.col("l_linenumber").alias("n"),
                      F.col("l_partkey").alias("product_id"),
                      F.col("l_quantity").cast("int").alias("quantity"),
                      F.col("l_extendedprice").alias("price")))).alias("_lines")))
     o = shop_orders.select("id", "user_id", "total_amount", "created_at")
-    joined = o.join(per_chunk, o["id"] == per_chunk["_oid"], "left")
+    joined = o.join(per_order, o["id"] == per_order["_oid"], "left")
     items = F.coalesce(
         F.transform("_lines", lambda x: F.struct(x["product_id"].alias("product_id"),
                                                  x["quantity"].alias("quantity"),
                                                  x["price"].alias("price"))),
         F.array().cast("array<struct<product_id:bigint,quantity:int,price:double>>"))
-    event_id = F.when(F.coalesce(F.col("_chunk"), F.lit(0)) == 0,
-                      F.concat(F.lit("order-"), F.col("id").cast("string"))) \
-                .otherwise(F.concat(F.lit("order-"), F.col("id").cast("string"), F.lit("-"),
-                                    F.col("_chunk").cast("string")))
-    return joined.select(event_id.alias("event_id"), F.col("created_at").alias("timestamp"),
+    return joined.select(F.concat(F.lit("order-"), F.col("id").cast("string")).alias("event_id"),
+                         F.col("created_at").alias("timestamp"),
                          F.col("id").alias("order_id"), F.lit("created").alias("event_type"),
                          "user_id", F.col("total_amount").cast("double").alias("total_amount"),
                          items.alias("items"))
 
 
 def envelopes(events: DataFrame, shop_orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """E1-E3 over the driver's tables: (topic, key, value)."""
+    """E1-E3 over the driver's tables: (topic, key, value, event_time)."""
     users = ev.user_event_envelopes(user_event_rows(events))
     products = ev.product_event_envelopes(product_event_rows(events),
                                           omit_quantity=F.col("_omit_quantity"))
@@ -118,9 +108,7 @@ def bad_messages(spark: SparkSession) -> DataFrame:
 def raw_stream_rows(spark: SparkSession, events: DataFrame, shop_orders: DataFrame,
                     lineitem: DataFrame) -> DataFrame:
     """The raw stream as a batch frame with the RAW_EVENT schema."""
-    good = envelopes(events, shop_orders, lineitem)
-    good = good.withColumn("timestamp", F.get_json_object("value", "$.timestamp")
-                           .cast("timestamp_ntz"))
+    good = envelopes(events, shop_orders, lineitem).withColumnRenamed("event_time", "timestamp")
     out = good.unionByName(bad_messages(spark))
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                         for f in schemas.RAW_EVENT.fields])

@@ -31,9 +31,13 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 def jdbc_options(url: str, table: str, partition_column: str | None = None,
                  lower_bound: int | None = None, upper_bound: int | None = None,
                  num_partitions: int = 64, fetch_size: int = 10_000,
-                 **extra: str) -> dict[str, str]:
+                 single_connection: bool = False, **extra: str) -> dict[str, str]:
     """Options for a partitioned JDBC read (one range per task, never one
-    driver-side frame). The database driver jar must be on the classpath."""
+    driver-side frame). The database driver jar must be on the classpath. Without a
+    partition column one task would read everything; that must be asked for."""
+    if partition_column is None and not single_connection:
+        raise ValueError("name a partition_column (with bounds), or ask for the whole table over "
+                         "one connection with single_connection=True")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if partition_column is not None:
         if lower_bound is None or upper_bound is None:
@@ -56,12 +60,19 @@ def read_jdbc(spark: SparkSession, schema: T.StructType | None = None, **options
     return df
 
 
+# One set for writing and reading. NULL is a control character no text of ours holds, so that it
+# stays apart from the empty text.
+CSV_OPTIONS = {"header": "true", "nullValue": "\u0001", "emptyValue": "\"\"", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def read_csv_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S5 re-aimed: header CSV read back with the schema it was written with
     (the reference re-inferred types, which turned decimals into floats and
-    read a category named ``NA`` as missing)."""
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("nullValue", "")
+    read a category named ``NA`` as missing). Values come back as written: blanks
+    at the ends, empty texts apart from NULL, quotes and line breaks. A file with
+    line breaks in values is read by one task; there is one file per writing task."""
+    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("emptyValue", "")
+            .option("multiLine", True)
             .option("mode", "FAILFAST")
             .csv(path))

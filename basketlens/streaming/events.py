@@ -37,22 +37,29 @@ JSON_DEFAULTS = {"metadata": "{}", "items": "[]"}
 # --- envelopes (producer side) ----------------------------------------------------
 
 def envelope(df: DataFrame, topic: str, key: str, fields: list[tuple[str, Column]]) -> DataFrame:
-    """(topic, key, value): the value is the JSON object of ``fields`` in order,
-    NULLs kept (the producer always writes every key); an empty key becomes a
-    NULL key, as the producer's key serializer does."""
+    """(topic, key, value, event_time): the value is the JSON object of ``fields`` in
+    order, NULLs kept (the producer always writes every key); an empty key becomes a
+    NULL key, as the producer's key serializer does. The event's time is carried
+    along, so that nobody parses the message again for it."""
     body = F.to_json(F.struct(*[c.alias(n) for n, c in fields]), {"ignoreNullFields": "false"})
     return df.select(F.lit(topic).alias("topic"),
                      F.nullif(F.col(key).cast("string"), F.lit("")).alias("key"),
-                     body.alias("value"))
+                     body.alias("value"), F.col("timestamp").alias("event_time"))
 
 
 def _json_or(col: str, default_json: str, df: DataFrame) -> Column:
-    """A nested JSON value: the column's JSON text parsed, or the default."""
+    """A nested JSON value: the column's JSON text parsed, or the default. A text that is
+    no JSON gives the default; ``bad_metadata`` picks those rows out."""
     if col in df.columns:
-        return F.coalesce(F.parse_json(F.col(col)), F.parse_json(F.lit(default_json)))
+        return F.coalesce(F.try_parse_json(F.col(col)), F.parse_json(F.lit(default_json)))
     return F.parse_json(F.lit(default_json))
 
 
+def bad_metadata(df: DataFrame) -> DataFrame:
+    """Producer rows whose metadata text is no JSON, to be set aside by the caller."""
+    return df.filter(F.col("metadata").isNotNull() & F.try_parse_json("metadata").isNull())
+
+
 def _event_id(df: DataFrame) -> Column:
     """The input's id when it has one, else a random UUID (uuid4)."""
     if "event_id" in df.columns:
@@ -101,7 +108,8 @@ def product_event_envelopes(df: DataFrame, omit_quantity: Column | None = None)
                           {"ignoreNullFields": "false"})
     return keyed.select(F.lit(PRODUCT_TOPIC).alias("topic"),
                         F.nullif(F.col("_key"), F.lit("")).alias("key"),
-                        F.when(omit_quantity, without_q).otherwise(with_q).alias("value"))
+                        F.when(omit_quantity, without_q).otherwise(with_q).alias("value"),
+                        F.col("timestamp").alias("event_time"))
 
 
 def order_event_envelopes(df: DataFrame) -> DataFrame:
@@ -227,7 +235,8 @@ def dead_letter(raw: DataFrame) -> DataFrame:
     """K6: messages of the three topics that cannot be stored, with a reason."""
     tagged = with_reason(raw.filter(F.col("topic").isin(*TOPIC_NAMES)))
     return (tagged.filter(F.col("reason").isNotNull())
-            .select("topic", F.col("value").cast("string").alias("value"), "reason"))
+            .select("topic", "key", F.col("value").cast("string").alias("value"), "timestamp",
+                    "reason"))
 
 
 def routed_counts(raw: DataFrame) -> DataFrame:
@@ -239,7 +248,7 @@ def routed_counts(raw: DataFrame) -> DataFrame:
     return tagged.groupBy(dest.alias("destination")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def event_layout(events: DataFrame, topic: str, num_partitions: int | None = None) -> DataFrame:
+def event_layout(events: DataFrame, topic: str) -> DataFrame:
     """K4: the stored order of an event table: rows of one day together,
     sorted by (timestamp, entity id) inside each file, with an ``event_date``
     partition column. Parquet row-group min/max statistics then prune scans on
@@ -247,9 +256,7 @@ def event_layout(events: DataFrame, topic: str, num_partitions: int | None = Non
     compaction of landed files."""
     sort_keys = list(schemas.TOPICS[topic][2])
     dated = events.withColumn("event_date", F.to_date("timestamp"))
-    if num_partitions is None:
-        num_partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range partitioning on (day, sort keys): a day holding a third of all
-    # events is cut into several tasks instead of landing in one.
-    return (dated.repartitionByRange(num_partitions, "event_date", *sort_keys)
+    # Range partitioning on (day, sort keys): a day holding a third of all events is cut
+    # into several tasks. Without a count AQE joins small ranges, so files follow bytes.
+    return (dated.repartitionByRange("event_date", *sort_keys)
             .sortWithinPartitions("event_date", *sort_keys))
