@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled_text
+from .common import filled_text, staged
 from .shingles import shingle_set
 
 # Word lists of the grammar.
@@ -45,8 +46,8 @@ REPORTS = {"said", "says", "say", "wrote", "writes", "called", "calls", "quoted"
 THREAT_WEIGHT, TARGET_FACTOR, NEGATION_FACTOR, REPORT_FACTOR = 2.0, 1.5, 0.3, 0.4
 DIRECT, REACH = 4, 3
 
-#: Bounds of what is fitted: labelled rows taken, and entries of the learned lexicon.
-TRAIN_ROWS, LEXICON_SIZE = 20_000, 2_000
+#: Bounds of what is fitted: labelled rows taken, lexicon entries tried, entries learned.
+TRAIN_ROWS, CANDIDATES, LEXICON_SIZE = 10_000, 20_000, 2_000
 MIN_FAMILIES, MIN_LOG_ODDS, MAX_CHANCE = 3, 2.0, 1e-6
 STEMS = (4, 5, 6)
 HELD_OUT_REMAINDER, FOLDS, THRESHOLD = 2, 4, 0.3
@@ -131,21 +132,39 @@ class Grammar:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _entries(batches):
-    """(entry, word, family, toxic): each word of a document with its entries. Near copies
-    mostly have the same family, a MinHash of their shingles, and count once."""
-    for batch in batches:
-        columns: tuple[list, ...] = ([], [], [], [])
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            shared = shingle_set(text, 3)
-            family = int(shared.view(np.int64).min()) if len(shared) else 0
-            own = [(f, w) for w in set(WORD.findall(text.lower())) for f in forms(w)]
-            for column, values in zip(columns, ([f for f, _ in own], [w for _, w in own],
-                                                [family] * len(own), [y] * len(own))):
-                column += values
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int32()))],
-            names=["entry", "word", "family", "toxic"])
+TOTAL = ""          # stands for all words of a document
+
+
+def _entries(wanted: frozenset | None):
+    """(entry, family, toxic, words): per document the number of different words that each
+    wanted entry (or any) stands for. Near copies mostly have the same family, a MinHash of
+    their shingles, and count once."""
+    def run(batches):
+        for batch in batches:
+            columns: tuple[list, ...] = ([], [], [], [])
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                shared = shingle_set(text, 3)
+                family = int(shared.view(np.int64).min()) if len(shared) else 0
+                words = set(WORD.findall(text.lower()))
+                own = Counter(f for w in words for f in forms(w) if wanted is None or f in wanted)
+                own[TOTAL] = len(words)
+                for column, values in zip(columns, (own.keys(), [family] * len(own),
+                                                    [y] * len(own), own.values())):
+                    column += values
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int32(),
+                                                          pa.int64()))],
+                names=["entry", "family", "toxic", "words"])
+    return run
+
+
+def _counted(sample: DataFrame, wanted: frozenset | None) -> DataFrame:
+    """Per entry: words in toxic documents, words in all, and toxic families."""
+    rows = sample.mapInArrow(_entries(wanted), "entry string, family bigint, toxic int, words bigint")
+    return (rows.groupBy("entry", "family").agg(F.max("toxic").alias("toxic"),
+                                                F.max("words").alias("words"))
+            .groupBy("entry").agg(F.sum(F.col("words") * F.col("toxic")).alias("bad"),
+                                  F.sum("words").alias("trials"), F.sum("toxic").alias("families")))
 
 
 def chance(hits: int, trials: int, rate: float) -> float:
@@ -191,26 +210,29 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Gra
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     # at most train_rows pairs of numbers: small enough to send to every task
-    sample = (docs.select("doc_id", filled_text().alias("text"))
-              .join(F.broadcast(usable), "doc_id").select("text", F.col("toxic").cast("int")))
-    trials = (sample.mapInArrow(_entries, "entry string, word string, family bigint, toxic int")
-              .groupBy("entry", "word", "family").agg(F.max("toxic").alias("toxic")))
-    counts = trials.filter("entry = word").groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
-    n = {int(r["toxic"]): r["n"] for r in counts.collect()}
-    if len(n) < 2:
+    sample = staged(docs.sparkSession, docs.select("doc_id", filled_text().alias("text"))
+                    .join(F.broadcast(usable), "doc_id")
+                    .groupBy("doc_id", F.col("toxic").cast("int").alias("toxic"))
+                    .agg(F.min("text").alias("text")).select("text", "toxic"), "toxicity_sample")
+    # entries of several toxic documents first, then how often the others have these
+    common = (_counted(sample.filter("toxic = 1"), None).filter(F.col("families") >= MIN_FAMILIES)
+              .orderBy(F.desc("families"), "entry").limit(CANDIDATES).select("entry").collect())
+    counts = {r["entry"]: r for r in
+              _counted(sample, frozenset(r["entry"] for r in common)).collect()}
+    total = counts.pop(TOTAL, None)
+    if total is None or not 0 < total["bad"] < total["trials"]:
         return Grammar()
-    odds = F.log((F.col("bad") + 0.5) / (n[1] + 1.0)) - F.log(
-        (F.col("trials") - F.col("bad") + 0.5) / (n[0] + 1.0))
-    lexicon = (trials.groupBy("entry", "family")
-               .agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("trials"))
-               .groupBy("entry").agg(F.sum("bad").alias("bad"), F.sum("trials").alias("trials"),
-                                     F.sum((F.col("bad") > 0).cast("int")).alias("families"))
-               .filter(F.col("families") >= MIN_FAMILIES).withColumn("odds", odds)
-               .filter(F.col("odds") >= MIN_LOG_ODDS)
-               .orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "entry").limit(LEXICON_SIZE))
-    rate = n[1] / (n[0] + n[1])
-    grammar = Grammar({r["entry"]: float(r["odds"]) for r in lexicon.collect()
-                       if chance(r["bad"], r["trials"], rate) < MAX_CHANCE})
+    rate = total["bad"] / total["trials"]
+    insults = {}
+    for entry, r in counts.items():
+        clean, all_clean = r["trials"] - r["bad"], total["trials"] - total["bad"]
+        odds = (math.log((r["bad"] + 0.5) / (total["bad"] + 1))
+                - math.log((clean + 0.5) / (all_clean + 1)))
+        if (r["families"] >= MIN_FAMILIES and odds >= MIN_LOG_ODDS
+                and chance(r["bad"], r["trials"], rate) < MAX_CHANCE):
+            insults[entry] = odds
+    strongest = sorted(insults, key=lambda e: (-insults[e] * math.sqrt(counts[e]["bad"]), e))
+    grammar = Grammar({e: insults[e] for e in strongest[:LEXICON_SIZE]})
     rows = sample.mapInArrow(_feature_rows(grammar), "best double, total double, density double, toxic int")
     found = np.array([tuple(r) for r in rows.collect()], dtype=float)
     grammar.curve = fit_curve(np.column_stack([np.ones(len(found)), found[:, :3]]), found[:, 3])
