@@ -9,19 +9,29 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..session import ensure_checkpoint_dir
 
-# Parents are settled in this order, so that every table whose rows can block a
-# parent (through a non-cascading key) has already lost its own deleted rows.
-DELETE_ORDER = ["orders", "products", "users", "categories"]
+def _cascades_first() -> list[str]:
+    """All tables, every parent of a cascading key before its children."""
+    order: list[str] = []
 
+    def place(table: str) -> None:
+        for child, _col, parent, _pcol, cascade in schemas.FOREIGN_KEYS:
+            if cascade and child == table and parent not in order:
+                place(parent)
+        if table not in order:
+            order.append(table)
+
+    for child, _col, parent, _pcol, _cascade in schemas.FOREIGN_KEYS:
+        place(parent)
+        place(child)
+    return order
 
-def _fk_children(parent: str, tables: dict[str, DataFrame], cascade: bool):
-    for child, col, par, pcol, on_cascade in schemas.FOREIGN_KEYS:
-        if par != parent or on_cascade != cascade or child == parent:
-            continue
-        c = tables.get(child)
-        if c is None or col not in c.columns:
-            continue
-        yield child, col, pcol
+
+def _keys(cascade: bool, tables: dict[str, DataFrame], child: str | None = None):
+    """Declared keys of one kind whose columns the tables have: (child, column, parent)."""
+    for c, col, parent, _pcol, on_cascade in schemas.FOREIGN_KEYS:
+        if (on_cascade == cascade and child in (None, c) and c in tables and parent in tables
+                and col in tables[c].columns):
+            yield c, col, parent
 
 
 def _settle(ids: DataFrame) -> DataFrame:
@@ -32,21 +42,39 @@ def _settle(ids: DataFrame) -> DataFrame:
     return ids.checkpoint(eager=True)
 
 
-def _remove(tables: dict[str, DataFrame], table: str, ids: DataFrame, key: str,
-            removed: dict[str, DataFrame]) -> None:
-    """Drop rows of ``table`` whose ``key`` is in ``ids`` and cascade on."""
+def _closure(tables: dict[str, DataFrame], roots: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per table the rows that go with the roots, as (_id, _root_table, _root): the roots
+    themselves and all that hangs on them through cascading keys."""
+    doomed: dict[str, DataFrame] = {}
+    for table in _cascades_first():
+        if table not in tables:
+            continue
+        parts = []
+        if table in roots:
+            parts.append(roots[table].select("_id", F.lit(table).alias("_root_table"),
+                                             F.col("_id").alias("_root")))
+        if "id" in tables[table].columns:
+            for _c, col, parent in _keys(True, tables, table):
+                if parent in doomed:
+                    rows = tables[table].select(F.col("id").alias("_child"), F.col(col).alias("_id"))
+                    parts.append(rows.join(doomed[parent], "_id").select(
+                        F.col("_child").alias("_id"), "_root_table", "_root"))
+        if parts:
+            found = parts[0]
+            for part in parts[1:]:
+                found = found.unionByName(part)
+            doomed[table] = _settle(found.distinct())
+    return doomed
+
+
+def _remaining(tables: dict[str, DataFrame], doomed: dict[str, DataFrame], table: str) -> DataFrame:
+    """Rows of a table outside the closure. A child without an id column goes by its keys."""
     df = tables[table]
-    gone = df.join(ids.select(F.col("_id").alias(key)), key, "left_semi")
-    tables[table] = df.join(ids.select(F.col("_id").alias(key)), key, "left_anti")
-    removed[table] = gone if table not in removed else removed[table].unionByName(gone)
-    if "id" not in df.columns:
-        return
-    children = list(_fk_children(table, tables, cascade=True))
-    if not children:
-        return
-    gone_ids = _settle(gone.select(F.col("id").alias("_id")))
-    for child, col, _pcol in children:
-        _remove(tables, child, gone_ids, col, removed)
+    own = [("id", table)] if "id" in df.columns else []
+    for col, of in own + [(col, parent) for _c, col, parent in _keys(True, tables, table)]:
+        if of in doomed:
+            df = df.join(doomed[of].select(F.col("_id").alias(col)).distinct(), col, "left_anti")
+    return df.select(*tables[table].columns)
 
 
 def cascade_delete(tables: dict[str, DataFrame],
@@ -54,40 +82,45 @@ def cascade_delete(tables: dict[str, DataFrame],
     """Delete ``requested[table]`` ids (a one-column frame ``id``) and
     everything that cascades from them; return (remaining tables, blocked).
 
-    PostgreSQL refuses to delete a parent still referenced through a key
-    without ON DELETE CASCADE. Here such ids are kept and returned as
-    ``blocked(table_name, id)`` instead of failing the whole job. All steps
-    are semi / anti joins, so no id list passes through the driver.
+    All requests are one delete. A requested id is blocked if a row that stays
+    refers, through a key without ON DELETE CASCADE, to the row itself or to one
+    that would go with it; PostgreSQL refuses there. What a blocked id would have taken
+    along stays too and may block others, so this repeats until nothing changes.
+    Blocked ids are kept and returned as ``blocked(table_name, id)``. Any table
+    may be requested. Ids that do not exist change nothing and are not reported.
+    All steps are semi / anti joins, so no id list passes through the driver.
     """
-    tables = dict(tables)
-    removed: dict[str, DataFrame] = {}
-    blocked_parts: list[DataFrame] = []
-    for table in DELETE_ORDER:
-        if table not in requested or table not in tables:
-            continue
-        ids = requested[table].select(F.col("id").alias("_id")).distinct()
-        blockers = None
-        for child, col, _pcol in _fk_children(table, tables, cascade=False):
-            # Distinct first: a parent referenced by a third of all child rows
-            # collapses to one row per map task before the shuffle.
-            refs = (tables[child].filter(F.col(col).isNotNull())
+    unknown = sorted(t for t in requested if t not in tables or "id" not in tables[t].columns)
+    if unknown:
+        raise ValueError(f"no table with ids to delete from: {', '.join(unknown)}")
+    spark = next(iter(tables.values())).sparkSession
+    roots = {t: _settle(tables[t].select(F.col("id").alias("_id")).distinct()
+                        .join(ids.select(F.col("id").alias("_id")).distinct(), "_id", "left_semi"))
+             for t, ids in requested.items()}
+    blocked_all = spark.range(0).select(F.lit("").alias("table_name"), F.col("id"))
+    while True:
+        doomed = _closure(tables, roots)
+        hits = None
+        for child, col, parent in _keys(False, tables):
+            if parent not in doomed:
+                continue
+            # Distinct first: a parent that a third of all child rows refer to is one row
+            # per map task before the shuffle.
+            refs = (_remaining(tables, doomed, child).filter(F.col(col).isNotNull())
                     .select(F.col(col).alias("_id")).distinct())
-            hit = ids.join(refs, "_id", "left_semi")
-            blockers = hit if blockers is None else blockers.unionByName(hit)
-        if blockers is not None:
-            blocked = blockers.distinct()
-            blocked_parts.append(blocked.select(F.lit(table).alias("table_name"),
-                                                F.col("_id").alias("id")))
-            ids = ids.join(blocked, "_id", "left_anti")
-        _remove(tables, table, _settle(ids), "id", removed)
-    if blocked_parts:
-        blocked_all = blocked_parts[0]
-        for part in blocked_parts[1:]:
-            blocked_all = blocked_all.unionByName(part)
-    else:
-        spark = next(iter(tables.values())).sparkSession
-        blocked_all = spark.createDataFrame([], "table_name string, id bigint")
-    return tables, blocked_all
+            hit = doomed[parent].join(refs, "_id", "left_semi").select("_root_table", "_root")
+            hits = hit if hits is None else hits.unionByName(hit)
+        if hits is None:
+            break
+        hits = _settle(hits.distinct())
+        if hits.isEmpty():
+            break
+        blocked_all = blocked_all.unionByName(
+            hits.select(F.col("_root_table").alias("table_name"), F.col("_root").alias("id")))
+        roots = {t: _settle(ids.join(hits.filter(F.col("_root_table") == t)
+                                     .select(F.col("_root").alias("_id")), "_id", "left_anti"))
+                 for t, ids in roots.items()}
+    return {t: _remaining(tables, doomed, t) for t in tables}, blocked_all
 
 
 def delete_summary(before: dict[str, DataFrame], after: dict[str, DataFrame],

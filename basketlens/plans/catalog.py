@@ -361,8 +361,9 @@ def _e6(t: ShopTables) -> DataFrame:
 @register("events_dead_letter")
 def _k6(t: ShopTables) -> DataFrame:
     dl = events.dead_letter(_raw_stream(t))
-    return dl.select("topic", "reason",
-                     F.get_json_object("value", "$.event_id").alias("event_id"))
+    return dl.select("topic", "key", "reason", "timestamp",
+                     F.when(F.col("reason") != "malformed_json",
+                            F.get_json_object("value", "$.event_id")).alias("event_id"))
 
 
 @register("events_routed_counts")
@@ -376,6 +377,18 @@ def _k4(t: ShopTables) -> DataFrame:
                                events.USER_TOPIC)
 
 
+@register("event_layout_products")
+def _k4_products(t: ShopTables) -> DataFrame:
+    return events.event_layout(events.normalise(_raw_stream(t), events.PRODUCT_TOPIC),
+                               events.PRODUCT_TOPIC)
+
+
+@register("event_layout_orders")
+def _k4_orders(t: ShopTables) -> DataFrame:
+    return events.event_layout(events.normalise(_raw_stream(t), events.ORDER_TOPIC),
+                               events.ORDER_TOPIC)
+
+
 # --- R4, R5 -------------------------------------------------------------------------
 
 ERASE_SIGNUPS_BEFORE = "2023-07-01 00:00:00"
@@ -383,14 +396,17 @@ ERASE_SIGNUPS_BEFORE = "2023-07-01 00:00:00"
 
 @register("cascade_delete")
 def _r4(t: ShopTables) -> DataFrame:
-    """Erase cancelled orders, discontinued products (stock -1) and accounts
-    that signed up before July 2023, with their cascades; report per table."""
+    """Erase cancelled orders, discontinued products (stock -1), accounts that signed
+    up before July 2023, every 97th cart and two categories, with their cascades; report
+    per table."""
     before = t.all_tables()
     requested = {
-        "orders": t.orders.filter(F.col("status") == "cancelled").select("id"),
+        "categories": t.categories.filter(F.col("id").isin(4, 6)).select("id"),
         "products": t.products.filter(F.col("stock_quantity") == -1).select("id"),
+        "carts": t.carts.filter(F.col("id") % 97 == 0).select("id"),
         "users": t.users.filter(F.col("created_at") < F.lit(ERASE_SIGNUPS_BEFORE)
                                 .cast("timestamp_ntz")).select("id"),
+        "orders": t.orders.filter(F.col("status") == "cancelled").select("id"),
     }
     after, blocked = upkeep.cascade_delete(before, requested)
     return upkeep.delete_summary(before, after, blocked)
@@ -425,18 +441,29 @@ def _r5_all(t: ShopTables) -> DataFrame:
 
 @register("events_ingest_stream")
 def _e7_stream(t: ShopTables) -> DataFrame:
-    """E7 end to end: the raw stream lands as files under the shared
-    checkpoint folder, the four Structured Streaming ingest queries run with
-    ``availableNow``, and the rows each sink stored are counted."""
+    """E7 end to end: the raw stream lands as files under the shared checkpoint folder, one
+    folder per topic, the Structured Streaming ingest queries of each topic run with
+    ``availableNow``, and the rows the sinks stored are read back."""
     base = scratch_path(t.spark, "ingest")
-    _raw_stream(t).write.parquet(f"{base}/landing")
-    stream = ingest.read_file_stream(t.spark, f"{base}/landing")
-    for query in ingest.start_ingest(stream, f"{base}/out", f"{base}/ckpt",
-                                     available_now=True).values():
+    _raw_stream(t).write.partitionBy("topic").parquet(f"{base}/landing")
+
+    def read_topic(topic: str) -> DataFrame:
+        return ingest.read_file_stream(t.spark, f"{base}/landing/topic={topic}").withColumn(
+            "topic", F.lit(topic))
+
+    for query in ingest.start_topic_ingest(read_topic, f"{base}/out", f"{base}/ckpt",
+                                           available_now=True).values():
         query.awaitTermination()
     stored = None
-    for name in events.TOPIC_NAMES + [ingest.DEAD_LETTER]:
-        part = ingest.read_landed(t.spark, f"{base}/out", name).select(
-            F.lit(name).alias("destination"))
+    for topic in events.TOPIC_NAMES:
+        entity = schemas.TOPICS[topic][0]
+        good = ingest.read_landed(t.spark, f"{base}/out", topic).select(
+            F.lit(topic).alias("destination"), "event_id", "event_type",
+            F.col(entity).alias("entity"), "timestamp", "metadata", F.lit(None).cast("string").alias("reason"))
+        bad = ingest.read_landed(t.spark, f"{base}/out", f"{ingest.DEAD_LETTER}_{topic}").select(
+            F.lit(ingest.DEAD_LETTER).alias("destination"),
+            *[F.lit(None).cast("string").alias(c) for c in ("event_id", "event_type")],
+            F.col("key").alias("entity"), "timestamp", F.lit(None).cast("string").alias("metadata"), "reason")
+        part = good.unionByName(bad)
         stored = part if stored is None else stored.unionByName(part)
-    return stored.groupBy("destination").agg(F.count(F.lit(1)).alias("rows"))
+    return stored

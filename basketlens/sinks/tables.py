@@ -12,6 +12,9 @@ from ..functions.exprs import as_of_ts
 from ..sources.tables import CSV_OPTIONS
 
 
+DAYS_PER_TASK = 32
+
+
 def daily_path(target: str) -> str:
     return f"{target.rstrip('/')}/daily_sales_summary"
 
@@ -46,9 +49,12 @@ def load_summary(df: DataFrame, path: str, overwrite_day: bool = False, load_tim
     stamped = df.withColumn("created_at", as_of_ts(load_time))
     ordered = stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                for f in schema.fields])
-    # Rows of a day together, tasks by bytes: one task for a single day, as many as the data
-    # fills for a backfill, whatever spark.sql.shuffle.partitions says.
-    writer = ordered.hint("rebalance", "order_date").write.partitionBy("order_date")
+    # Rows of a day together; the number of tasks follows the number of day folders to write,
+    # whatever spark.sql.shuffle.partitions says: one task for a single day. (A summary day is
+    # a few thousand rows, so creating the folders is the work.)
+    days = ordered.select("order_date").distinct().count()
+    writer = (ordered.repartition(max(1, -(-days // DAYS_PER_TASK)), "order_date")
+              .write.partitionBy("order_date"))
     if overwrite_day:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

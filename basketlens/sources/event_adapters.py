@@ -40,7 +40,23 @@ BAD_MESSAGES = [
      '{"event_id": "bad-6", "timestamp": "yesterday", "order_id": "9", '
      '"event_type": "created"}', "bad_timestamp"),
     ("audit_events", "1", '{"event_id": "bad-5"}', "unknown_topic"),
+    ("user_events", "8",
+     '{"event_id": "bad-8", "timestamp": "2024-01-15T10:00:00", "user_id": "8", '
+     '"event_type": "signup", "page": "/signup"} and more', "malformed_json"),
+    ("product_events", "9",
+     '{"event_id": "bad-9", "timestamp": "2024-01-15T10:00:00", "product_id": "9", '
+     '"event_type": "view", "product_id": "10"}', "malformed_json"),
+    ("user_events", "10",
+     '{"event_id": "bad-10", "timestamp": "2024-01-15T10:00:00", "user_id": "10", '
+     '"event_type": "signup", "page": {"a": 1}}', "bad_type:page"),
+    ("product_events", "11",
+     '{"event_id": "bad-11", "timestamp": "2024-01-15T10:00:00", "product_id": "11", '
+     '"event_type": "view", "quantity": "3"}', "bad_quantity"),
 ]
+# A good message whose time has a zone: it is stored as the same moment in UTC.
+ZONED_MESSAGE = ("user_events", "12",
+                 '{"event_id": "zoned-12", "timestamp": "2024-01-15T10:00:00+05:00", "user_id": "12", '
+                 '"event_type": "signup", "page": "/signup"}')
 BAD_MESSAGE_TIME = "2024-01-15 10:00:00"
 
 
@@ -100,7 +116,7 @@ def envelopes(events: DataFrame, shop_orders: DataFrame, lineitem: DataFrame) ->
 
 
 def bad_messages(spark: SparkSession) -> DataFrame:
-    rows = [(t, k, v) for t, k, v, _ in BAD_MESSAGES]
+    rows = [(t, k, v) for t, k, v, _ in BAD_MESSAGES] + [ZONED_MESSAGE]
     df = literal_rows(spark, rows, "topic string, key string, value string")
     return df.withColumn("timestamp", F.lit(BAD_MESSAGE_TIME).cast("timestamp_ntz"))
 

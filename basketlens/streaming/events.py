@@ -32,6 +32,7 @@ REQUIRED = {
     ORDER_TOPIC: ["event_id", "timestamp", "order_id", "event_type"],
 }
 JSON_DEFAULTS = {"metadata": "{}", "items": "[]"}
+END_FIELD = "__end_of_value__"
 
 
 # --- envelopes (producer side) ----------------------------------------------------
@@ -131,15 +132,30 @@ def order_event_envelopes(df: DataFrame) -> DataFrame:
 # --- decode, route, normalise (consumer side) -------------------------------------
 
 def decode(raw: DataFrame) -> DataFrame:
-    """Add ``m`` = the value as ``map<string,string>`` (NULL if malformed).
-    Nested objects and arrays come back as their JSON text.
-
-    The map is produced by a one-element ``explode`` (one row out per row in,
-    a NULL map included). A filter on a generated column is not pushed below
-    the generator, so Catalyst cannot inline ``from_json`` into every branch
-    of the validity test: each message is parsed exactly once."""
-    parsed = F.from_json(F.col("value").cast("string"), "map<string,string>")
-    return raw.select("*", F.explode(F.array(parsed)).alias("m"))
+    """Add ``m`` = the value as ``map<string,string>`` and ``v`` = the same as a
+    VARIANT, which knows each field's JSON type; both NULL if malformed. Nested objects
+    and arrays come back in ``m`` as their JSON text.
+
+    Malformed is what a strict parser refuses, a repeated key, anything behind the closing
+    brace, and a value that is no object. The value is parsed inside a wrapper whose last
+    field must be there, which text behind the brace cuts off; a value that holds the
+    reserved field name ``END_FIELD`` counts as malformed too.
+
+    Both come out of a one-element ``explode`` (one row out per row in). A filter on
+    a generated column is not pushed below the generator, so Catalyst cannot inline the
+    parsers into every branch of the validity test: each message is parsed once for the
+    values and once for the types."""
+    text = F.col("value").cast("string")
+    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(f',"{END_FIELD}":0}}')))
+    parsed = raw.select("*", F.explode(F.array(F.struct(
+        F.from_json(text, "map<string,string>").alias("m"), wrapped.alias("w")))).alias("j"))
+    body = F.try_variant_get(F.col("j.w"), "$.v", "variant")
+    whole = (F.try_variant_get(F.col("j.w"), f"$.{END_FIELD}", "int").isNotNull()
+             & F.schema_of_variant(body).startswith("OBJECT")
+             & ~F.contains(text, F.lit(END_FIELD)))
+    checked = parsed.select(*raw.columns, F.explode(F.array(F.struct(
+        F.when(whole, F.col("j.m")).alias("m"), F.when(whole, body).alias("v")))).alias("k"))
+    return checked.select(*raw.columns, "k.m", "k.v")
 
 
 def _has(key: str) -> Column:
@@ -150,9 +166,33 @@ def _get(key: str) -> Column:
     return F.col("m").getItem(key)
 
 
+def _is(key: str, *types: str) -> Column:
+    """The field's JSON type is one of ``types`` (prefixes of its SQL name)."""
+    found = F.schema_of_variant(F.try_variant_get(F.col("v"), f"$.{key}", "variant"))
+    test = F.lit(False)
+    for t in types:
+        test = test | found.startswith(t)
+    return F.coalesce(test, F.lit(False))
+
+
+NUMBER = ("BIGINT", "DECIMAL", "DOUBLE")
+# Fields that hold text when they are there and not null.
+TEXT_FIELDS = {
+    USER_TOPIC: ["event_id", "timestamp", "user_id", "event_type", "page", "session_id",
+                 "user_agent", "ip_address"],
+    PRODUCT_TOPIC: ["event_id", "timestamp", "product_id", "event_type", "user_id", "category_id"],
+    ORDER_TOPIC: ["event_id", "timestamp", "order_id", "event_type", "user_id", "payment_method"],
+}
+
+
 def _ts(key: str = "timestamp") -> Column:
-    """ISO text -> TIMESTAMP_NTZ truncated to the second (a DateTime column)."""
-    return trunc_second(F.expr(f"try_cast(m['{key}'] AS TIMESTAMP_NTZ)"))
+    """ISO text -> TIMESTAMP_NTZ truncated to the second (a DateTime column). A text
+    with a zone is that moment in UTC; one without is taken as it stands."""
+    zoned = _get(key).rlike("(Z|[+-][0-9]{2}:?[0-9]{2})$")
+    moment = F.expr(f"timestampadd(MICROSECOND, unix_micros(try_cast(m['{key}'] AS TIMESTAMP)), "
+                    "TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    return trunc_second(F.when(zoned, moment)
+                        .otherwise(F.expr(f"try_cast(m['{key}'] AS TIMESTAMP_NTZ)")))
 
 
 def _nested(key: str) -> Column:
@@ -168,19 +208,22 @@ def _reason(topic: str) -> Column:
     for key in REQUIRED[topic]:
         reason = reason.when(~_has(key), F.lit(f"missing_field:{key}"))
         reason = reason.when(_get(key).isNull(), F.lit(f"null_field:{key}"))
+    for key in TEXT_FIELDS[topic]:
+        reason = reason.when(_get(key).isNotNull() & ~_is(key, "STRING"), F.lit(f"bad_type:{key}"))
     reason = reason.when(_ts().isNull(), F.lit("bad_timestamp"))
     if topic == PRODUCT_TOPIC:
         reason = reason.when(_has("quantity") & _get("quantity").isNull(),
                              F.lit("null_field:quantity"))
         reason = reason.when(_has("quantity")
-                             & F.expr("try_cast(m['quantity'] AS INT)").isNull(),
+                             & (F.expr("try_cast(m['quantity'] AS INT)").isNull()
+                                | ~_is("quantity", "BIGINT")),
                              F.lit("bad_quantity"))
         reason = reason.when(_get("price").isNotNull()
-                             & F.expr("try_cast(m['price'] AS DOUBLE)").isNull(),
+                             & ~_is("price", *NUMBER),
                              F.lit("bad_price"))
     if topic == ORDER_TOPIC:
         reason = reason.when(_get("total_amount").isNotNull()
-                             & F.expr("try_cast(m['total_amount'] AS DOUBLE)").isNull(),
+                             & ~_is("total_amount", *NUMBER),
                              F.lit("bad_total_amount"))
     return reason
 

@@ -15,12 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from . import events
 
 DEAD_LETTER = "dead_letter"
+DAY_SPLITS = 2
 
 
 def kafka_source_options(bootstrap_servers: str, topics: list[str] | None = None,
@@ -67,6 +69,29 @@ def publish(envelopes: DataFrame, bootstrap_servers: str) -> None:
      .options(**kafka_sink_options(bootstrap_servers)).save())
 
 
+def _dated(plan: DataFrame) -> DataFrame:
+    """Landed rows carry their day, which is the folder they land in: a day's compaction
+    then reads that day's files only. A micro-batch brings each day's rows together in
+    at most DAY_SPLITS tasks, so it writes few files a day and a hot day is still cut."""
+    split = F.pmod(F.xxhash64(*plan.columns), F.lit(DAY_SPLITS))
+    return (plan.withColumn("event_date", F.to_date("timestamp"))
+            .repartition("event_date", split))
+
+
+def _start(plan: DataFrame, name: str, out_dir: str, checkpoint_root: str, available_now: bool,
+           processing_time: str | None) -> StreamingQuery:
+    writer = (_dated(plan).writeStream.format("parquet").outputMode("append")
+              .partitionBy("event_date")
+              .option("path", f"{out_dir}/{name}")
+              .option("checkpointLocation", f"{checkpoint_root}/{name}")
+              .queryName(f"ingest_{name}"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time is not None:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def start_ingest(raw: DataFrame, out_dir: str, checkpoint_root: str,
                  available_now: bool = False,
                  processing_time: str | None = None) -> dict[str, StreamingQuery]:
@@ -79,18 +104,8 @@ def start_ingest(raw: DataFrame, out_dir: str, checkpoint_root: str,
     checkpoint_root = checkpoint_root.rstrip("/")
     plans = {topic: events.normalise(raw, topic) for topic in events.TOPIC_NAMES}
     plans[DEAD_LETTER] = events.dead_letter(raw)
-    started: dict[str, StreamingQuery] = {}
-    for name, plan in plans.items():
-        writer = (plan.writeStream.format("parquet").outputMode("append")
-                  .option("path", f"{out_dir}/{name}")
-                  .option("checkpointLocation", f"{checkpoint_root}/{name}")
-                  .queryName(f"ingest_{name}"))
-        if available_now:
-            writer = writer.trigger(availableNow=True)
-        elif processing_time is not None:
-            writer = writer.trigger(processingTime=processing_time)
-        started[name] = writer.start()
-    return started
+    return {name: _start(plan, name, out_dir, checkpoint_root, available_now, processing_time)
+            for name, plan in plans.items()}
 
 
 def start_topic_ingest(read_topic, out_dir: str, checkpoint_root: str,
@@ -112,21 +127,20 @@ def start_topic_ingest(read_topic, out_dir: str, checkpoint_root: str,
         plans = {topic: events.normalise(raw, topic),
                  f"{DEAD_LETTER}_{topic}": events.dead_letter(raw)}
         for name, plan in plans.items():
-            writer = (plan.writeStream.format("parquet").outputMode("append")
-                      .option("path", f"{out_dir}/{name}")
-                      .option("checkpointLocation", f"{checkpoint_root}/{name}")
-                      .queryName(f"ingest_{name}"))
-            if available_now:
-                writer = writer.trigger(availableNow=True)
-            elif processing_time is not None:
-                writer = writer.trigger(processingTime=processing_time)
-            started[name] = writer.start()
+            started[name] = _start(plan, name, out_dir, checkpoint_root, available_now,
+                                   processing_time)
     return started
 
 
 def read_landed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    return landed_days(spark, out_dir, name).drop("event_date")
+
+
+def landed_days(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """Landed rows with their ``event_date`` folder."""
     schema = schemas.DEAD_LETTER if name.startswith(DEAD_LETTER) else schemas.TOPICS[name][1]
-    return spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{name}")
+    dated = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
+    return spark.read.schema(dated).parquet(f"{out_dir.rstrip('/')}/{name}")
 
 
 def compact_events(spark: SparkSession, landed_dir: str, table_dir: str, topic: str,
@@ -135,9 +149,9 @@ def compact_events(spark: SparkSession, landed_dir: str, table_dir: str, topic:
     table, partitioned by ``event_date`` and sorted by (timestamp, entity id)
     inside each file. Only the days written are replaced (dynamic partition
     overwrite), so rerunning a day is idempotent."""
-    landed = read_landed(spark, landed_dir, topic)
+    landed = landed_days(spark, landed_dir, topic)
     if day is not None:
-        landed = landed.filter(F.to_date("timestamp") == F.lit(str(day)).cast("date"))
-    laid_out = events.event_layout(landed, topic)
+        landed = landed.filter(F.col("event_date") == F.lit(str(day)).cast("date"))
+    laid_out = events.event_layout(landed.drop("event_date"), topic)
     (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date").parquet(f"{table_dir.rstrip('/')}/{topic}"))
