@@ -28,7 +28,7 @@ from ..session import scratch_path
 from .common import blocks, filled_text
 
 MANIFEST_SCHEMA = "part bigint, n_docs bigint, n_tokens bigint"
-CACHE_PIECES = 1_200_000
+CACHE_PIECES = 2_000_000
 CACHED_CHARS = 48
 CALL_PIECES = 2000
 PUNCTUATION = ",.;:!?"
@@ -36,7 +36,7 @@ BLOCK_CHARS = 1 << 20
 BLANK = "\u0120"          # how byte-level vocabularies write the blank
 # Two or more blanks, or a blank between two other white spaces: there a text can't be
 # cut at its blanks without changing how white space is grouped.
-UNSAFE = re.compile(r"\s \s|  ")
+UNSAFE = re.compile(r"[^\S ] [^\S ]")
 
 
 class PieceEncoder:
@@ -98,7 +98,8 @@ class PieceEncoder:
         return codes
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) or UNSAFE.search(t) is not None for t in texts]
+        whole = ["  " in t or UNSAFE.search(t) is not None or any(s in t for s in self.special)
+                 for t in texts]
         split = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
         first = [s.pop(0) if s else "" for s in split]
         new = set().union(*split).difference(self.cache)
