@@ -256,14 +256,11 @@ def test_alerts_table_appends_rows_by_day(spark, scratch):
     from basketlens.sinks import tables as sinks
 
     empty = spark.createDataFrame([], "metric_date date, daily_revenue decimal(20,2)")
-    alerts = monitor.alert_payloads(monitor.missing_input_alerts(
-        empty, monitor.TITLE_CHECK_FAILED, "Error: none", T(2024, 1, 31, 2)))
-    sinks.append_alerts(alerts, f"{scratch}/alerts")
-    sinks.append_alerts(alerts, f"{scratch}/alerts")
+    for day in (30, 31):
+        sinks.append_alerts(monitor.alert_payloads(monitor.missing_input_alerts(
+            empty, monitor.TITLE_CHECK_FAILED, "Error: none", T(2024, 1, day, 2))), f"{scratch}/alerts")
     back = spark.read.parquet(f"{scratch}/alerts")
-    assert back.count() == 2
-    assert {r.alert_date for r in back.select("alert_date").distinct().collect()} == {
-        dt.date(2024, 1, 31)}
+    assert sorted(r.check_date for r in back.collect()) == [dt.date(2024, 1, 30), dt.date(2024, 1, 31)]
     assert back.first().payload.startswith('{"text":"')
 
 
