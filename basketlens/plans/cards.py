@@ -74,19 +74,27 @@ def card_clv_values(clv: DataFrame) -> DataFrame:
     return clv.filter(F.col("total_orders") > 0).select("estimated_annual_value")
 
 
-def clv_histogram(clv: DataFrame, bins: int, lo: float, hi: float) -> DataFrame:
+def clv_histogram(clv: DataFrame, bins: int, lo: float | None = None,
+                  hi: float | None = None) -> DataFrame:
     """C8 binned on the cluster, so raw values never travel to the chart.
 
-    Bucket 0 holds values below ``lo``, bucket ``bins + 1`` values at or above
+    Without bounds the range is the values' own, from a one-row aggregate, and the
+    largest value falls into the last bucket. With bounds, bucket 0 holds values below ``lo``, bucket ``bins + 1`` values at or above
     ``hi`` (``width_bucket`` semantics), so no value is dropped. One partial
     count per bucket per task is shuffled.
     """
+    v = F.col("estimated_annual_value")
+    last = bins + 1
+    if lo is None or hi is None:
+        own = card_clv_values(clv).agg(F.min(v), F.max(v)).first()
+        lo, hi = (0.0, 1.0) if own[0] is None else own
+        hi = hi if hi > lo else lo + 1.0
+        last = bins
     if not (hi > lo) or bins < 1:
         raise ValueError("need hi > lo and bins >= 1")
-    v = F.col("estimated_annual_value")
     width = (hi - lo) / bins
     bucket = (F.when(v < F.lit(lo), F.lit(0))
-               .when(v >= F.lit(hi), F.lit(bins + 1))
+               .when(v >= F.lit(hi), F.lit(last))
                .otherwise(F.floor((v - F.lit(lo)) / F.lit(width)).cast("int") + 1))
     counted = (card_clv_values(clv).filter(v.isNotNull())
                .groupBy(bucket.cast("int").alias("bucket"))

@@ -92,7 +92,7 @@ def _sf(t: ShopTables) -> DataFrame:
 
 # --- C1-C10 -------------------------------------------------------------------
 
-CLV_BINS, CLV_LO, CLV_HI = 50, 0.0, 10_000_000.0
+CLV_BINS = 50
 
 
 def _pp_of(t: ShopTables) -> DataFrame:
@@ -145,7 +145,7 @@ def _c8(t: ShopTables) -> DataFrame:
 
 @register("card_clv_histogram")
 def _c8h(t: ShopTables) -> DataFrame:
-    return cards.clv_histogram(_clv_of(t), CLV_BINS, CLV_LO, CLV_HI)
+    return cards.clv_histogram(_clv_of(t), CLV_BINS)
 
 
 @register("card_customer_segments")
