@@ -294,7 +294,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
 
     Links join sets with 100 * intersection >= percent * union. A text without words (null,
     empty, blank) has an empty set and no link. Equal sets are one class, so copies and
-    repeated rows share a component; among rows that share an id all have the same kept flag.
+    repeated rows share a component; rows that repeat an id with another text are judged by
+    their own text.
     A row without an id joins the class of its set, never gives its name, and is not kept.
     Whole texts are read; only the two named columns are, so others cannot clash.
     """
@@ -336,7 +337,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose id is kept; rows that repeat an id stay together."""
+    """The rows of `docs` whose id is kept for one of its texts; rows that repeat an id stay
+    together, rows without an id go."""
     kept = near_dedup(docs, words, percent).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi")
 
