@@ -21,9 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, filled_text
+from .common import blocks, filled_text, kept
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 CACHED_CHARS = 48
 BLOCK_CHARS = 1 << 20
 END = "</w>"
@@ -35,6 +35,8 @@ ASCII_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 # same lower case and class in every Unicode version. Other pieces, and those with the
 # few characters whose lower case is not one letter, go through the library's own steps.
 OTHER = re.compile("[^!-~À-ÖØ-öø-įĲ-ž]|[İĲĳĿŀŉ]")
+OTHER_TEXT = re.compile("[^!-~\t-\r À-ÖØ-öø-įĲ-ž]|[İĲĳĿŀŉ]")
+PUNCTUATION = ",.;:!?"
 LATIN_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[^\sa-z0-9ß-öø-ž]+")
 
 
@@ -163,6 +165,8 @@ class WordCoder:
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
         self.words: dict[str, tuple[int, str, str]] = {}
+        self.marks = {m: (1, str(i), self.names[i]) for m, (i,) in
+                      zip(PUNCTUATION, self.pairs.encode(list(PUNCTUATION)))}
         self.cache: dict[str, tuple[int, str, str]] = {}
 
     def tokens(self, piece: str) -> list[str]:
@@ -178,17 +182,24 @@ class WordCoder:
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.names[i] for i in ids])
 
-    def learn(self, pieces: list[str], into: dict) -> None:
-        """Encode pieces not seen before; `into` gets (count, ids, decoded) of each."""
-        split = [self.tokens(p) for p in pieces]
+    def learn(self, pieces: set[str], into: dict) -> None:
+        """Encode pieces not seen before; `into` gets (count, ids, decoded) of each. A word and
+        one punctuation mark behind it are separate tokens, so the word is learned once."""
+        endings = {p: p[:-1] for p in pieces
+                   if p[-1] in PUNCTUATION and p[-2:-1].isalnum() and p[-2:].isascii()}
+        whole = [*pieces.difference(endings),
+                 *{w for w in endings.values() if w not in into and w not in pieces}]
+        split = [self.tokens(p) for p in whole]
         code = self.words
         if len(code) > CACHE_WORDS:
             code.clear()
         words = list({t for s in split for t in s if t not in code})
         code.update((word, (len(ids), " ".join(map(str, ids)), self.decode(ids)))
                     for word, ids in zip(words, self.pairs.encode(words)))
-        for piece, own in zip(pieces, split):
+        for piece, own in zip(whole, split):
             into[piece] = code[own[0]] if len(own) == 1 else _together([code[t] for t in own])
+        for piece, word in endings.items():
+            into[piece] = _together([into[word], self.marks[piece[-1]]])
 
     def pieces(self, text: str) -> list[str]:
         if any(c in text for c in SEPARATORS):
@@ -198,7 +209,10 @@ class WordCoder:
     def segments(self, text: str) -> list[str]:
         """Pieces of the text in order; special strings are pieces of their own."""
         if not any(s in text for s in self.special):
-            return self.pieces(text)
+            # lower case letter by letter is what the normaliser does; a special string must
+            # not come about by it
+            simple = "<|" not in text and not OTHER_TEXT.search(text)
+            return self.pieces(text.lower() if simple else text)
         out: list[str] = []
         for part in self.split_special.split(text):
             out += [part] if part in self.special else self.pieces(part)
@@ -214,21 +228,17 @@ class WordCoder:
             new = set().union(*split)
         for special in new.intersection(self.special):
             cache[special] = (1, str(self.special[special]), special)
-        self.learn(list(new.difference(self.special)), cache)
+        self.learn(new.difference(self.special), cache)
         out = [_together(list(map(cache.__getitem__, own))) for own in split]
         for piece in [p for p in new if len(p) > CACHED_CHARS]:
             del cache[piece]                    # long ones rarely come again
+            cache.pop(piece[:-1], None)
         return out
 
 
-_CODERS: dict[str, WordCoder] = {}
-
-
 def coder(path: str) -> WordCoder:
     """One coder for each worker process, kept from task to task."""
-    if path not in _CODERS:
-        _CODERS[path] = WordCoder(path)
-    return _CODERS[path]
+    return kept(("bpe", path), lambda: WordCoder(path))
 
 
 def _run(path: str, digest: bool):

@@ -59,3 +59,15 @@ def blocks(texts: list[str], chars: int):
             block, size = [], 0
     if block:
         yield block
+
+
+_KEPT: dict = {}
+
+
+def kept(name, make):
+    """What a worker process keeps from task to task. It keeps one thing at a time: a worker that
+    turns to another operator lets go of the caches of the one before."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]

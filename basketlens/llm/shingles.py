@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 500_000
+from .common import kept
+
+CACHE_WORDS = 250_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                  0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
@@ -18,8 +20,6 @@ class _WordHashes(dict):
         return value
 
 
-_HASHES = _WordHashes()
-
 
 def words(text: str) -> list[bytes]:
     """A-Z lower-cased, cut at blanks and the characters 9 to 13 only."""
@@ -28,7 +28,8 @@ def words(text: str) -> list[bytes]:
 
 def word_hashes(text: str) -> np.ndarray:
     own = words(text)
-    return np.fromiter(map(_HASHES.__getitem__, own), dtype=np.uint64, count=len(own))
+    hashes = kept("word hashes", _WordHashes)
+    return np.fromiter(map(hashes.__getitem__, own), dtype=np.uint64, count=len(own))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import blocks, filled_text
+from .common import blocks, filled_text, kept
 
 MANIFEST_SCHEMA = "part bigint, n_docs bigint, n_tokens bigint"
 CACHE_PIECES = 2_000_000
@@ -124,14 +124,9 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each worker process, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return kept(("token files", path), lambda: PieceEncoder(path))
 
 
 def file_system(uri: str):

@@ -87,7 +87,7 @@ class Grammar:
             got = (("I", weight) if weight else ("H", THREAT_WEIGHT) if word in THREATS
                    else ("T", 0.0) if word in TARGETS else ("N", 0.0) if word in NEGATIONS
                    else ("R", 0.0) if word in REPORTS else ("", 0.0))
-            if len(self.memo) > 200_000:
+            if len(self.memo) > 100_000:
                 self.memo.clear()
             self.memo[word] = got
         return got
