@@ -16,11 +16,9 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as entry  # noqa: E402
+from basketlens.plans import catalog as entry  # noqa: E402
 from basketlens.session import build_session  # noqa: E402
 
-EAGER = {"daily_sales_backfill", "csv_staging_roundtrip",
-         "events_ingest_stream"}   # these write when called
 
 
 def shape(plan: str) -> dict[str, int]:
@@ -43,8 +41,6 @@ def main() -> None:
     cols = None
     print(f"# Plan shapes at {os.path.basename(sf_dir)} (initial AQE plan, before runtime re-plan)\n")
     for key, fn in sorted(entry.queries().items()):
-        if key in EAGER:
-            continue
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf_dir).explain("formatted")
