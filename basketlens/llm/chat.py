@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import staged
+
 BLOCK_TURNS = 64
 KEY = ["n", "x", "y"]
 ROLE_OPEN, ROLE_CLOSE, TURN_END = "<|", "|>\n", "<|end|>\n"
@@ -58,7 +60,8 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, n_copies of the conversations that stay; of equal ones the smallest
     conv_id stays and n_copies counts them."""
-    points = prefix_hashes(_turns(conversations))
+    # read three times below, so the scan and the windows run once
+    points = staged(conversations.sparkSession, prefix_hashes(_turns(conversations)), "prefixes")
     full = points.groupBy("conv_id").agg(F.max(F.struct("n", "x", "y")).alias("f")).select(
         "conv_id", "f.n", "f.x", "f.y")
     whole = full.groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"),
@@ -89,7 +92,7 @@ def collapse_and_render(conversations: DataFrame) -> DataFrame:
     agree. A rendered conversation is one value of one row, so its turns meet in one task.
     Other columns are not read. An empty table gives an empty result.
     """
-    stay = maximal(conversations)
+    stay = staged(conversations.sparkSession, maximal(conversations), "chats")
     kept = conversations.join(stay.select(F.col("conv_id").alias("stay_id")),
                               F.col("conv_id") == F.col("stay_id"), "left_semi")
     return stay.join(render(kept), "conv_id")
