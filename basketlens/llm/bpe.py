@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import blocks, filled_text, kept
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000
 CACHED_CHARS = 48
 BLOCK_CHARS = 1 << 20
 END = "</w>"
@@ -164,7 +164,6 @@ class WordCoder:
         self.names.update({i: t for t, i in self.special.items()})
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
-        self.words: dict[str, tuple[int, str, str]] = {}
         self.marks = {m: (1, str(i), self.names[i]) for m, (i,) in
                       zip(PUNCTUATION, self.pairs.encode(list(PUNCTUATION)))}
         self.cache: dict[str, tuple[int, str, str]] = {}
@@ -190,12 +189,9 @@ class WordCoder:
         whole = [*pieces.difference(endings),
                  *{w for w in endings.values() if w not in into and w not in pieces}]
         split = [self.tokens(p) for p in whole]
-        code = self.words
-        if len(code) > CACHE_WORDS:
-            code.clear()
-        words = list({t for s in split for t in s if t not in code})
-        code.update((word, (len(ids), " ".join(map(str, ids)), self.decode(ids)))
-                    for word, ids in zip(words, self.pairs.encode(words)))
+        words = list({t for s in split for t in s})
+        code = {word: (len(ids), " ".join(map(str, ids)), self.decode(ids))
+                for word, ids in zip(words, self.pairs.encode(words))}
         for piece, own in zip(whole, split):
             into[piece] = code[own[0]] if len(own) == 1 else _together([code[t] for t in own])
         for piece, word in endings.items():
@@ -241,32 +237,48 @@ def coder(path: str) -> WordCoder:
     return kept(("bpe", path), lambda: WordCoder(path))
 
 
-def _run(path: str, digest: bool):
+def _ids(coded: list[tuple[int, str, str]]) -> pa.ListArray:
+    offsets = np.zeros(len(coded) + 1, dtype=np.int32)
+    np.cumsum([c[0] for c in coded], out=offsets[1:])
+    values = [np.fromstring(c[1], dtype=np.int32, sep=" ") for c in coded if c[0]]
+    return pa.ListArray.from_arrays(
+        offsets, np.concatenate(values) if values else np.empty(0, np.int32))
+
+
+def _sha256(texts) -> pa.Array:
+    return pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+
+
+#: What can be returned beside doc_id and n_tokens: column, type, how it is made.
+OUTPUTS = {
+    "ids": ("array<int>", _ids),
+    "decoded": ("string", lambda coded: pa.array([c[2] for c in coded], pa.string())),
+    "ids_sha256": ("string", lambda coded: _sha256(c[1] for c in coded)),
+    "decoded_sha256": ("string", lambda coded: _sha256(c[2] for c in coded)),
+}
+
+
+def _run(path: str, outputs: tuple[str, ...]):
     def run(batches):
         words = coder(path)
         for batch in batches:
-            coded = [c for block in blocks(batch.column(1).to_pylist(), BLOCK_CHARS)
-                     for c in words.block(block)]
-            sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-            if digest:
-                last = [pa.array([sha(c[1]) for c in coded], pa.string()),
-                        pa.array([sha(c[2]) for c in coded], pa.string())]
-                names = ["ids_sha256", "decoded_sha256"]
-            else:
-                last = [pa.array([list(map(int, c[1].split())) for c in coded],
-                                 pa.list_(pa.int32())),
-                        pa.array([c[2] for c in coded], pa.string())]
-                names = ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([c[0] for c in coded], pa.int64()), *last],
-                names=["doc_id", "n_tokens", *names])
+            texts, at = batch.column(1).to_pylist(), 0
+            for block in blocks(texts, BLOCK_CHARS):
+                coded = words.block(block)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(block)),
+                     pa.array([c[0] for c in coded], pa.int64()),
+                     *[OUTPUTS[o][1](coded) for o in outputs]],
+                    names=["doc_id", "n_tokens", *outputs])
+                at += len(block)
     return run
 
 
-def encode_decode(docs: DataFrame, vocabulary_path: str, digest: bool = False,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids, decoded of every row; with `digest` the SHA-256 of the
-    decimal ids joined by one space and of the decoded text in place of the last two.
+def encode_decode(docs: DataFrame, vocabulary_path: str,
+                  outputs: tuple[str, ...] = ("ids", "decoded"), id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens and the wanted `outputs` of every row: ids, decoded, and the SHA-256 of
+    the decimal ids joined by one space and of the decoded text.
 
     A null text counts as empty: no tokens, empty list, empty text. Rows are independent:
     repeated rows give repeated results, an empty table an empty result, other columns
@@ -275,7 +287,6 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, digest: bool = False,
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        filled_text(text_col).alias("text"))
-    last = ("ids_sha256 string, decoded_sha256 string" if digest
-            else "ids array<int>, decoded string")
-    return rows.mapInArrow(_run(vocabulary_path, digest),
-                           f"doc_id bigint, n_tokens bigint, {last}")
+    columns = ", ".join(f"{o} {OUTPUTS[o][0]}" for o in outputs)
+    return rows.mapInArrow(_run(vocabulary_path, tuple(outputs)),
+                           f"doc_id bigint, n_tokens bigint, {columns}")

@@ -63,7 +63,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
-                             tokenizer_path("word_bpe_49k.json"), digest=True)
+                             tokenizer_path("word_bpe_49k.json"),
+                             outputs=("ids_sha256", "decoded_sha256"))
 
 
 QUERIES = {

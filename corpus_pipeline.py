@@ -43,8 +43,7 @@ def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return (bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json"))
-            .select("doc_id", "n_tokens", "ids"))
+    return bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json"), outputs=("ids",))
 
 
 STAGES = [

@@ -62,7 +62,7 @@ def test_bpe_query_columns(spark):
         ids = library.encode(text or "", add_special_tokens=False).ids
         want.append((doc_id, len(ids), sha(" ".join(map(str, ids))),
                      sha(library.decode(ids, skip_special_tokens=False))))
-    got = tuples(bpe.encode_decode(docs(spark), path, digest=True), "doc_id", "n_tokens",
+    got = tuples(bpe.encode_decode(docs(spark), path, ("ids_sha256", "decoded_sha256")), "doc_id", "n_tokens",
                  "ids_sha256", "decoded_sha256")
     assert got == sorted(want, key=str)
     assert bpe.encode_decode(no_docs(spark), path).count() == 0
