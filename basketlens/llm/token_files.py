@@ -233,7 +233,8 @@ def _reader(folder: str, dtype: str):
 def read_token_files(spark: SparkSession, folder: str, vocabulary: int) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
     parts = read_manifest(spark, folder).filter("n_docs > 0").select("part", "base")
-    dealt = parts.repartition(F.col("part"))
+    # a fixed count: a row of the manifest is small, what it stands for is not
+    dealt = parts.repartition(max(1, parts.count()), "part")
     return dealt.mapInArrow(_reader(folder, id_type(vocabulary)),
                             "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
