@@ -207,6 +207,23 @@ def test_expected_tokens_have_the_target_shares(spark):
     assert p[0] == pytest.approx(1.0) and abs(p[1] - p[2]) < 0.06
 
 
+def test_a_nearly_empty_value_does_not_thin_out_the_rest(spark):
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source")
+    tiny = spark.createDataFrame([(10**9, "word " * 20, None, "src1")], rows.schema)
+    mixed = mixing.mix(rows.unionByName(tiny)).cache()
+    n, kept, tokens, expected = mixed.agg(
+        F.count(F.lit(1)), F.sum(F.col("selected").cast("int")), F.sum("tokens"),
+        F.sum(F.col("tokens") * F.col("probability"))).first()
+    assert kept > 0.5 * n and expected == pytest.approx(mixing.LEAST_KEPT * tokens, rel=1e-4)
+    assert mixed.filter("lang = 'unknown' AND probability = 1 AND selected").count() == 1
+    have = mixed.filter("lang <> 'unknown'").groupBy("lang").agg(
+        F.sum(F.col("tokens") * F.col("probability")).alias("e"), F.sum("tokens").alias("t")).collect()
+    total, tempered = sum(r.e for r in have), sum(r.t ** 0.7 for r in have)
+    for r in have:
+        assert r.e / total == pytest.approx(r.t ** 0.7 / tempered, rel=1e-4)
+    mixed.unpersist()
+
+
 def test_mixing_edges(spark):
     mixed = mixing.mix(docs(spark))
     assert mixed.count() == len(doc_rows())
