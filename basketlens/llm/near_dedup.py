@@ -336,13 +336,32 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str =
                          F.coalesce(F.col("doc_id") == root, F.lit(False)).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80,
+                     unnamed: bool = False) -> DataFrame:
     """The rows of `docs` whose id is kept for one of its texts; rows that repeat an id stay
-    together, rows without an id go."""
+    together. Rows without an id go, or, with `unnamed`, are judged like others: one row stays of
+    each group that has no id (the one whose text has the smallest number)."""
+    if unnamed:
+        ids = F.col("doc_id").cast("bigint")
+        top, without = docs.agg(F.max(ids), F.count_if(ids.isNull())).first()
+        if without:
+            return _drop_numbered(docs, words, percent, -1 if top is None else top)
     kept = near_dedup(docs, words, percent).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi")
 
 
+def _drop_numbered(docs: DataFrame, words: int, percent: int, top: int) -> DataFrame:
+    """drop_near_copies with a number above all ids, by its text, for each row without an id."""
+    number = F.lit(top + 1) + F.pmod(F.xxhash64(filled_text()), F.lit((1 << 63) - 1 - max(top, 0)))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), filled_text().alias("text"),
+                       F.coalesce(F.col("doc_id").cast("bigint"), number).alias("doc_id"))
+    kept = staged(docs.sparkSession, near_dedup(rows, words, percent).filter("kept")
+                  .select("doc_id").distinct(), "near_kept")
+    stay = rows.select("row", "doc_id").join(kept, "doc_id", "left_semi")
+    one = stay.filter("row.doc_id IS NULL").groupBy("doc_id").agg(F.min("row").alias("row"))
+    return (stay.filter("row.doc_id IS NOT NULL").select("row.*").unionByName(one.select("row.*")))
+
+
 ORACLE_SQL = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(

@@ -3,7 +3,7 @@
   toxicity     documents that the clause grammar rejects go
   exact_dedup  of equal texts the row with the largest doc_id stays
   near_dedup   of each near-duplicate group (five-word shingles, similarity 0.8) the row with the
-               smallest doc_id stays
+               smallest doc_id stays; of a group without any id one row stays
   mixing       documents are drawn so that source, language and topic reach target shares
   bpe          what is left is encoded
 """
@@ -33,7 +33,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return near_dedup.drop_near_copies(docs.select(*COLUMNS), words=5, percent=80)
+    return near_dedup.drop_near_copies(docs.select(*COLUMNS), words=5, percent=80, unnamed=True)
 
 
 def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

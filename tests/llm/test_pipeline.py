@@ -1,10 +1,12 @@
+import random
+
 import corpus_pipeline
 from tokenizers import Tokenizer
 
 from basketlens.llm import mixing, queries, toxicity
 from pyspark.sql import functions as F
 
-from .helpers import no_docs, tuples
+from .helpers import no_docs, prose, tuples
 from .test_dedup import brute_components
 
 DATA = "/root/testdata/sf0.001"
@@ -47,3 +49,17 @@ def test_stages_take_awkward_rows_and_extra_columns(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, rows, DATA)
         assert out.count() > 0, name
+
+
+def test_unnamed_documents_stay_unless_they_are_near_copies(spark):
+    rng = random.Random(12)
+    alone, shared, twice = (prose(rng, 80) for _ in range(3))
+    rows = [(7, shared), (None, shared + " end"), (None, alone), (None, twice), (None, twice),
+            (None, twice.upper() + " More"), (None, "")]
+    docs_ = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows],
+                                  "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs_, DATA)
+           .select("doc_id", "text").collect()]
+    named = [r for r in got if r[0] is not None]
+    assert named == [(7, shared)] and (None, alone) in got and (None, "") in got
+    assert len(got) == 4 and sum(t.lower().startswith(twice) for _, t in got) == 1
