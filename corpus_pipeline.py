@@ -5,7 +5,7 @@
   near_dedup   of each near-duplicate group (five-word shingles, similarity 0.8) the row with the
                smallest doc_id stays; of a group without any id one row stays
   mixing       documents are drawn so that source, language and topic reach target shares
-  bpe          what is left is encoded
+  bpe          what is left is encoded and decoded; the decoded text is returned as its digest
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json"), outputs=("ids",))
+    return bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json"), outputs=("ids", "decoded_sha256"))
 
 
 STAGES = [

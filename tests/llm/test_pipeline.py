@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import corpus_pipeline
@@ -63,3 +64,11 @@ def test_unnamed_documents_stay_unless_they_are_near_copies(spark):
     named = [r for r in got if r[0] is not None]
     assert named == [(7, shared)] and (None, alone) in got and (None, "") in got
     assert len(got) == 4 and sum(t.lower().startswith(twice) for _, t in got) == 1
+
+
+def test_pipeline_returns_the_digest_of_the_decoded_text(spark):
+    docs_ = spark.createDataFrame([(1, "some words here"), (2, "")], "doc_id bigint, text string")
+    library = Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
+    for r in corpus_pipeline.encode(spark, docs_, DATA).join(docs_, "doc_id").collect():
+        text = library.decode(library.encode(r.text, add_special_tokens=False).ids)
+        assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
