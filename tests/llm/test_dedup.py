@@ -200,6 +200,16 @@ def test_repeated_passages_against_brute_force(spark):
     assert set(got) <= near
 
 
+def test_a_passage_may_hold_a_sentence_that_its_partner_repeats():
+    rng = random.Random(21)
+    line = prose(rng, 15)
+    passage = f"{prose(rng, 18)} {line} {prose(rng, 18)}"
+    x = substring_dedup._tokens(f"{prose(rng, 30)} {passage} {prose(rng, 20)}")
+    y = substring_dedup._tokens(f"{line} {prose(rng, 25)} {line} {prose(rng, 9)} {passage}")
+    assert any(s <= 30 and e >= 81 for s, e in substring_dedup.passages(x, y))
+    assert any(s <= 64 and e >= 115 for s, e in substring_dedup.passages(y, x))
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substring_dedup.repeated_passages(no_docs(spark)).count() == 0
 
