@@ -210,6 +210,23 @@ def test_a_passage_may_hold_a_sentence_that_its_partner_repeats():
     assert any(s <= 64 and e >= 115 for s, e in substring_dedup.passages(y, x))
 
 
+def test_passages_around_a_frequent_line(spark):
+    """Pairs of documents share a passage around a line that all documents have."""
+    rng = random.Random(22)
+    line, rows = prose(rng, 44), []
+    for pair in range(20):
+        passage = f"{prose(rng, 4)} {line} {prose(rng, 4)}"
+        rows += [(100 + pair, f"{prose(rng, 40)} {passage} {prose(rng, 40)}"),
+                 (200 + pair, f"{prose(rng, 20)} {passage} {prose(rng, 60)}")]
+    rows += [(i, f"{prose(rng, 60)} {line} {prose(rng, 60)}") for i in (1, 2, 998, 999)]
+    got = defaultdict(set)
+    for r in substring_dedup.repeated_passages(
+            spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got[r.doc_id].update(range(r.start_word, r.end_word))
+    for pair in range(20):
+        assert set(range(40, 92)) <= got[100 + pair] and set(range(20, 72)) <= got[200 + pair]
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substring_dedup.repeated_passages(no_docs(spark)).count() == 0
 
