@@ -103,7 +103,7 @@ def _full_sets(k: int):
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, k) for t in batch.column(1).to_pylist()]
-            signatures = [minhash(s).astype("<u2").tobytes() for s in sets]
+            signatures = [minhash(s).astype("<u4").tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(signatures, pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["rid", "sig", "set"])
@@ -115,7 +115,7 @@ def _prune(least):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2")
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4")
                            .reshape(-1, LANES) for c in (2, 3))
             keep = pa.array(survivors(left, right, least), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -159,7 +159,7 @@ def _open_pairs(lefts, rights, least):
     earlier band, and their matches: every pair is looked at in one bucket only."""
     band = lefts[0][0]
     label = [np.array([r[2] for r in side]) for side in (lefts, rights)]
-    left, right = (np.frombuffer(b"".join([r[3] for r in side]), "<u2").reshape(-1, LANES)
+    left, right = (np.frombuffer(b"".join([r[3] for r in side]), "<u4").reshape(-1, LANES)
                    for side in (lefts, rights))
     ids = [np.array([r[1] for r in side]) for side in (lefts, rights)]
     once = dict(zip(ids[0].tolist(), range(len(lefts))))

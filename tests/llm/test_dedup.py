@@ -125,6 +125,15 @@ def test_near_dedup_edges(spark):
     assert kept.columns == docs(spark).columns and kept.filter("doc_id IS NULL").count() == 0
 
 
+def test_a_band_that_agrees_in_its_low_bits_only_is_not_shared():
+    left = np.arange(128, dtype="<u4") << 8
+    right = left.copy()
+    right[0] ^= 1 << 16
+    side = lambda rid, sig: [(1, rid, rid, sig.tobytes())]
+    found = list(near_dedup._open_pairs(side(1, left), side(2, right), near_dedup.fewest_matches(0.8)))
+    assert [i.tolist() for i, _, _ in found] == [[0]] and found[0][2].tolist() == [127]
+
+
 def test_bayes_bounds_rise_and_keep_true_pairs():
     least = near_dedup.fewest_matches(0.8)
     assert list(least) == [32, 64, 96, 128] and least[32] < 0.8 * 32
