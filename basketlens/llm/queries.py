@@ -7,10 +7,9 @@ columns from the operator's output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import (bpe, chat, exact_dedup, mixing, near_dedup, pii, substring_dedup, token_files,
-               topk, toxicity)
+from . import (bpe, chat, divergence, exact_dedup, fill_middle, mixing, near_dedup, pii,
+               substring_dedup, token_files, topk, toxicity, url_filter)
 from .common import table
 
 
@@ -67,6 +66,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              outputs=("ids_sha256", "decoded_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls(spark))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), model)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +90,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
+    "op11_divergence": op11_divergence,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_url_filter": op13_url_filter,
 }
 
 # What learned models, vocabularies or drawn samples decide has no SQL; tests/llm compares
@@ -87,4 +102,6 @@ ORACLE_SQL = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op4_exact_topk": topk.ORACLE_SQL,
     "op6_chat_format": chat.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
+    "op12_fill_middle": fill_middle.ORACLE_SQL,
 }
