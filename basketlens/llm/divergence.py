@@ -27,9 +27,11 @@ from .common import staged
 
 MIN_DOCS, SMOOTHING, TOP_TERMS = 30, 5, 50
 #: Rows of partial counts a task holds before it regroups, and before it hands them on.
-SHARD_ROWS, HANDED_ON = 400_000, 1_000_000
-#: (term, source) cells of one matrix: 32 MB of integers.
-SHARD_CELLS = 4_000_000
+SHARD_ROWS, HANDED_ON = 200_000, 400_000
+#: Characters of text whose terms are held at once (a longer text is taken alone).
+SLICE_CHARS = 2 << 20
+#: (term, source) cells of one matrix: 4 MB of integers.
+SHARD_CELLS = 500_000
 #: A cut is a run of characters that are neither letters of ASCII nor beyond ASCII.
 CUT = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -69,11 +71,20 @@ def regroup(shards: list[pa.Table]) -> pa.Table:
     return merged.rename_columns([*_KEYS, "n", "docs"]).cast(_COUNTS)
 
 
+def slices(batches):
+    """The rows of the batches in slices of about SLICE_CHARS characters, so that the terms of a slice
+    stay small whatever the batches are."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+        cuts = np.flatnonzero(np.diff(ends // SLICE_CHARS)) + 1 if len(ends) else []
+        for start, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if stop > start:
+                yield batch.slice(start, stop - start)
+
+
 def _partial_counts(batches):
     shards, fresh = [], 0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in slices(batches):
         shards.append(count_batch(batch))
         fresh += shards[-1].num_rows
         if fresh >= SHARD_ROWS:
