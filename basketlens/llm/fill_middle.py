@@ -33,6 +33,8 @@ UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 #: Characters of a piece (a longer unit is a piece of its own).
 CHUNK = 1 << 16
+#: Bytes of text for each task of the sorts.
+TASK_BYTES = 32 << 20
 
 #: Segments in output order for each form that moves text, with the mark before each.
 ORDERS = {"psm": ((PREFIX, "prefix"), (SUFFIX, "suffix"), (MIDDLE, "middle")),
@@ -102,18 +104,24 @@ def _spread(key) -> int:
     return zlib.crc32(key[0].encode())
 
 
+def sort_tasks(docs: DataFrame, text_col: str = "text") -> int:
+    """How many tasks share the sorts: one for every TASK_BYTES of text, however the input is split."""
+    n = docs.agg(F.sum(F.octet_length(filled_text(text_col).cast("string")))).first()[0] or 0
+    return max(1, -(-n // TASK_BYTES))
+
+
 def sorted_pieces(docs: DataFrame, seed: int = 42, size: int = CHUNK, text_col: str = "text",
                   id_col: str = "doc_id"):
     """RDD of ((row name, output position), payload), each row's pieces in output order within one
-    partition: the row itself, then marks and chunks of text. The sort takes as many tasks as the
-    input has, whose size the session's split size sets; a document stays in one."""
+    partition: the row itself, then marks and chunks of text. A document's
+    pieces stay in one task, which streams them."""
     rows = docs.select(F.col(id_col), filled_text(text_col).cast("string")).rdd
 
     def emit(part, found):
         for doc_id, own in found:
             yield from pieces_of(doc_id, own, part, seed, size)
     return rows.mapPartitionsWithIndex(emit).repartitionAndSortWithinPartitions(
-        max(1, rows.getNumPartitions()), _spread)
+        sort_tasks(docs, text_col), _spread)
 
 
 def documents_of(sorted_rows):
