@@ -16,6 +16,7 @@ from ..functions.exprs import portable
 from ..operators import metrics, monitor, quality, sales, upkeep
 from ..session import scratch_path
 from ..sinks import tables as sink_tables
+from ..sinks import versions
 from ..sources import event_adapters
 from ..sources.adapters import ShopTables
 from ..sources.tables import read_csv_staging
@@ -202,8 +203,11 @@ def _t4(t: ShopTables) -> DataFrame:
     shared checkpoint folder, then read both loaded tables back."""
     target = scratch_path(t.spark, "daily_pipeline")
     sales.run_daily_pipeline(t.spark, t, target, run_date=None)
-    daily, hourly = (sink_tables.read_summary(t.spark, path(target)).drop("created_at")
-                     for path in (sink_tables.daily_path, sink_tables.hourly_path))
+    return _both_summaries(*(sink_tables.read_summary(t.spark, path(target)).drop("created_at")
+                             for path in (sink_tables.daily_path, sink_tables.hourly_path)))
+
+
+def _both_summaries(daily: DataFrame, hourly: DataFrame) -> DataFrame:
     return daily.select(F.lit("daily").alias("summary"), "order_date", "category_name",
                         F.lit(-1).alias("order_hour"), F.col("total_orders").alias("orders"),
                         F.col("unique_customers").alias("customers"),
@@ -216,6 +220,31 @@ def _t4(t: ShopTables) -> DataFrame:
                       F.lit(-1).cast("bigint").alias("items_sold")))
 
 
+@register("versioned_backfill")
+def _t4_versions(t: ShopTables) -> DataFrame:
+    """T4 with versions: an earlier state of the shop is loaded (some orders not there yet), then a run is
+    stopped after its tables and before its commit, then all orders come in as a load of the changed
+    days. Both tables as readers see them."""
+    target = scratch_path(t.spark, "versions")
+    early = _EarlyShop(t)
+    sales.run_versioned_pipeline(t.spark, early, target, "early", load_time=LOAD_TIME)
+    part = sales.daily_sales_summary(_extract_of(t, RUN_DATE))
+    versions.write_tables({"daily_sales_summary": sink_tables.stamped(part, "daily_sales_summary", LOAD_TIME)},
+                          target, "stopped", "order_date")
+    sales.run_versioned_pipeline(t.spark, t, target, "now", load_time=LOAD_TIME)
+    return _both_summaries(*(sink_tables.read_loaded(t.spark, target, n).drop("created_at")
+                             for n in ("daily_sales_summary", "hourly_sales_summary")))
+
+
+class _EarlyShop:
+    """The shop before the orders of three days came in, and with one order of a fourth day missing."""
+    def __init__(self, t: ShopTables):
+        self.order_items, self.products, self.categories, self.users = (
+            t.order_items, t.products, t.categories, t.users)
+        late = F.to_date("created_at").isin(*[(AS_OF - dt.timedelta(days=d)).date() for d in (1, 30, 90)])
+        self.orders = t.orders.filter(~F.coalesce(late, F.lit(False)) & (F.col("id") != 7))
+
+
 @register("csv_staging_roundtrip")
 def _k3(t: ShopTables) -> DataFrame:
     """K3 + S5: the extract written as header CSV and read back with its schema."""
@@ -295,6 +324,22 @@ def _m3(t: ShopTables) -> DataFrame:
     return monitor.revenue_alerts(_trailing_of(t))
 
 
+@register("alerts_merged")
+def _m5_merge(t: ShopTables) -> DataFrame:
+    """M5: the history of alerts is merged day by day; then every second day is checked again without an
+    alert, which resets it."""
+    path = scratch_path(t.spark, "alerts")
+    checks = monitor.revenue_alerts(_trailing_of(t))
+    days = checks.select(F.col("metric_date").alias("check_date"))
+    found = checks.filter(F.col("alert_title").isNotNull()).select(
+        F.col("metric_date").alias("check_date"), "alert_title", "message", F.col("status").alias("severity"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("alert_time"))
+    sink_tables.merge_alerts(t.spark, monitor.alert_payloads(found), days, path, "history")
+    again = days.filter(F.day("check_date") % 2 == 0)
+    sink_tables.merge_alerts(t.spark, t.spark.createDataFrame([], sink_tables.ALERT_ROWS), again, path, "again")
+    return sink_tables.read_alerts(t.spark, path).select("check_date", "alert_title", "message", "severity")
+
+
 @register("monitor_revenue_check")
 def _m3_day(t: ShopTables) -> DataFrame:
     """M3 for the checked day alone, as one scheduled run does it."""

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.exprs import as_of_ts
-from ..sources.tables import CSV_OPTIONS
+from ..sources.tables import CSV_OPTIONS, csv_encoded
+from . import versions
 
 
 DAYS_PER_TASK = 32
@@ -71,11 +72,49 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv_staging(df: DataFrame, path: str) -> None:
     """K3 re-aimed: header CSV, one file per task, no index column, lossless."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    csv_encoded(df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
-    """M5 sink: alerts are rows in a table, partitioned by the day they are about.
-    A day that is checked again replaces its alerts, so a rerun adds no second one."""
+    """M5 sink, simple form: alerts are rows in a table, partitioned by the day they are about.
+    Days that are in the frame replace what is stored; a day checked without an alert is not in
+    it and stays as it was. ``merge_alerts`` resets such days."""
     (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("check_date").parquet(path))
+
+
+ALERT_ROWS = T.StructType([
+    T.StructField("check_date", T.DateType()), T.StructField("alert_title", T.StringType()),
+    T.StructField("message", T.StringType()), T.StructField("severity", T.StringType()),
+    T.StructField("alert_time", T.TimestampNTZType()), T.StructField("payload", T.StringType())])
+
+
+def merge_alerts(spark: SparkSession, alerts: DataFrame, checked: DataFrame, path: str,
+                 run_id: str) -> bool:
+    """M5 sink: one check run. ``checked`` has the days the run looked at (``check_date``); each has
+    afterwards exactly the alerts this run raised for it, none if it raised none. A repeated run adds
+    nothing. Alerts about other days than the checked ones are checked days too."""
+    rows = alerts.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERT_ROWS.fields])
+    days = (checked.select(F.col("check_date").alias("day"), F.lit(0).alias("n"))
+            .unionByName(rows.select(F.col("check_date").alias("day"), F.lit(1).alias("n")))
+            .groupBy("day").agg(F.sum("n").cast("bigint").alias("n_rows")))
+    return versions.load_run(spark, path, run_id, {"alerts": rows}, "check_date", days)
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read_current(spark, path, "alerts", ALERT_ROWS, "check_date")
+
+
+def read_loaded(spark: SparkSession, target: str, name: str) -> DataFrame:
+    """A summary table of ``sales.run_versioned_pipeline``: ``daily_sales_summary`` or ``hourly_sales_summary``."""
+    return versions.read_current(spark, target, name, SUMMARIES[name], "order_date")
+
+
+SUMMARIES = {"daily_sales_summary": schemas.DAILY_SALES_SUMMARY,
+             "hourly_sales_summary": schemas.HOURLY_SALES_SUMMARY}
+
+
+def stamped(df: DataFrame, name: str, load_time=None) -> DataFrame:
+    """Summary rows with ``created_at``, in the stored types and order."""
+    rows = df.withColumn("created_at", as_of_ts(load_time))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SUMMARIES[name].fields])

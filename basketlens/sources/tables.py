@@ -7,6 +7,7 @@ filters into the scan (``ReadSchema`` / ``PushedFilters`` in the plan).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -60,19 +61,46 @@ def read_jdbc(spark: SparkSession, schema: T.StructType | None = None, **options
     return df
 
 
-# One set for writing and reading. NULL is a control character no text of ours holds, so that it
-# stays apart from the empty text.
-CSV_OPTIONS = {"header": "true", "nullValue": "\u0001", "emptyValue": "\"\"", "quote": '"', "escape": '"',
+# One set for writing and reading. Texts go through ``csv_encoded``, so no value holds a
+# line break, and no text is empty or missing in the file.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "lineSep": "\n",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_NULL, CSV_EMPTY = "\\N", "\\E"
+# Code per character; the backslash's own code is put in first and taken out last.
+CSV_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def csv_encoded(df: DataFrame) -> DataFrame:
+    """Text columns with line breaks, the backslash, NULL and the empty text as codes of two characters,
+    so that each row is one line and a file can be cut anywhere."""
+    def code(c):
+        out = F.col(c)
+        for char, short in CSV_CODES:
+            out = F.replace(out, F.lit(char), F.lit(short))
+        return F.coalesce(F.when(F.col(c) == "", F.lit(CSV_EMPTY)).otherwise(out), F.lit(CSV_NULL)).alias(c)
+    texts = _texts(df.schema)
+    return df.select(*[code(c) if c in texts else F.col(c) for c in df.columns])
+
+
+def csv_decoded(df: DataFrame) -> DataFrame:
+    def text(c):
+        out = F.col(c)
+        for char, short in reversed(CSV_CODES):
+            out = F.replace(out, F.lit(short), F.lit(char))
+        return (F.when(F.col(c) == CSV_NULL, F.lit(None)).when(F.col(c) == CSV_EMPTY, F.lit(""))
+                .otherwise(out).alias(c))
+    texts = _texts(df.schema)
+    return df.select(*[text(c) if c in texts else F.col(c) for c in df.columns])
 
 
 def read_csv_staging(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S5 re-aimed: header CSV read back with the schema it was written with
     (the reference re-inferred types, which turned decimals into floats and
-    read a category named ``NA`` as missing). Values come back as written: blanks
-    at the ends, empty texts apart from NULL, quotes and line breaks. A file with
-    line breaks in values is read by one task; there is one file per writing task."""
-    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("emptyValue", "")
-            .option("multiLine", True)
-            .option("mode", "FAILFAST")
-            .csv(path))
+    read a category named ``NA`` as missing). Every value comes back as written: blanks
+    at the ends, empty texts apart from NULL, quotes, line breaks and control characters. A row is a
+    line, so large files are split over tasks."""
+    return csv_decoded(spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "FAILFAST").csv(path))

@@ -13,6 +13,8 @@ absent keys, as ``dict.get(k, default)`` does.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,6 @@ REQUIRED = {
     ORDER_TOPIC: ["event_id", "timestamp", "order_id", "event_type"],
 }
 JSON_DEFAULTS = {"metadata": "{}", "items": "[]"}
-END_FIELD = "__end_of_value__"
 
 
 # --- envelopes (producer side) ----------------------------------------------------
@@ -137,22 +138,22 @@ def decode(raw: DataFrame) -> DataFrame:
     and arrays come back in ``m`` as their JSON text.
 
     Malformed is what a strict parser refuses, a repeated key, anything behind the closing
-    brace, and a value that is no object. The value is parsed inside a wrapper whose last
-    field must be there, which text behind the brace cuts off; a value that holds the
-    reserved field name ``END_FIELD`` counts as malformed too.
+    brace, and a value that is no object. The value is parsed as the first element of a list whose
+    second is a mark drawn for this query: what stands behind the brace either breaks the list or takes
+    the mark's place, and no message can know the mark.
 
     Both come out of a one-element ``explode`` (one row out per row in). A filter on
     a generated column is not pushed below the generator, so Catalyst cannot inline the
     parsers into every branch of the validity test: each message is parsed once for the
     values and once for the types."""
     text = F.col("value").cast("string")
-    wrapped = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit(f',"{END_FIELD}":0}}')))
+    mark = uuid.uuid4().hex
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]')))
     parsed = raw.select("*", F.explode(F.array(F.struct(
         F.from_json(text, "map<string,string>").alias("m"), wrapped.alias("w")))).alias("j"))
-    body = F.try_variant_get(F.col("j.w"), "$.v", "variant")
-    whole = (F.try_variant_get(F.col("j.w"), f"$.{END_FIELD}", "int").isNotNull()
-             & F.schema_of_variant(body).startswith("OBJECT")
-             & ~F.contains(text, F.lit(END_FIELD)))
+    body = F.try_variant_get(F.col("j.w"), "$[0]", "variant")
+    whole = ((F.try_variant_get(F.col("j.w"), "$[1]", "string") == F.lit(mark))
+             & F.schema_of_variant(body).startswith("OBJECT"))
     checked = parsed.select(*raw.columns, F.explode(F.array(F.struct(
         F.when(whole, F.col("j.m")).alias("m"), F.when(whole, body).alias("v")))).alias("k"))
     return checked.select(*raw.columns, "k.m", "k.v")
@@ -282,6 +283,23 @@ def dead_letter(raw: DataFrame) -> DataFrame:
                     "reason"))
 
 
+def routed(raw: DataFrame, topics: list[str]) -> DataFrame:
+    """Every message of ``topics`` parsed once, ready to be stored: ``destination`` (its topic, or
+    ``dead_letter``) and one struct per destination, filled where the row goes there."""
+    tagged = with_reason(raw.filter(F.col("topic").isin(*topics)))
+    good = F.col("reason").isNull()
+    bad = F.struct("topic", "key", F.col("value").cast("string").alias("value"), "timestamp", "reason")
+    return tagged.select(
+        F.when(good, F.col("topic")).otherwise("dead_letter").alias("destination"),
+        *[F.when(good & (F.col("topic") == t), F.struct(*_normalised_columns(t))).alias(t) for t in topics],
+        F.when(~good, bad).alias("dead_letter"))
+
+
+def stored_columns(topic: str) -> list[Column]:
+    """The topic's struct of ``routed`` as columns in the types and order of its event table."""
+    return [F.col(f"{topic}.{f.name}").cast(f.dataType).alias(f.name) for f in schemas.TOPICS[topic][1].fields]
+
+
 def routed_counts(raw: DataFrame) -> DataFrame:
     """Rows per destination (three tables, dead letter, ignored topics)."""
     tagged = with_reason(raw)

@@ -1,11 +1,12 @@
 """The ingest as Structured Streaming queries, plus the Kafka source and
 sink option builders (S1, K8) and the batch compaction of landed days (K4).
 
-One query per destination (three event tables and the dead letter), each
-with its own checkpoint. The parquet file sink is exactly-once on its own:
-a restarted query resumes from its checkpointed offsets and the sink's log
-drops any half-written batch. Readers must go through Spark, which honours
-that log. Offsets live in the checkpoints, not in a consumer group.
+Each query parses a message once: a micro-batch is decoded, tagged and kept while its good rows go
+to their event tables and its bad ones to the dead letter. What a batch wrote counts from its
+entry in the ingest log on. A batch stopped before that is run again by Spark with the same number
+and the same messages and writes the same folders anew, so every message is stored exactly once.
+Readers use ``read_landed``, which honours the log. Offsets live in the checkpoints, not in a
+consumer group; a checkpoint belongs to its output, so start over with a new checkpoint root.
 
 No Kafka connector jar ships with PySpark here, so tests drive the same
 queries from the file stream source with the same columns.
@@ -13,16 +14,23 @@ queries from the file stream source with the same columns.
 
 from __future__ import annotations
 
+import zlib
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..sinks.versions import read_if_there
 from . import events
 
 DEAD_LETTER = "dead_letter"
-DAY_SPLITS = 2
+LOG = "ingest_log"
+LOG_SCHEMA = T.StructType([
+    T.StructField("ingest", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("table", T.StringType()), T.StructField("n_rows", T.LongType())])
 
 
 def kafka_source_options(bootstrap_servers: str, topics: list[str] | None = None,
@@ -69,21 +77,61 @@ def publish(envelopes: DataFrame, bootstrap_servers: str) -> None:
      .options(**kafka_sink_options(bootstrap_servers)).save())
 
 
-def _dated(plan: DataFrame) -> DataFrame:
-    """Landed rows carry their day, which is the folder they land in: a day's compaction
-    then reads that day's files only. A micro-batch brings each day's rows together in
-    at most DAY_SPLITS tasks, so it writes few files a day and a hot day is still cut."""
-    split = F.pmod(F.xxhash64(*plan.columns), F.lit(DAY_SPLITS))
-    return (plan.withColumn("event_date", F.to_date("timestamp"))
-            .repartition("event_date", split))
-
-
-def _start(plan: DataFrame, name: str, out_dir: str, checkpoint_root: str, available_now: bool,
-           processing_time: str | None) -> StreamingQuery:
-    writer = (_dated(plan).writeStream.format("parquet").outputMode("append")
-              .partitionBy("event_date")
-              .option("path", f"{out_dir}/{name}")
-              .option("checkpointLocation", f"{checkpoint_root}/{name}")
+def _log(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    return read_if_there(spark, f"{out_dir}/{LOG}", LOG_SCHEMA)
+
+
+def ingest_name(checkpoint: str) -> str:
+    """The folder name of a query's output: its checkpoint's path as a number, since batch numbers count
+    within one checkpoint."""
+    return f"{zlib.crc32(checkpoint.encode()):08x}"
+
+
+def _record(spark: SparkSession, out_dir: str, ingest: str, batch_id: int,
+            counts: dict[str, int]) -> None:
+    """The batch's log entry: one file, so it is there or not."""
+    rows = [(ingest, batch_id, table, n) for table, n in sorted(counts.items())]
+    entry = ", ".join(f"('{i}', {b}L, '{t}', {n}L)" for i, b, t, n in rows)
+    (spark.sql(f"SELECT * FROM VALUES {entry} AS t(ingest, batch_id, `table`, n_rows)").coalesce(1)
+     .write.mode("append").parquet(f"{out_dir}/{LOG}"))
+
+
+def _store_batch(batch: DataFrame, batch_id: int, topics: list[str], dead_letter: str, out_dir: str,
+                 ingest: str) -> None:
+    """Parse a micro-batch once and store it under its number. The number of writing tasks follows the
+    rows: days are rebalanced by size, a large day over several tasks, small ones together."""
+    spark = batch.sparkSession
+    log = _log(spark, out_dir)
+    done = (F.col("ingest") == ingest) & (F.col("batch_id") == batch_id)
+    if log is not None and not log.filter(done).isEmpty():
+        return
+    routed = events.routed(batch, topics).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = {r["destination"]: r["n"] for r in routed.groupBy("destination").agg(
+            F.count(F.lit(1)).alias("n")).collect()}
+        for table in [*topics, DEAD_LETTER]:
+            if not counts.get(table):
+                continue
+            name = dead_letter if table == DEAD_LETTER else table
+            columns = [f"{DEAD_LETTER}.*"] if table == DEAD_LETTER else events.stored_columns(table)
+            rows = routed.filter(F.col("destination") == table).select(*columns)
+            (rows.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", F.col("event_date"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date")
+             .parquet(f"{out_dir}/{name}/ingest={ingest}/batch_id={batch_id}"))
+        named = {dead_letter if t == DEAD_LETTER else t: counts.get(t, 0) for t in [*topics, DEAD_LETTER]}
+        _record(spark, out_dir, ingest, batch_id, named)
+    finally:
+        routed.unpersist()
+
+
+def _start(raw: DataFrame, name: str, topics: list[str], dead_letter: str, out_dir: str,
+           checkpoint_root: str, available_now: bool, processing_time: str | None) -> StreamingQuery:
+    checkpoint = f"{checkpoint_root}/{name}"
+    ingest = ingest_name(checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        _store_batch(batch, batch_id, topics, dead_letter, out_dir, ingest)
+    writer = (raw.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
               .queryName(f"ingest_{name}"))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -95,17 +143,14 @@ def _start(plan: DataFrame, name: str, out_dir: str, checkpoint_root: str, avail
 def start_ingest(raw: DataFrame, out_dir: str, checkpoint_root: str,
                  available_now: bool = False,
                  processing_time: str | None = None) -> dict[str, StreamingQuery]:
-    """Start the four ingest queries over one raw stream.
+    """Start the ingest of one raw stream of all topics: one query, one parse per message.
 
-    ``out_dir/<table>`` receives parquet files; ``checkpoint_root/<table>``
-    holds each query's offsets and commit log (never shared).
+    ``out_dir/<table>`` receives the events and ``out_dir/dead_letter`` the bad messages, in a folder per
+    batch and day; ``checkpoint_root/all`` holds the offsets.
     """
-    out_dir = out_dir.rstrip("/")
-    checkpoint_root = checkpoint_root.rstrip("/")
-    plans = {topic: events.normalise(raw, topic) for topic in events.TOPIC_NAMES}
-    plans[DEAD_LETTER] = events.dead_letter(raw)
-    return {name: _start(plan, name, out_dir, checkpoint_root, available_now, processing_time)
-            for name, plan in plans.items()}
+    out_dir, checkpoint_root = out_dir.rstrip("/"), checkpoint_root.rstrip("/")
+    return {"all": _start(raw, "all", events.TOPIC_NAMES, DEAD_LETTER, out_dir, checkpoint_root,
+                          available_now, processing_time)}
 
 
 def start_topic_ingest(read_topic, out_dir: str, checkpoint_root: str,
@@ -115,21 +160,13 @@ def start_topic_ingest(read_topic, out_dir: str, checkpoint_root: str,
 
     ``read_topic(topic)`` returns the raw stream of one topic (for Kafka,
     ``read_kafka_stream(spark, kafka_source_options(servers, [topic]))``). Each
-    topic gets two queries, its table and its dead-letter folder
-    ``dead_letter_<topic>``, so every message is read twice instead of once
-    per destination table.
+    topic has one query with its table and its dead-letter folder
+    ``dead_letter_<topic>``, so every message is read and parsed once.
     """
-    out_dir = out_dir.rstrip("/")
-    checkpoint_root = checkpoint_root.rstrip("/")
-    started: dict[str, StreamingQuery] = {}
-    for topic in events.TOPIC_NAMES:
-        raw = read_topic(topic)
-        plans = {topic: events.normalise(raw, topic),
-                 f"{DEAD_LETTER}_{topic}": events.dead_letter(raw)}
-        for name, plan in plans.items():
-            started[name] = _start(plan, name, out_dir, checkpoint_root, available_now,
-                                   processing_time)
-    return started
+    out_dir, checkpoint_root = out_dir.rstrip("/"), checkpoint_root.rstrip("/")
+    return {topic: _start(read_topic(topic), topic, [topic], f"{DEAD_LETTER}_{topic}", out_dir,
+                          checkpoint_root, available_now, processing_time)
+            for topic in events.TOPIC_NAMES}
 
 
 def read_landed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
@@ -137,10 +174,25 @@ def read_landed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 
 def landed_days(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """Landed rows with their ``event_date`` folder."""
+    """Landed rows with their ``event_date`` folder: those of logged batches. Batches of an ingest are stored
+    in order, so only the one after its last entry can be unfinished. Without a log, all rows there are
+    (a folder that another job wrote)."""
+    out_dir = out_dir.rstrip("/")
     schema = schemas.DEAD_LETTER if name.startswith(DEAD_LETTER) else schemas.TOPICS[name][1]
     dated = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
-    return spark.read.schema(dated).parquet(f"{out_dir.rstrip('/')}/{name}")
+    log = _log(spark, out_dir)
+    if log is None:
+        return spark.read.schema(dated).parquet(f"{out_dir}/{name}")
+    stored = T.StructType([*dated.fields, T.StructField("ingest", T.StringType()),
+                           T.StructField("batch_id", T.LongType())])
+    rows = read_if_there(spark, f"{out_dir}/{name}", stored)
+    last = log.groupBy("ingest").agg(F.max("batch_id").alias("last")).collect()   # one row per checkpoint
+    if rows is None or not last:
+        return spark.createDataFrame([], dated)
+    logged = F.lit(False)
+    for r in last:
+        logged = logged | ((F.col("ingest") == r["ingest"]) & (F.col("batch_id") <= r["last"]))
+    return rows.filter(logged).select(*dated.names)
 
 
 def compact_events(spark: SparkSession, landed_dir: str, table_dir: str, topic: str,
