@@ -240,8 +240,8 @@ c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) +
                   THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
 s AS (SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid,
              array_to_string(units[b + 1:n], '') AS suf FROM c)
-SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
-       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::DOUBLE END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid)::DOUBLE END AS middle_chars,
        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
               ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
        sha256(t) AS restored_sha256
