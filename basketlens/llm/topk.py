@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 SCALE = 256
 FAN_IN = 16
-LIST_SCHEMA = "query_id bigint, tile bigint, top array<struct<neg:bigint,vec_id:bigint>>"
+LIST_SCHEMA = "query_id bigint, tile bigint, top array<struct<order:binary,vec_id:bigint,score:bigint>>"
 NONE = -np.inf
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """Rows with an id and a vector whose components are all finite."""
+    """Rows with an id and a vector whose components are all finite, also when scaled."""
     x = F.col(vector_col).cast("array<double>")
-    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) * SCALE < float("inf")))
     return (vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), x.alias("x"))
             .filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite))
 
@@ -49,14 +49,23 @@ def _matrices(tbl: pa.Table):
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer inner products. Float products are exact while every partial sum
-    is below 2**53; larger values are multiplied as Python integers and held to the
-    range of a long."""
+    is below 2**53; larger values are multiplied as Python integers."""
     bound = max(1, q.shape[1]) * (np.abs(q).max(initial=0) * np.abs(c).max(initial=0))
     if bound < 2 ** 53:
         return q @ c.T
     ints = lambda m: np.array([[int(v) for v in r] for r in m], dtype=object)
-    exact = ints(q) @ ints(c).T
-    return np.vectorize(lambda v: max(-2 ** 63 + 1, min(2 ** 63 - 1, v)), otypes=[object])(exact)
+    return ints(q) @ ints(c).T
+
+
+def order_key(score: int) -> bytes:
+    """Bytes that sort as -score does, for integers of any size: sign, length, digits."""
+    size = (abs(score).bit_length() + 7) // 8
+    digits = size.to_bytes(4, "big") + abs(score).to_bytes(size, "big")
+    return b"\x01" + digits if score < 0 else b"\x00" + bytes(255 - b for b in digits)
+
+
+def as_long(score: int) -> int:
+    return max(-2 ** 63, min(2 ** 63 - 1, score))
 
 
 def _best(scores: np.ndarray, qids: np.ndarray, cids: np.ndarray, k: int):
@@ -89,8 +98,10 @@ def _tile(k: int):
         return pa.table({
             "query_id": pa.array(list(lists), pa.int64()),
             "tile": pa.array([tile] * len(lists), pa.int64()),
-            "top": pa.array([[{"neg": n, "vec_id": v} for n, v in x] for x in lists.values()],
-                            pa.list_(pa.struct([("neg", pa.int64()), ("vec_id", pa.int64())])))})
+            "top": pa.array([[{"order": order_key(-n), "vec_id": v, "score": as_long(-n)} for n, v in x]
+                             for x in lists.values()],
+                            pa.list_(pa.struct([("order", pa.binary()), ("vec_id", pa.int64()),
+                                                ("score", pa.int64())])))})
     return run
 
 
@@ -110,8 +121,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
           block_rows: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each query row.
 
-    Components become floor(256 * x). Ties go to the smaller vec_id. Rows without an id,
-    without a vector or with a null or non-finite component take no part; vectors are
+    Components become floor(256 * x). Ranks go by the exact integer scores, of whatever size; the
+    score given back is held to the range of a long. Ties go to the smaller vec_id. Rows without an id,
+    without a vector or with a component that is null or not finite (or 256 times it) take no part; vectors are
     only compared with vectors of the same length. Rows that share a query's id are its
     own and are not its candidates; query rows that share an id are pooled into one
     list; repeated candidate ids each count. A query without candidates gives no row.
@@ -133,7 +145,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
     merged = merge_lists(lists, shards * blocks, k)
     return (merged.select("query_id", F.posexplode("top").alias("pos", "hit"))
             .select("query_id", (F.col("pos") + 1).cast("int").alias("rank"),
-                    F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.neg")).alias("score")))
+                    F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")))
 
 
 ORACLE_SQL = """

@@ -108,7 +108,7 @@ def test_token_files_of_an_empty_table(spark, scratch):
     assert token_files.round_trip(no_docs(spark), path, 2, scratch + "/none").count() == 0
 
 
-@pytest.mark.parametrize("scale", [1.0, 1e12])
+@pytest.mark.parametrize("scale", [1.0, 1e12, 1e150])
 def test_top_k_equals_brute_force(spark, scale):
     rng = np.random.default_rng(3)
     rows = [(i, (rng.normal(size=8) * scale).tolist(), 1, "t") for i in range(230)]
@@ -116,24 +116,28 @@ def test_top_k_equals_brute_force(spark, scale):
     rows += [(400, None, 1, "t"), (450, [1.0, None] * 4, 1, "t"), (None, rows[0][1], 1, "t"),
              (451, [float("nan")] * 8, 1, "t"), (452, [float("inf")] * 8, 1, "t"),
              (500, [1.0, 2.0], 1, "t"), (501, [3.0, 4.0], 1, "t"), (550, [], 1, "t"),
-             (20, rows[3][1], 1, "t")]                                   # a repeated id
+             (20, rows[3][1], 1, "t"),                                   # a repeated id
+             (600, [1e307] * 8, 1, "t"), (601, [-1e307] + [1.0] * 7, 1, "t")]   # finite, but not when scaled
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int, tile string")
     got = tuples(topk.top_k(df, lambda v: v % 50 == 0, shard_rows=40, block_rows=3),
                  "query_id", "rank", "vec_id", "score")
     clean = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, *_ in rows
-             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+             if i is not None and v is not None and all(x is not None and np.isfinite(256 * x) for x in v)]
     want = []
     for q, x in clean:
         if q % 50 == 0:
             found = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in clean
                            if i != q and len(x) == len(y))
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(found[:5])]
-    if scale > 1:
-        want = [(q, k, i, max(-2 ** 63 + 1, min(2 ** 63 - 1, s))) for q, k, i, s in want]
-        got, want = ([(q, k, s) for q, k, _, s in x] for x in (got, want))
-        assert sorted(got) == sorted(want)
-    else:
-        assert got == sorted(want, key=str)
+    want = [(q, k, i, max(-2 ** 63, min(2 ** 63 - 1, s))) for q, k, i, s in want]
+    assert got == sorted(want, key=str)
+
+
+def test_order_keys_sort_as_the_scores_do():
+    rng = random.Random(8)
+    scores = [0, 1, -1, 255, 256, -256, 2 ** 63, -2 ** 63, 2 ** 4000, -2 ** 4000]
+    scores += [rng.choice((-1, 1)) * rng.getrandbits(rng.randrange(1, 200)) for _ in range(3000)]
+    assert sorted(scores, key=topk.order_key) == sorted(scores, reverse=True)
 
 
 def test_top_k_of_few_or_no_rows(spark):
