@@ -66,9 +66,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     result. Only the two named columns are read, so further columns cannot clash.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), filled_text(text_col).alias("text"))
-    rows = (recipes(texts, verified_seed(texts))
-            .groupBy("recipe", "text_sha256", "doc_id")
-            .agg(F.count(F.lit(1)).alias("copies")))
+    rows = staged(docs.sparkSession, recipes(texts, verified_seed(texts))
+                  .groupBy("recipe", "text_sha256", "doc_id")
+                  .agg(F.count(F.lit(1)).alias("copies")), "recipes")
     # Written out, so that both sides of the join are plain shuffles, which adaptive execution
     # splits where one group holds many rows.
     groups = staged(docs.sparkSession, rows.groupBy(F.col("recipe").alias("group_recipe"))
