@@ -174,9 +174,8 @@ def read_landed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 
 def landed_days(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """Landed rows with their ``event_date`` folder: those of logged batches. Batches of an ingest are stored
-    in order, so only the one after its last entry can be unfinished. Without a log, all rows there are
-    (a folder that another job wrote)."""
+    """Landed rows with their ``event_date`` folder: those of logged batches. Without a log, all rows there
+    are (a folder that another job wrote)."""
     out_dir = out_dir.rstrip("/")
     schema = schemas.DEAD_LETTER if name.startswith(DEAD_LETTER) else schemas.TOPICS[name][1]
     dated = T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])
@@ -185,14 +184,15 @@ def landed_days(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
         return spark.read.schema(dated).parquet(f"{out_dir}/{name}")
     stored = T.StructType([*dated.fields, T.StructField("ingest", T.StringType()),
                            T.StructField("batch_id", T.LongType())])
-    rows = read_if_there(spark, f"{out_dir}/{name}", stored)
-    last = log.groupBy("ingest").agg(F.max("batch_id").alias("last")).collect()   # one row per checkpoint
-    if rows is None or not last:
+    # The logged folders by name, one per micro-batch: unfinished ones are not even listed.
+    found = (log.filter((F.col("table") == name) & (F.col("n_rows") > 0)).select("ingest", "batch_id")
+             .distinct().orderBy("ingest", "batch_id").collect())
+    if not found:
         return spark.createDataFrame([], dated)
-    logged = F.lit(False)
-    for r in last:
-        logged = logged | ((F.col("ingest") == r["ingest"]) & (F.col("batch_id") <= r["last"]))
-    return rows.filter(logged).select(*dated.names)
+    root = f"{out_dir}/{name}"
+    rows = spark.read.schema(stored).option("basePath", root).parquet(
+        *[f"{root}/ingest={r['ingest']}/batch_id={r['batch_id']}" for r in found])
+    return rows.select(*dated.names)
 
 
 def compact_events(spark: SparkSession, landed_dir: str, table_dir: str, topic: str,
