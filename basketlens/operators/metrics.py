@@ -66,6 +66,14 @@ def customer_lifetime_value(users: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def item_pairs(order_items: DataFrame) -> DataFrame:
+    """Sums of the items of one order and product."""
+    return order_items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum("quantity").alias("_quantity"),
+        F.sum(F.col("quantity") * F.col("price")).alias("_amount"),
+        F.sum("price").alias("_price"), F.count("price").alias("_prices"))
+
+
 def _pairs_with_status(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """order_items summed per (order, product), LEFT JOIN orders for the status.
 
@@ -76,11 +84,7 @@ def _pairs_with_status(order_items: DataFrame, orders: DataFrame) -> DataFrame:
     the product)): an order's key is (false, id), so a NULL key still never
     matches, and it is spread over as many keys as there are products.
     """
-    pairs = order_items.groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("quantity").alias("_quantity"),
-        F.sum(F.col("quantity") * F.col("price")).alias("_amount"),
-        F.sum("price").alias("_price"), F.count("price").alias("_prices"))
-    pairs = pairs.withColumn(
+    pairs = item_pairs(order_items).withColumn(
         "_jk", F.struct(F.col("order_id").isNull().alias("n"),
                         F.coalesce(F.col("order_id"), F.xxhash64("product_id")).alias("k")))
     o = orders.select(F.struct(F.lit(False).alias("n"), F.col("id").alias("k")).alias("_jk"),
@@ -106,7 +110,11 @@ def product_performance(products: DataFrame, categories: DataFrame,
     item rows and the kept ones, aggregate the kept ones, and keep a product
     when it has no items or at least one kept item.
     """
-    pairs = _pairs_with_status(order_items, orders)
+    return product_performance_of(_pairs_with_status(order_items, orders), products, categories)
+
+
+def product_performance_of(pairs: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """V2 from the items per (order, product) with the order's status."""
     kept = (F.col("status") == "completed") | F.col("status").isNull()
     of_kept = lambda c: F.sum(F.when(kept, F.col(c)))
     per_product = (pairs

@@ -37,9 +37,13 @@ def day_filter(ts_col: str, run_date: dt.date | str) -> F.Column:
 
 def daily_sales_extract(orders: DataFrame, order_items: DataFrame, products: DataFrame,
                         categories: DataFrame, users: DataFrame,
-                        run_date: dt.date | str | None = None) -> DataFrame:
+                        run_date: dt.date | str | None = None,
+                        bucketed: bool = False) -> DataFrame:
     """One row per order item of the day, all statuses (16 columns).
 
+    ``bucketed``: both facts are stored in buckets of the order id (``sinks.bucketed``), so they meet
+    before any other join moves the orders away from their buckets.
+
     Inner joins, as the reference: guest orders, uncategorised products and
     orders without items drop out. The day filter applies to ``orders`` before
     any join. Every join is left to AQE, which broadcasts a side only when its
@@ -60,8 +64,9 @@ def daily_sales_extract(orders: DataFrame, order_items: DataFrame, products: Dat
     # Inner joins commute; the written order is the executed one (no CBO). Users
     # meet orders while the rows are still one per order, so only two joins
     # shuffle item-level rows (by order id, then by product id).
-    joined = (o.join(u, F.col("user_id") == F.col("_uid"), "inner")
-               .join(oi, "order_id", "inner")
+    users_first = o.join(u, F.col("user_id") == F.col("_uid"), "inner").join(oi, "order_id", "inner")
+    items_first = o.join(oi, "order_id", "inner").join(u, F.col("user_id") == F.col("_uid"), "inner")
+    joined = ((items_first if bucketed else users_first)
                .join(p, F.col("product_id") == F.col("_pid"), "inner"))
     return joined.select(
         F.to_date("_created_at").alias("order_date"),

@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.exprs import portable
-from ..operators import metrics, monitor, quality, sales, upkeep
+from ..functions.exprs import literal_rows, portable
+from ..operators import metrics, monitor, quality, reach, sales, upkeep
 from ..session import scratch_path
+from ..sinks import bucketed, versions
 from ..sinks import tables as sink_tables
-from ..sinks import versions
 from ..sources import event_adapters
 from ..sources.adapters import ShopTables
 from ..sources.tables import read_csv_staging
 from ..streaming import events, ingest
-from . import cards
+from . import cards, sql_views
 
 # Fixed clocks of the checked queries (the fixtures' "now").
 AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
@@ -160,6 +160,58 @@ def _c10(t: ShopTables) -> DataFrame:
         metrics.sales_funnel(t.user_sessions, t.cart_items, t.carts, t.orders), AS_OF)
 
 
+# --- S6: views and cards as SQL -------------------------------------------------
+
+SHOP_TABLES = ("users", "categories", "products", "orders", "order_items", "carts", "cart_items",
+               "user_sessions")
+
+
+def _sql(t: ShopTables) -> SparkSession:
+    sql_views.register_tables(t.spark, {name: getattr(t, name) for name in SHOP_TABLES})
+    sql_views.create_views(t.spark)
+    sql_views.create_cards(t.spark)
+    return t.spark
+
+
+@register("sql_customer_lifetime_value")
+def _v1_sql(t: ShopTables) -> DataFrame:
+    return _sql(t).sql("SELECT * FROM customer_lifetime_value")
+
+
+@register("sql_product_performance", doubles=("total_quantity_sold", "current_stock"))
+def _v2_sql(t: ShopTables) -> DataFrame:
+    return _sql(t).sql("SELECT * FROM product_performance")
+
+
+@register("sql_sales_funnel", doubles=FUNNEL_COUNTS)
+def _v4_sql(t: ShopTables) -> DataFrame:
+    return _sql(t).sql("SELECT * FROM sales_funnel")
+
+
+# Per card: the text that names a row, and its figure.
+CARD_CELLS = {
+    "card_revenue_30d": ("'all'", "revenue"), "card_new_customers_30d": ("'all'", "new_customers"),
+    "card_avg_order_value": ("'all'", "avg_order_value"),
+    "card_daily_revenue_trend": ("CAST(date AS STRING)", "revenue"),
+    "card_top_products": ("CAST(product_id AS STRING)", "total_revenue"),
+    "card_low_stock": ("concat(product_name, ' ', stock_status)", "current_stock"),
+    "card_category_performance": ("category_name", "revenue"),
+    "card_clv_values": ("'each'", "estimated_annual_value"),
+    "card_customer_segments": ("customer_segment", "count"),
+    "card_sales_funnel_30d": ("CAST(metric_date AS STRING)", "checkouts_started"),
+}
+
+
+@register("sql_cards")
+def _cards_sql(t: ShopTables) -> DataFrame:
+    """C1-C10 as one SQL text over the table functions: a row per card and cell."""
+    clock = f"TIMESTAMP_NTZ'{AS_OF}'"
+    return _sql(t).sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS card, {label} AS cell, CAST({value} AS DOUBLE) AS value "
+        f"FROM {name}({clock if sql_views.CARDS[name][0] else ''})"
+        for name, (label, value) in CARD_CELLS.items()))
+
+
 # --- T1-T4, K1-K3, K7 ---------------------------------------------------------
 
 RUN_DATE = dt.date(2024, 1, 30)   # the day a 02:00 run on the as_of day loads
@@ -245,6 +297,47 @@ class _EarlyShop:
         self.orders = t.orders.filter(~F.coalesce(late, F.lit(False)) & (F.col("id") != 7))
 
 
+@register("distinct_customers_by_range")
+def _a2(t: ShopTables) -> DataFrame:
+    """Distinct customers per category and distinct checkout users over months, years and the last
+    30 and 90 days, all merged from one bitmap per day."""
+    extract = _extract_of(t)
+    checkouts = t.orders.filter(F.col("status") != "pending").select(
+        F.lit("checkouts").alias("group"), "user_id", F.to_date("created_at").alias("day"))
+    rows = extract.select(F.concat(F.lit("category "), "category_name").alias("group"), "user_id",
+                          F.col("order_date").alias("day")).unionByName(checkouts)
+    daily = reach.daily_bitmaps(rows, F.col("day"), "user_id", ["group"])
+    months = reach.roll_up(daily, "month", ["group"])
+    years = reach.roll_up(months, "year", ["group"])
+    last = literal_rows(t.spark, [(f"last {n} days", (AS_OF - dt.timedelta(days=n)).date(),
+                                   (AS_OF - dt.timedelta(days=1)).date()) for n in (30, 90)],
+                        "range_name string, first_day date, last_day date")
+    recent = reach.over_ranges(daily, last, ["group"])
+    named = [b.withColumn("range_name", F.concat(F.lit(f"{grain} "), F.col("day").cast("string"))).drop("day")
+             for grain, b in (("month", months), ("year", years))]
+    merged = named[0].unionByName(named[1]).unionByName(recent)
+    return reach.count_bitmaps(merged, ["range_name", "group"], "users")
+
+
+def _facts(t: ShopTables) -> bucketed.FactTables:
+    path = scratch_path(t.spark, "facts")
+    return bucketed.write_fact_tables(t.orders, t.order_items, f"facts_{path[-12:]}", path, buckets=8)
+
+
+@register("bucketed_extract")
+def _t1_bucketed(t: ShopTables) -> DataFrame:
+    """T1 from facts stored in buckets of the order id: the item join shuffles neither side."""
+    facts = _facts(t)
+    return sales.daily_sales_extract(facts.orders, facts.ordered_items, t.products, t.categories, t.users,
+                                     bucketed=True)
+
+
+@register("bucketed_product_performance", doubles=("total_quantity_sold", "current_stock"))
+def _v2_bucketed(t: ShopTables) -> DataFrame:
+    """V2 from the same stored facts."""
+    return metrics.product_performance_of(bucketed.pairs_with_status(_facts(t)), t.products, t.categories)
+
+
 @register("csv_staging_roundtrip")
 def _k3(t: ShopTables) -> DataFrame:
     """K3 + S5: the extract written as header CSV and read back with its schema."""
@@ -381,6 +474,14 @@ def _e123(t: ShopTables) -> DataFrame:
                        F.size("m").alias("field_count"))
 
 
+@register("event_ids_by_content")
+def _p21(t: ShopTables) -> DataFrame:
+    """Every sign-up and error event sent twice without its id: ids from the content."""
+    rows = event_adapters.user_event_rows(t.raw("events")).drop("event_id", "metadata")
+    read = events.decode(events.user_event_envelopes(rows.unionByName(rows)))
+    return read.select("key", *[F.col("m").getItem(c).alias(c) for c in ("event_id", "event_type")])
+
+
 @register("events_decode", doubles=("field_count",))
 def _s2(t: ShopTables) -> DataFrame:
     decoded = events.decode(_raw_stream(t))

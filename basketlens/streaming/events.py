@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.exprs import iso_text, trunc_second
@@ -62,11 +63,56 @@ def bad_metadata(df: DataFrame) -> DataFrame:
     return df.filter(F.col("metadata").isNotNull() & F.try_parse_json("metadata").isNull())
 
 
-def _event_id(df: DataFrame) -> Column:
-    """The input's id when it has one, else a random UUID (uuid4)."""
+# Fixed value: the namespace of this library's event ids (RFC 4122, version 5).
+ID_NAMESPACE = uuid.UUID("6f1d3a52-0c7b-5e0e-9a53-2c4b8f3f7d10")
+ORDINALS = 65_536
+
+
+def _name_of(df: DataFrame, topic: str) -> Column:
+    """A row's content as one text: topic, then each column by name with the length of its value, so that
+    different rows have different names."""
+    def value(field) -> Column:
+        c, t = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(t, T.TimestampNTZType):
+            return iso_text(c)
+        return F.to_json(F.struct(c)) if isinstance(t, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
+    parts = [F.lit(topic)]
+    for field in sorted(df.schema.fields, key=lambda f: f.name):
+        v = value(field)
+        parts.append(F.concat(F.lit(f";{field.name}="),
+                              F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-"))))
+    return F.concat(*parts)
+
+
+def uuid5(name: Column, namespace: uuid.UUID = ID_NAMESPACE) -> Column:
+    """The name-based UUID (version 5) of a text, as Python's ``uuid.uuid5``."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
+    variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-5"),
+                    F.substring(digest, 14, 3), F.lit("-"), variant, F.substring(digest, 18, 3), F.lit("-"),
+                    F.substring(digest, 21, 12))
+
+
+def with_event_ids(df: DataFrame, topic: str) -> DataFrame:
+    """An ``event_id`` made from the row's content, so a task that is run again, or a second run over the
+    same input, gives the same ids. Equal rows are different events: they are counted first, in the map
+    tasks, and dealt out again with an ordinal, which takes no sort and no list of the copies. Columns of
+    type VARIANT cannot be compared and are not accepted."""
+    last = F.col("_copies") - 1
+    first = F.col("_block") * ORDINALS
+    numbered = (df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+                .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / ORDINALS))).alias("_block"))
+                .select("*", F.explode(F.sequence(first, F.least(last, first + (ORDINALS - 1)))).alias("_ordinal")))
+    name = F.concat(_name_of(df, topic), F.lit("#"), F.col("_ordinal").cast("string"))
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], uuid5(name).alias("event_id"))
+
+
+def _identified(df: DataFrame, topic: str) -> DataFrame:
+    """The input's own ids where it has them. A stream without ids has no table to count copies in: its
+    rows get random ids, or ids of their own micro-batch inside ``foreachBatch``."""
     if "event_id" in df.columns:
-        return F.col("event_id").cast("string")
-    return F.expr("uuid()")
+        return df.withColumn("event_id", F.col("event_id").cast("string"))
+    return df.withColumn("event_id", F.expr("uuid()")) if df.isStreaming else with_event_ids(df, topic)
 
 
 def _opt(df: DataFrame, name: str, type_name: str = "string") -> Column:
@@ -76,7 +122,8 @@ def _opt(df: DataFrame, name: str, type_name: str = "string") -> Column:
 def user_event_envelopes(df: DataFrame) -> DataFrame:
     """E1. ``df``: event_id, timestamp, user_id, event_type, page and optional
     session_id, user_agent, ip_address, metadata (JSON text)."""
-    fields = [("event_id", _event_id(df)),
+    df = _identified(df, USER_TOPIC)
+    fields = [("event_id", F.col("event_id")),
               ("timestamp", iso_text(F.col("timestamp"))),
               ("user_id", F.col("user_id").cast("string")),
               ("event_type", F.col("event_type")),
@@ -92,8 +139,9 @@ def user_event_envelopes(df: DataFrame) -> DataFrame:
 def product_event_envelopes(df: DataFrame, omit_quantity: Column | None = None) -> DataFrame:
     """E2 (quantity defaults to 1 when the column is absent). ``omit_quantity``
     marks rows whose message leaves the quantity key out altogether."""
+    df = _identified(df, PRODUCT_TOPIC)
     qty = F.col("quantity").cast("int") if "quantity" in df.columns else F.lit(1)
-    base = [("event_id", _event_id(df)),
+    base = [("event_id", F.col("event_id")),
             ("timestamp", iso_text(F.col("timestamp"))),
             ("product_id", F.col("product_id").cast("string")),
             ("event_type", F.col("event_type")),
@@ -116,8 +164,9 @@ def product_event_envelopes(df: DataFrame, omit_quantity: Column | None = None)
 
 def order_event_envelopes(df: DataFrame) -> DataFrame:
     """E3. ``items`` is an array of structs (or absent -> [])."""
+    df = _identified(df, ORDER_TOPIC)
     items = F.col("items") if "items" in df.columns else F.array()
-    fields = [("event_id", _event_id(df)),
+    fields = [("event_id", F.col("event_id")),
               ("timestamp", iso_text(F.col("timestamp"))),
               ("order_id", F.col("order_id").cast("string")),
               ("event_type", F.col("event_type")),
@@ -310,14 +359,30 @@ def routed_counts(raw: DataFrame) -> DataFrame:
 
 
 def event_layout(events: DataFrame, topic: str) -> DataFrame:
-    """K4: the stored order of an event table: rows of one day together,
+    """K4: the stored order of an event table: rows of one day and hour together,
     sorted by (timestamp, entity id) inside each file, with an ``event_date``
     partition column. Parquet row-group min/max statistics then prune scans on
     time and entity. A streaming query cannot sort, so this is the batch
     compaction of landed files."""
     sort_keys = list(schemas.TOPICS[topic][2])
-    dated = events.withColumn("event_date", F.to_date("timestamp"))
-    # Range partitioning on (day, sort keys): a day holding a third of all events is cut
-    # into several tasks. Without a count AQE joins small ranges, so files follow bytes.
-    return (dated.repartitionByRange("event_date", *sort_keys)
+    dated = (events.withColumn("event_date", F.to_date("timestamp"))
+             .withColumn("_hour", F.hour("timestamp")))
+    # Hours are rebalanced by size: a large hour is cut into several tasks, small ones share one. A range
+    # partitioning would run its input twice, once for the bounds.
+    return (dated.hint("rebalance", F.col("event_date"), F.col("_hour")).drop("_hour")
             .sortWithinPartitions("event_date", *sort_keys))
+
+
+def event_file_options(topic: str, row_group_bytes: int = 32 * 1024 * 1024) -> dict[str, str]:
+    """Parquet options of an event table: row groups small enough that the time bounds of a sorted file
+    cut a day finely, and Bloom filters on the ids, which are spread over all times, so that a lookup of an
+    event or an entity reads the row groups that may hold it. Event ids are unique: no dictionary.
+    (Entity ids that repeat keep theirs, which prunes exactly; a filter is written where one overflows.)"""
+    ids = ["event_id", *[f.name for f in schemas.TOPICS[topic][1].fields if f.name in ENTITY_IDS]]
+    options = {"parquet.block.size": str(row_group_bytes), "parquet.enable.dictionary#event_id": "false",
+               "parquet.bloom.filter.adaptive.enabled": "true"}
+    options.update({f"parquet.bloom.filter.enabled#{c}": "true" for c in ids})
+    return options
+
+
+ENTITY_IDS = ("user_id", "product_id", "order_id")

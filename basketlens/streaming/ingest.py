@@ -199,11 +199,11 @@ def compact_events(spark: SparkSession, landed_dir: str, table_dir: str, topic:
                    day=None) -> None:
     """K4: rewrite landed rows of ``topic`` (one day, or all) into the event
     table, partitioned by ``event_date`` and sorted by (timestamp, entity id)
-    inside each file. Only the days written are replaced (dynamic partition
-    overwrite), so rerunning a day is idempotent."""
+    inside each file, with Bloom filters on the ids (``events.event_file_options``). Only the
+    days written are replaced (dynamic partition overwrite), so rerunning a day is idempotent."""
     landed = landed_days(spark, landed_dir, topic)
     if day is not None:
         landed = landed.filter(F.col("event_date") == F.lit(str(day)).cast("date"))
     laid_out = events.event_layout(landed.drop("event_date"), topic)
     (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_date").parquet(f"{table_dir.rstrip('/')}/{topic}"))
+     .options(**events.event_file_options(topic)).partitionBy("event_date").parquet(f"{table_dir.rstrip('/')}/{topic}"))
