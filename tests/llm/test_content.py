@@ -26,6 +26,89 @@ def test_grammar_weighs_clauses():
     assert g.features("i will hurt you")[0] > 0 == g.features("wounds hurt badly")[0]
 
 
+def every_path(symbols):
+    """Best score over all paths through the three machines, one after the other."""
+    chain = [toxicity.negation_machine(), toxicity.report_machine(), toxicity.target_machine()]
+
+    def ends(machine, rows):
+        paths = [(machine.start, (), 0.0)]
+        for symbol, weight in rows:
+            paths = [(to, (*written, (out, weight * f)) if out else written, score + weight * f)
+                     for state, written, score in paths
+                     for to, out, f in machine.arcs.get((state, symbol), ())]
+        return [(written, score) for state, written, score in paths if state in machine.finals]
+    ((one, _),) = ends(chain[0], symbols)
+    ((two, _),) = ends(chain[1], one)
+    return max(score for _, score in ends(chain[2], two))
+
+
+def by_distance(symbols):
+    """The clause's score by the rules in words, with places of words instead of states."""
+    said, quoted, at, marks, targets, negated = False, False, 0, [], [], -99
+    for symbol, weight in symbols:
+        if symbol == "Q":
+            quoted = not quoted
+            continue
+        if symbol in "IH":
+            marks.append((at, symbol, weight, at - negated <= toxicity.REACH, said or quoted))
+        said |= symbol == "R"
+        negated = at if symbol == "N" else negated
+        targets += [at] if symbol == "T" else []
+        at += 1
+    total = 0.0
+    for at, symbol, weight, no, told in marks:
+        if symbol == "I" or targets:
+            near = any(abs(at - t) <= toxicity.DIRECT for t in targets)
+            total += (weight * (toxicity.TARGET_FACTOR if near else 1) * (toxicity.NEGATION_FACTOR if no else 1)
+                      * (toxicity.REPORT_FACTOR if told else 1))
+    return total
+
+
+@pytest.mark.parametrize("negation", [0.0, 0.25])
+def test_composed_machine_equals_its_paths_and_its_rules(monkeypatch, negation):
+    monkeypatch.setattr(toxicity, "NEGATION_FACTOR", negation)
+    machine = toxicity.clause_machine.__wrapped__()
+    rng = random.Random(11)
+    for _ in range(600):
+        symbols = [(s, rng.choice([0.5, 1.0, 4.0]) if s in "IH" else 0.0)
+                   for s in rng.choices(toxicity.SYMBOLS, [3, 2, 2, 2, 1, 1, 6], k=rng.randrange(1, 15))]
+        want = by_distance(symbols)
+        assert machine.best(symbols) == pytest.approx(want), symbols
+        assert every_path(symbols) == pytest.approx(want), symbols
+
+
+@pytest.fixture(scope="module")
+def grammar(spark):
+    read = lambda t: spark.read.parquet(f"{DATA}/{t}.parquet")
+    return toxicity.fit(read("documents"), read("labels"))
+
+
+def test_negated_and_reported_clauses_score_less(grammar):
+    assert min(grammar.curve[1:]) >= 0
+    plain, said, no = (grammar.score(t) for t in ("you are an idiot.", "she said you are an idiot.",
+                                                  "you are not an idiot."))
+    assert plain >= toxicity.THRESHOLD > said > no
+    assert grammar.score('"you are an idiot" is what it reads') < toxicity.THRESHOLD
+    assert grammar.score("he called them worthless. but you are an idiot") >= toxicity.THRESHOLD
+    assert plain >= grammar.score("an idiot") >= grammar.score("")
+
+
+def test_each_word_list_changes_predictions(grammar):
+    built = {"threats": "i will kill you.", "targets": "we will destroy them.", "negations": "you are not an idiot.",
+             "reports": "she wrote you are an idiot."}
+    for name, text in built.items():
+        emptied = toxicity.Grammar(grammar.insults, grammar.curve, **{name: frozenset()})
+        assert (grammar.score(text) >= toxicity.THRESHOLD) != (emptied.score(text) >= toxicity.THRESHOLD), name
+
+
+def test_a_rising_curve_has_no_negative_weight():
+    rng = np.random.default_rng(4)
+    x = rng.random((400, 3))
+    y = (3 * x[:, 0] - 2 * x[:, 1] + rng.normal(0, 0.3, 400) > 0.6).astype(float)
+    w = toxicity.fit_rising_curve(x, y)
+    assert min(toxicity.fit_curve(np.column_stack([np.ones(400), x]), y)[1:]) < 0 <= min(w[1:]) and w[1] > 1
+
+
 def test_held_out_fold_is_the_crc_of_the_id(spark):
     import zlib
 
