@@ -1,18 +1,22 @@
 """Personal data: generators propose spans, boosted trees choose among them.
 
 Base spans (e-mail, ip, card, phone) follow fixed formats and always stay. High-recall
-generators propose further, overlapping spans of looser formats: numbers grouped like
-phone numbers without the plus, card-like and ip-like digit groups, written-out e-mail
-addresses. Gradient-boosted trees score the proposals from the shape of the span and
+generators propose further, overlapping spans of looser formats: every run of digit groups that can be
+a phone or card number, address parts with other signs between them, written-out e-mail
+addresses with each possible end. Gradient-boosted trees score the proposals from the shape of the span and
 its context, scores are calibrated on held-out proposals, and a threshold per kind is
-set for a wanted precision. Of overlapping choices the one with the higher score stays.
+set for a wanted precision. Of overlapping choices, whatever their kinds, the one with the higher score stays.
 
-Labels need no annotation: base spans, and copies of them rewritten in the loose formats
-with their surroundings, are positive; other proposals in the corpus are negative.
+Labels need no annotation: checked made-up data and look-alikes are planted in the corpus's texts
+(``pii_examples``), and base spans are rewritten in loose formats. Proposals that overlap a planted span
+but are not it are negative. The corpus's own proposals have no label and are not learned from. Calibration and
+thresholds come from formats that the trees were not fitted on.
 """
 
 from __future__ import annotations
 
+import bisect
+import random
 import re
 from dataclasses import dataclass, field
 
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import filled_text
+from .pii_examples import CUES, TLDS, planted
 
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -31,21 +36,21 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
-#: Loose formats proposed beyond the base ones. Each is bounded in length.
-LOOSE = {
-    "phone": re.compile(r"(?<![\w.+])(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .\-/]{1,2}[0-9]{2,5}"
-                        r"(?:[ .\-/][0-9]{2,6}){0,4}(?![\w])"),
-    "card": re.compile(r"(?<![\w.])[0-9]{4}(?:[ .\-_/]{1,2}[0-9]{3,7}){2,4}(?![\w])"),
-    "ip": re.compile(r"(?<![\w.])[0-9]{1,3}(?: ?[.,:] ?[0-9]{1,3}){3}(?![\w])"),
-    "email": re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)|@| at ) ?"
-                        r"[A-Za-z0-9-]{1,63}(?: ?(?:\.|\[dot\]|\(dot\)| dot ) ?[A-Za-z0-9-]{2,63}){1,3}"),
-}
-EMAIL_HINT = re.compile(r"\[at\]|\(at\)|@| at [A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot |\.[A-Za-z0-9])")
+# Loose formats beyond the base ones: runs of digit groups, four address parts, addresses up to each dot.
+CHAIN = re.compile(r"(?<![\w.+])\(?[0-9]{1,8}(?:\)? ?[ .\-/_] ?\(?[0-9]{1,8}|\) ?[0-9]{1,8})+(?![\w])")
+GROUP = re.compile(r"[0-9]+")
+LOOSE_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:(?: ?(?:[.,:]|[\[(]\.[\])]|[\[(]dot[\])]) ?| dot )[0-9]{1,3}){3}(?![\w])",
+                      re.IGNORECASE)
+AT = r" ?(?:[\[({]at[\])}]|@) ?| at "
+LOOSE_MAIL = re.compile(rf"(?<![\w.])[A-Za-z0-9._%+-]{{1,64}}(?:{AT})[A-Za-z0-9-]{{1,63}}"
+                        r"(?:(?: ?(?:\.|[\[({]dot[\])}]) ?| dot )[A-Za-z0-9-]{2,63}){1,3}", re.IGNORECASE)
+MAIL_HINT = re.compile(r"[\[({]at[\])}]|@| at [A-Za-z0-9-]+ ?(?:[\[({]dot[\])}]| dot |\.)", re.IGNORECASE)
+DOT = re.compile(r" ?(?:\.|[\[({]dot[\])}]) ?| dot ", re.IGNORECASE)
 DIGIT = re.compile(r"[0-9]")
 
-#: Bounds of what is fitted, and the wanted precision of the added spans.
-TRAIN_DOCS, TRAIN_SPANS, PRECISION = 4_000, 30_000, 0.98
-TREES, DEPTH, RATE, BINS, LEAST = 40, 3, 0.2, 16, 20
+#: Bounds of what is fitted, examples per document, and the wanted precision of the added spans.
+TRAIN_DOCS, TRAIN_SPANS, EXAMPLES, PRECISION = 4_000, 30_000, 8, 0.99
+TREES, DEPTH, RATE, BINS, LEAST = 80, 4, 0.2, 16, 10
 
 
 def luhn(digits: str) -> bool:
@@ -96,44 +101,82 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _digit_runs(text: str):
+    """Phone and card proposals: each run of 2 to 7 neighbouring groups with 9 to 15 digits, and each run
+    of 3 to 5 groups that passes as a card."""
+    for chain in CHAIN.finditer(text):
+        groups = [m.span() for m in GROUP.finditer(text, *chain.span())]
+        for at, (start, stop) in enumerate(groups):
+            start -= start > 0 and text[start - 1] == "(" and text[stop:stop + 1] == ")"
+            n = 0
+            for many, (a, b) in enumerate(groups[at:at + 7], 1):
+                n += b - a
+                if n > 19:
+                    break
+                if many > 1 and n >= 9:
+                    if n <= 15:
+                        yield "phone", start, b
+                    if 3 <= many <= 5 and n >= 13 and luhn("".join(text[x:y] for x, y in groups[at:at + many])):
+                        yield "card", start, b
+
+
+def _mails(text: str):
+    """Written-out addresses: one proposal for each dot that can be the last."""
+    for m in LOOSE_MAIL.finditer(text):
+        dots = list(DOT.finditer(text, m.start(), m.end()))
+        for dot, after in zip(dots, [*dots[1:], None]):
+            end = after.start() if after else m.end()
+            if end > dot.end() and text[dot.end():end].isalpha():
+                yield "email", m.start(), end
+
+
 def proposals(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Loose spans that touch no base span; spans of different kinds may overlap."""
+    """Loose spans that touch no base span; they may overlap each other, of one kind or several."""
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
     ends = np.maximum.accumulate(np.array([e for _, e in taken])) if taken else starts
+    found: list[tuple[str, int, int]] = list(_mails(text)) if MAIL_HINT.search(text) else []
+    if DIGIT.search(text):
+        found += _digit_runs(text)
+        found += [("ip", *m.span()) for m in LOOSE_IP.finditer(text) if all(map(_small, GROUP.findall(m.group())))]
     out = []
-    for kind, pattern in LOOSE.items():
-        if kind == "email":
-            if not EMAIL_HINT.search(text):
-                continue
-        elif not DIGIT.search(text):
-            continue
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            before = np.searchsorted(starts, e) - 1
-            if before < 0 or ends[before] <= s:
-                out.append((kind, s, e))
+    for kind, s, e in found:
+        before = np.searchsorted(starts, e) - 1
+        if before < 0 or ends[before] <= s:
+            out.append((kind, s, e))
     return out
 
 
+def _cued(kind: str, left: str) -> bool:
+    return any(re.search(rf"\b{re.escape(c)}\b", left) for c in CUES[kind])
+
+
 def describe(text: str, kind: str, start: int, end: int) -> list[float]:
     """Format and context of a span, as numbers."""
     span, left, right = text[start:end], text[max(0, start - 24):start], text[end:end + 24]
     digits = [c for c in span if "0" <= c <= "9"]
-    groups = [len(g) for g in re.findall(r"[0-9]+", span)]
-    numbers = [int(g) for g in re.findall(r"[0-9]{1,6}", span)]
-    near = left[-8:] + right[:8]
+    parts = GROUP.findall(span)
+    groups = [len(g) for g in parts]
+    numbers = [int(g) for g in parts if len(g) <= 6]
+    between = {x for x in re.split(r"[0-9]+", span)[1:-1]}
+    low = span.lower()
+    last = re.split(r"[^a-z]+", low)[-1] if kind == "email" else ""
     return [
         float(KINDS.index(kind)), float(len(span)), float(len(digits)), float(len(groups)),
         float(max(groups, default=0)), float(min(groups, default=0)),
-        float(groups[-1] if groups else 0), float(max(numbers, default=0)),
-        float(len(digits) > 1 and luhn("".join(digits))), float("(" in span),
-        float(sum(c in "-/" for c in span)), float(sum(c == "." for c in span)),
-        float(sum(c == " " for c in span)), float(sum(c.isalpha() for c in span)),
-        float("@" in span or "[at]" in span or "(at)" in span), float(len(set(digits))),
-        float(sum(c.isdigit() for c in near)), float(sum(c in "|%$#&*=<>{}" for c in near)),
-        float(left[-1:].isspace() or not left), float(sum(c.isalpha() for c in left)),
-        float(sum(c.isalpha() for c in right)),
+        float(groups[0] if groups else 0), float(groups[-1] if groups else 0),
+        float(groups[1] if len(groups) > 1 else 0), float(max(numbers, default=0)),
+        float(len(digits) > 1 and luhn("".join(digits))), float("(" in span), float(span[:1] == "0"),
+        float(span[:2] == "00"), float(len(between)), float(sum(1900 <= n < 2040 for n in numbers)),
+        float(sum(c in "-/" for c in span)), float("." in span), float("," in span or ":" in span),
+        float(span.count(" ")), float("  " in span), float("[" in span or "{" in span or "(" in span),
+        float("@" in span or bool(re.search(r"[\[({]at[\])}]", low))),
+        float(" dot " in low or bool(re.search(r"[\[({]dot[\])}]", low))),
+        float(bool(re.search(r"\.\s", span))), float(any(last == t.split(".")[-1] for t in TLDS)), float(len(last)),
+        float(any(c.isupper() for c in span[-4:])), float(len(set(digits))),
+        float(sum(c.isdigit() for c in left[-8:])), float(sum(c.isdigit() for c in right[:8])),
+        float(sum(c in "|%$#&*=<>{}" for c in left[-8:] + right[:8])), float(_cued(kind, left.lower())),
+        float(left[-1:].isspace() or not left),
     ]
 
 
@@ -155,6 +198,14 @@ def rewritten(text: str, kind: str, start: int, end: int):
     return left + new + right, len(left), len(left) + len(new)
 
 
+def _edges(values: np.ndarray) -> np.ndarray:
+    """Bounds between at most BINS bins: between all values if they are few, else at quantiles."""
+    seen = np.unique(values)
+    if len(seen) <= BINS:
+        return (seen[1:] + seen[:-1]) / 2
+    return np.unique(np.quantile(values, np.linspace(0, 1, BINS + 1)[1:-1]))
+
+
 @dataclass
 class Trees:
     """Gradient-boosted trees on binned features, with a calibration per score."""
@@ -184,7 +235,7 @@ class Trees:
         return 1 / (1 + np.exp(-np.clip(a + b * self.raw(x), -30, 30)))
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+        self.edges = [_edges(c) for c in x.T]
         binned = self.bins(x)
         rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.start = float(np.log(rate / (1 - rate)))
@@ -221,40 +272,48 @@ class Trees:
         return self
 
 
+def _labelled(text: str, kind: str | None, start: int, end: int):
+    """Proposals in or over a planted span, and whether they are it."""
+    base = base_spans(text)
+    for k, s, e in proposals(text, base):
+        if s < end and e > start:
+            yield int((k, s, e) == (kind, start, end)), describe(text, k, s, e)
+
+
 def _training_rows(batches):
+    """Rows (doc_id, start, held_out, y, x): examples planted in each text, half of them in the formats for
+    the thresholds, and its base spans rewritten."""
     for batch in batches:
         rows: list[tuple] = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            base = base_spans(text)
-            for kind, s, e in base:
+            rng = random.Random(f"{doc_id}")
+            for n in range(EXAMPLES):
+                example = planted(rng, text, n % 2 == 1)
+                rows += [(doc_id, -1 - n, n % 2, y, x) for y, x in _labelled(*example)]
+            for kind, s, e in base_spans(text):
                 text2, s2, e2 = rewritten(text, kind, s, e)
-                for kind2, a, b in proposals(text2, []):
-                    if kind2 == kind and a < e2 and b > s2:
-                        rows.append((doc_id, s, 1, describe(text2, kind, a, b)))
-            rows += [(doc_id, s, 0, describe(text, kind, s, e))
-                     for kind, s, e in proposals(text, base)]
+                rows += [(doc_id, s, 0, y, x) for y, x in _labelled(text2, kind, s2, e2)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int32()),
-             pa.array([r[3] for r in rows], pa.list_(pa.float64()))],
-            names=["doc_id", "start", "y", "x"])
+            [pa.array([r[c] for r in rows], t) for c, t in enumerate(
+                (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.float64())))],
+            names=["doc_id", "start", "held_out", "y", "x"])
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_spans: int = TRAIN_SPANS) -> Trees:
-    """Fit trees, calibration and thresholds on proposals of about `train_docs` documents,
+    """Fit trees, calibration and thresholds on examples in about `train_docs` documents,
     chosen by the hash of their id, and at most `train_spans` proposals. With fewer than
     two classes nothing is added to the base spans."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), filled_text().alias("text"))
     share = max(1, rows.count() // train_docs)
     some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-    spans = (some.mapInArrow(_training_rows, "doc_id bigint, start bigint, y int, x array<double>")
+    spans = (some.mapInArrow(_training_rows, "doc_id bigint, start bigint, held_out int, y int, x array<double>")
              .orderBy(F.xxhash64("doc_id", "start", "y"), "x").limit(train_spans).collect())
     model = Trees()
     y = np.array([r["y"] for r in spans], dtype=float)
-    if len(set(y)) < 2 or len(y) < 4 * LEAST:
+    fold = np.array([r["held_out"] for r in spans], dtype=bool)
+    if len(y) < 4 * LEAST or len(set(y[~fold])) < 2 or len(set(y[fold])) < 2:
         return model
     x = np.array([r["x"] for r in spans])
-    fold = np.arange(len(y)) % 3 == 2       # rows are in the order of a hash
     model.fit(x[~fold], y[~fold])
     from .toxicity import fit_curve
 
@@ -284,8 +343,6 @@ def added_spans(text: str, base: list, model: Trees) -> list[tuple[str, int, int
     for at in np.argsort(-p, kind="stable"):
         kind, s, e = found[at]
         if p[at] >= model.thresholds[kind]:
-            import bisect
-
             k = bisect.bisect(end_of, (s, e))
             if (k == 0 or end_of[k - 1][1] <= s) and (k == len(end_of) or end_of[k][0] >= e):
                 end_of.insert(k, (s, e))

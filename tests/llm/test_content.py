@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from basketlens.llm import chat, mixing, pii, queries, topics, toxicity
+from basketlens.llm import chat, mixing, pii, pii_examples, queries, topics, toxicity
 from pyspark.sql import functions as F
 
 from .helpers import DOC_SCHEMA, doc_rows, docs, no_docs, prose, tuples
@@ -207,6 +207,60 @@ def test_boosted_trees_learn_rewritten_formats():
     assert ((model.raw(x[half:]) > 0) == (y[half:] == 1)).mean() > 0.97
 
 
+@pytest.fixture(scope="module")
+def trees(spark):
+    return pii.fit(spark.read.parquet(f"{DATA}/documents.parquet"))
+
+
+@pytest.mark.parametrize("held_out", [False, True])
+def test_planted_data_is_found_and_look_alikes_are_not(trees, held_out):
+    """Recall and precision of the added spans per kind, in formats fitted on and in others."""
+    rng = random.Random(77)
+    planted, right, wrong = ({k: 0 for k in pii.KINDS} for _ in range(3))
+    for _ in range(2400):
+        text, kind, start, end = pii_examples.planted(rng, prose(rng, 40), held_out)
+        base = pii.base_spans(text)
+        if kind and any(s < end and e > start for _, s, e in base):
+            continue
+        got = pii.added_spans(text, base, trees)
+        if kind:
+            planted[kind] += 1
+            right[kind] += (kind, start, end) in got
+        for span in got:
+            wrong[span[0]] += span != (kind, start, end)
+    for kind in pii.KINDS:
+        assert planted[kind] > 200
+        assert right[kind] >= 0.8 * planted[kind], kind
+        assert right[kind] >= 0.95 * (right[kind] + wrong[kind]), kind
+
+
+def test_nothing_is_added_to_plain_prose(spark, trees):
+    found = pii.find_spans(spark.read.parquet(f"{DATA}/documents.parquet"), trees)
+    assert found.filter("size(spans) > size(base)").count() == 0
+
+
+def test_of_overlapping_kinds_one_is_chosen(trees):
+    text = "ba ra sen card 4111.1111.1111.1111 lo ti vo"
+    kinds = {k for k, _, _ in pii.proposals(text, pii.base_spans(text))}
+    assert kinds == {"card", "phone"}
+    assert pii.added_spans(text, pii.base_spans(text), trees) == [("card", 15, 34)]
+    text = "write to john [at] example.com. Tihe 12 men"
+    assert pii.added_spans(text, pii.base_spans(text), trees) == [("email", 9, 30)]
+
+
+def test_made_up_cards_pass_and_failing_ones_do_not():
+    rng = random.Random(2)
+    for _ in range(200):
+        assert pii.luhn("".join(pii_examples.card(rng))) and not pii.luhn("".join(pii_examples.card(rng, False)))
+        text, kind, s, e = pii_examples.planted(rng, rng.choice(["", "x", "one two three"]), False)
+        assert 0 <= s < e <= len(text)
+
+
+def test_proposals_of_long_runs_take_little_time():
+    for text in ("1 " * 60_000, "a at " * 40_000, "(" * 100_000, "12." * 50_000, "@ " * 50_000):
+        pii.proposals(text, [])
+
+
 def test_pii_query_columns_and_edges(spark):
     got = tuples(pii.digest(pii.find_spans(docs(spark), pii.Trees())), "doc_id", "n_phone", "spans")
     assert got == sorted([(r[0], 0, "") for r in doc_rows()], key=str)
