@@ -236,6 +236,59 @@ def test_passages_around_a_frequent_line(spark):
         assert set(range(40, 92)) <= got[100 + pair] and set(range(20, 72)) <= got[200 + pair]
 
 
+def plain_alike(x, y):
+    """Windows of x that y has nearly alike, by the definition, one window at a time."""
+    sd, found = substring_dedup, []
+    for i in range(len(x) - sd.WIDTH + 1):
+        at_shift = defaultdict(set)
+        for k in range(i, i + sd.WIDTH):
+            for j in np.flatnonzero(y == x[k]).tolist():
+                at_shift[j - k].add(k)
+        found.append(any(
+            len(own) >= sd.SAME_SHIFT and sd.COMMON <= len(set().union(
+                *(v for s, v in at_shift.items() if abs(s - shift) <= sd.DRIFT)))
+            for shift, own in at_shift.items()))
+    return found
+
+
+@pytest.mark.parametrize("matches", [40, 1 << 20])
+def test_alike_windows_equal_the_definition_however_much_is_looked_at(monkeypatch, matches):
+    monkeypatch.setattr(substring_dedup, "MATCHES", matches)
+    rng, seen = random.Random(31), 0
+    for _ in range(60):
+        x = [rng.randrange(rng.choice((3, 60))) for _ in range(rng.randrange(40, 150))]
+        y = [t for t in x[rng.randrange(20):] if rng.random() > 0.03] + x[:rng.randrange(1, 30)]
+        for _ in range(rng.randrange(8)):
+            y.insert(rng.randrange(len(y)), rng.randrange(60))
+        x, y = (np.array(t, dtype=np.uint64) for t in (x, y))
+        got = substring_dedup.alike_windows(x, y).tolist()
+        assert got == plain_alike(x, y)
+        seen += any(got) and not all(got)
+    assert seen > 5
+
+
+@pytest.mark.parametrize("line_words", [0, 20])
+def test_recall_of_passages_with_a_changed_word(spark, line_words):
+    """Passages of 51 to 100 words, a word changed in the middle, in pairs of documents; with a
+    line of many documents inside, or without."""
+    rng = random.Random(32)
+    line, rows = prose(rng, line_words), []
+    for pair in range(200):
+        n = rng.randrange(51, 101) - line_words
+        words = f"{prose(rng, n // 2)} {line} {prose(rng, n - n // 2)}".split()
+        changed = list(words)
+        changed[len(words) // 2] += "x"
+        rows += [(2 * pair + 10, f"{prose(rng, 50)} {' '.join(words)} {prose(rng, 60)}"),
+                 (2 * pair + 11, f"{prose(rng, 30)} {' '.join(changed)} {prose(rng, 70)}")]
+    rows += [(i, f"{prose(rng, 60)} {line} {prose(rng, 60)}") for i in (1, 2, 998, 999)]
+    plain = {i: substring_dedup._tokens(t) for i, t in rows}
+    want = {i for i in plain if i >= 10 and i < 990
+            and any(plain_alike(plain[i], plain[i + 1 - 2 * (i % 2)]))}
+    got = {r.doc_id for r in substring_dedup.repeated_passages(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got <= want and len(want) > 300 and len(got) >= 0.9 * len(want)
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substring_dedup.repeated_passages(no_docs(spark)).count() == 0
 
