@@ -1,10 +1,11 @@
 """Topics of texts from clusters of their words.
 
-The model is fitted on a sample of about SAMPLE documents, chosen by a hash of id and text: their
-VOCABULARY most widespread words, weighted by rarity, give each sampled document a direction; spherical
-k-means finds TOPICS centres, and every word joins the centre where it is most over-represented. A
-text's topic is the cluster with the largest summed word weight. Only the fit looks at a sample;
-every text is assigned by all of its words.
+The model is fitted on every document (rows alike in id and text are one document, their words counted
+together): the VOCABULARY most widespread words, weighted by rarity, give each document a direction;
+spherical k-means finds TOPICS centres, and every word joins the centre where it is most over-represented.
+A text's topic is the cluster with the largest summed word weight. The documents' word counts are written
+once and read by each round; a round's sums are added as integers, so that they do not depend on how the
+rows lie in tasks.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled_text
+from .common import filled_text, staged
 from .divergence import slices
 
-SAMPLE, VOCABULARY, TOPICS, ROUNDS = 2_000, 4_096, 8, 25
+VOCABULARY, TOPICS, ROUNDS = 4_096, 8, 25
+UNIT = 1 << 30      # a weight of 1 in the sums of a round
 EMPTY, NONE = "empty", "none"
 
 
@@ -31,49 +33,136 @@ class TopicModel:
     weight: tuple[float, ...]
 
 
-def _sample(docs: DataFrame, size: int) -> DataFrame:
-    n = docs.count()
-    mark = F.pmod(F.xxhash64(F.lit("topics"), "doc_id", filled_text()), F.lit(1 << 32))
-    share = min(1.0, size / n) if n else 1.0
-    return docs.filter(mark < F.lit(int(share * (1 << 32))))
+def _split(texts: pa.Array):
+    """(row, word) of every word of the texts, A-Z lower-cased."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    row, word = pc.list_parent_indices(words).to_numpy(), pc.list_flatten(words)
+    full = pc.not_equal(pc.binary_length(word), 0)
+    return row[full.to_numpy(zero_copy_only=False)], word.filter(full)
 
 
-def fit(docs: DataFrame, size: int = SAMPLE, topics: int = TOPICS) -> TopicModel:
-    """The word clusters of `docs`. Word counts of the sample are made by Spark; what reaches the driver is
-    bounded by SAMPLE documents of VOCABULARY words."""
-    text = F.translate(filled_text(), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = (_sample(docs, size).select(F.xxhash64("doc_id", filled_text()).alias("d"),
-                                        F.explode(F.split(text, r"[\t-\r ]+")).alias("word"))
-             .filter("word <> ''").groupBy("d", "word").agg(F.count(F.lit(1)).alias("n")))
-    known = (words.groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-             .orderBy(F.desc("df"), "word").limit(VOCABULARY).toPandas())
-    if known.empty:
-        return TopicModel((), (), ())
-    own = words.join(docs.sparkSession.createDataFrame(known[["word"]]), "word").toPandas()
-    docs_seen = np.unique(own["d"])
-    column = {w: i for i, w in enumerate(known["word"])}
-    matrix = np.zeros((len(docs_seen), len(known)), np.float32)
-    matrix[np.searchsorted(docs_seen, own["d"]), own["word"].map(column)] = 1 + np.log(own["n"])
-    rarity = np.log(1 + len(docs_seen) / known["df"].to_numpy(float))
-    return _cluster(matrix, tuple(known["word"]), rarity, topics)
+def _spread(batches):
+    """(word, df): in how many of some texts a word is."""
+    for batch in slices(batches):
+        row, word = _split(batch.column("text"))
+        coded = word.dictionary_encode()
+        own = np.unique(row * max(len(coded.dictionary), 1) + coded.indices.to_numpy())
+        df = np.bincount(own % max(len(coded.dictionary), 1), minlength=len(coded.dictionary))
+        yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(df)], names=["word", "df"])
+
+
+def _counted(words: tuple[str, ...]):
+    """d and the known words of each text with their counts, as packed numbers; texts without one are left
+    out."""
+    def run(batches):
+        known = pa.array(words, pa.string())
+        for batch in slices(batches):
+            row, word = _split(batch.column("text"))
+            at = pc.fill_null(pc.index_in(word, value_set=known), -1).to_numpy()
+            own, n = np.unique(row[at >= 0] * len(words) + at[at >= 0], return_counts=True)
+            n = n * batch.column("copies").to_numpy()[own // len(words)]
+            rows, first = np.unique(own // len(words), return_index=True)
+            ends = np.append(first, len(own))
+
+            def packed(values, kind):
+                data = values.astype(kind).tobytes()
+                size = np.dtype(kind).itemsize
+                return pa.array([data[a * size:b * size] for a, b in zip(ends, ends[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("d").take(pa.array(rows)), packed(own % len(words), np.uint16), packed(n, np.uint32)],
+                names=["d", "words", "counts"])
+    return run
+
+
+def _weighted(batch: pa.RecordBatch, rarity: np.ndarray):
+    """(row, word, weight) of a batch of counted texts; the weights of a text are a unit vector."""
+    words, counts = batch.column("words").to_pylist(), batch.column("counts").to_pylist()
+    row = np.repeat(np.arange(len(words)), [len(w) // 2 for w in words])
+    word = np.frombuffer(b"".join(words), np.uint16).astype(np.int64)
+    weight = (1 + np.log(np.frombuffer(b"".join(counts), np.uint32))) * rarity[word]
+    size = np.sqrt(np.bincount(row, weight * weight, minlength=len(words)))
+    return row, word, weight / np.maximum(size, 1e-9)[row]
+
+
+def _likeness(row, word, weight, n: int, centres: np.ndarray) -> np.ndarray:
+    return np.stack([np.bincount(row, weight * c[word], minlength=n) for c in centres], axis=1)
+
+
+def _least_like(counted: DataFrame, centres: np.ndarray, rarity: np.ndarray):
+    """The text least like the centres that it is most like, the smallest d of several."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                own = _weighted(batch, rarity)
+                near = _likeness(*own, batch.num_rows, centres).max(axis=1)
+                d = batch.column("d").to_numpy()
+                best = np.lexsort((d, near))[:1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near[best]), *(batch.column(c).take(pa.array(best)) for c in ("d", "words", "counts"))],
+                    names=["near", "d", "words", "counts"])
+    return counted.mapInArrow(run, "near double, d bigint, words binary, counts binary").orderBy("near", "d").first()
+
+
+def _direction(found, rarity: np.ndarray) -> np.ndarray:
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes(found[c])]) for c in ("words", "counts")],
+                                       names=["words", "counts"])
+    _, word, weight = _weighted(batch, rarity)
+    out = np.zeros(len(rarity))
+    out[word] = weight
+    return out
+
+
+def _sums(counted: DataFrame, middle: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The summed directions of the texts nearest to each centre, and their numbers. Every task sends the sums
+    of its centres and words; what reaches the driver is one number per centre and word."""
+    k, v = middle.shape
+
+    def run(batches):
+        total, texts = np.zeros(k * v, np.int64), np.zeros(k, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                row, word, weight = _weighted(batch, rarity)
+                mine = _likeness(row, word, weight, batch.num_rows, middle).argmax(axis=1)
+                total += np.bincount(mine[row] * v + word, np.rint(weight * UNIT), minlength=k * v).astype(np.int64)
+                texts += np.bincount(mine, minlength=k)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((at, np.arange(k * v, k * v + k)))),
+             pa.array(np.concatenate((total[at], texts)))], names=["at", "n"])
+    found = (counted.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
+    out = np.zeros(k * v + k)
+    out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    return out[:k * v].reshape(k, v) / UNIT, out[k * v:]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def _cluster(counts: np.ndarray, words: tuple, rarity: np.ndarray, topics: int) -> TopicModel:
-    rows = _unit(counts * rarity.astype(np.float32))
+def fit(docs: DataFrame, topics: int = TOPICS) -> TopicModel:
+    """The word clusters of `docs`. Every document takes part in the counts and in each round; what reaches the
+    driver is bounded by TOPICS centres of VOCABULARY words."""
+    spark = docs.sparkSession
+    texts = (docs.select(F.xxhash64("doc_id", filled_text()).alias("d"), filled_text().cast("string").alias("text"))
+             .groupBy("d").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    known = (texts.mapInArrow(_spread, "word string, df bigint").groupBy("word").agg(F.sum("df").alias("df"))
+             .filter("df > 1").orderBy(F.desc("df"), "word").limit(VOCABULARY).toPandas())
+    if known.empty:
+        return TopicModel((), (), ())
+    words = tuple(known["word"])
+    counted = staged(spark, texts.mapInArrow(_counted(words), "d bigint, words binary, counts binary"), "word_counts")
+    rarity = np.log(1 + counted.count() / known["df"].to_numpy(float))
     # First centres: each the document least like those already taken.
-    centres, near = [0], rows @ rows[0]
-    while len(centres) < min(topics, len(rows)):
-        centres.append(int(near.argmin()))
-        near = np.maximum(near, rows @ rows[centres[-1]])
-    middle = rows[centres]
+    centres = [_direction(counted.orderBy("d").first(), rarity)]
+    while len(centres) < topics:
+        found = _least_like(counted, np.stack(centres), rarity)
+        if found["near"] > 1 - 1e-9:        # all documents are taken
+            break
+        centres.append(_direction(found, rarity))
+    middle = np.stack(centres)
     for _ in range(ROUNDS):
-        mine = (rows @ middle.T).argmax(axis=1)
-        moved = _unit(np.stack([rows[mine == k].sum(axis=0) if (mine == k).any() else middle[k]
-                                for k in range(len(middle))]))
+        sums, texts_of = _sums(counted, middle, rarity)
+        moved = _unit(np.where(texts_of[:, None] > 0, sums, middle))
         if np.allclose(moved, middle, atol=1e-5):
             break
         middle = moved
@@ -85,11 +174,8 @@ def _cluster(counts: np.ndarray, words: tuple, rarity: np.ndarray, topics: int)
 def topics_of(texts: pa.Array, model: TopicModel, known: pa.Array, cluster: np.ndarray,
               weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(topic number or -1, tokens) of every text; tokens are runs without white space."""
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    row = pc.list_parent_indices(words).to_numpy()
-    word = pc.list_flatten(words)
-    full = pc.not_equal(pc.binary_length(word), 0).to_numpy(zero_copy_only=False)
-    tokens = np.bincount(row[full], minlength=len(texts))
+    row, word = _split(texts)
+    tokens = np.bincount(row, minlength=len(texts))
     if not len(known):
         return np.full(len(texts), -1), tokens
     at = pc.fill_null(pc.index_in(word, value_set=known), -1).to_numpy()

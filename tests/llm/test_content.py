@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -425,3 +426,12 @@ def test_topics_follow_the_words(spark):
     assert len({got[i] for i in range(3)}) == 3
     assert all(got[i] == got[i % 3] for i in range(90))
     assert got[90] == "empty" and got[91] == "none"
+
+
+def test_topics_are_fitted_on_every_document(spark):
+    rows = [(i, f"alpha beta gamma w{i % 7}" + (f" rare{i // 2}" if i < 60 else "")) for i in range(3000)]
+    model = topics.fit(spark.createDataFrame(rows, "doc_id long, text string"), topics=3)
+    assert {f"rare{i}" for i in range(30)} < set(model.words)
+    weight = dict(zip(model.words, model.weight))
+    assert weight["alpha"] == pytest.approx(math.log(2), abs=1e-6)
+    assert weight["rare0"] == pytest.approx(math.log(1501), abs=1e-6)
