@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.exprs import literal_rows, portable
 from ..operators import metrics, monitor, quality, reach, sales, upkeep
-from ..session import scratch_path
+from ..session import follow_size, scratch_path
 from ..sinks import bucketed, versions
 from ..sinks import tables as sink_tables
 from ..sources import event_adapters
@@ -37,6 +37,7 @@ def register(name: str, doubles: tuple[str, ...] = ()):
     integer columns that may hold NULL (exported as double, see ``portable``)."""
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            follow_size(spark)
             return portable(fn(ShopTables(spark, sf_dir)), doubles)
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -321,7 +322,7 @@ def _a2(t: ShopTables) -> DataFrame:
 
 def _facts(t: ShopTables) -> bucketed.FactTables:
     path = scratch_path(t.spark, "facts")
-    return bucketed.write_fact_tables(t.orders, t.order_items, f"facts_{path[-12:]}", path, buckets=8)
+    return bucketed.write_fact_tables(t.orders, t.order_items, f"facts_{path[-12:]}", path)
 
 
 @register("bucketed_extract")

@@ -19,6 +19,18 @@ BASE_CONF = {
 }
 
 
+#: Shuffles start with many partitions and adaptive execution joins them up to the advisory size: the
+#: number of tasks follows the rows, so that a task's sorts and hash tables do not grow with the input.
+FOLLOW_SIZE = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"}
+
+
+def follow_size(spark: SparkSession) -> None:
+    for key, value in FOLLOW_SIZE.items():
+        if spark.conf.get(key, None) is None:       # a session's own setting stays
+            spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "basketlens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

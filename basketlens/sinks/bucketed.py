@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from ..operators import metrics
 
 
+ROWS_PER_BUCKET, MIN_BUCKETS = 1 << 19, 8
+
+
 @dataclass
 class FactTables:
     """Names of the two stored tables in the session's catalog."""
@@ -43,10 +46,14 @@ class FactTables:
 
 
 def write_fact_tables(orders: DataFrame, order_items: DataFrame, name: str, path: str,
-                      buckets: int = 64) -> FactTables:
-    """Store both tables as ``<name>_orders`` and ``<name>_order_items`` under ``path``. Choose ``buckets`` so
-    that a bucket of items fits a task (100 TB: some 100,000 buckets of 1 GB). Rows are shuffled by the key
-    first, so a bucket is one file, whatever the number of input tasks."""
+                      buckets: int | None = None) -> FactTables:
+    """Store both tables as ``<name>_orders`` and ``<name>_order_items`` under ``path``. Without ``buckets``
+    their number follows the rows of the larger table, so that a bucket stays as small as ROWS_PER_BUCKET
+    whatever the tables' size. Rows are shuffled by the key first, so a bucket is one file, whatever the number
+    of input tasks."""
+    if buckets is None:
+        buckets = max(MIN_BUCKETS, -(-max(orders.count(), order_items.count()) // ROWS_PER_BUCKET))
+
     def write(df: DataFrame, key: str, table: str, parts: list[str]) -> str:
         writer = df.write.mode("overwrite").format("parquet").option("path", f"{path.rstrip('/')}/{table}")
         writer = writer.partitionBy(*parts) if parts else writer

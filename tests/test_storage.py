@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens import schemas
+from basketlens import schemas, session
 from basketlens.operators import metrics, reach, sales
 from basketlens.plans import cards, catalog, sql_views
 from basketlens.sinks import bucketed
@@ -296,3 +296,24 @@ def test_cards_in_sql_default_to_now_and_prune(spark, capsys):
     plan = capsys.readouterr().out
     assert "BroadcastNestedLoopJoin" not in plan
     assert all("o_orderpriority" not in line for line in plan.splitlines() if line.startswith("ReadSchema"))
+
+
+def test_the_number_of_buckets_follows_the_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 100)
+    orders = spark.range(1500).select("id", F.lit("completed").alias("status"))
+    items = spark.range(3000).select((F.col("id") % 1500).alias("order_id"), F.col("id").alias("product_id"))
+    for n, facts in ((30, bucketed.write_fact_tables(orders, items, "by_rows", f"{scratch}/by_rows")),
+                     (8, bucketed.write_fact_tables(orders.limit(9), items.limit(9), "few", f"{scratch}/few"))):
+        found = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {facts.items_name}").collect()}
+        assert found["Num Buckets"] == str(n)
+    assert spark.table("by_rows_order_items").count() == 3000
+
+
+def test_shuffles_of_a_query_start_wide_unless_the_session_says_otherwise(spark):
+    own = spark.newSession()
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session.follow_size(own)
+    assert own.conf.get(key) == "1024"
+    own.conf.set(key, "7")
+    session.follow_size(own)
+    assert own.conf.get(key) == "7"
