@@ -189,7 +189,8 @@ def decode(raw: DataFrame) -> DataFrame:
     Malformed is what a strict parser refuses, a repeated key, anything behind the closing
     brace, and a value that is no object. The value is parsed as the first element of a list whose
     second is a mark drawn for this query: what stands behind the brace either breaks the list or takes
-    the mark's place, and no message can know the mark.
+    the mark's place, and no message can know the mark. So the text is one JSON value, and an object if it
+    begins with a brace.
 
     Both come out of a one-element ``explode`` (one row out per row in). A filter on
     a generated column is not pushed below the generator, so Catalyst cannot inline the
@@ -202,7 +203,7 @@ def decode(raw: DataFrame) -> DataFrame:
         F.from_json(text, "map<string,string>").alias("m"), wrapped.alias("w")))).alias("j"))
     body = F.try_variant_get(F.col("j.w"), "$[0]", "variant")
     whole = ((F.try_variant_get(F.col("j.w"), "$[1]", "string") == F.lit(mark))
-             & F.schema_of_variant(body).startswith("OBJECT"))
+             & F.ltrim(text, F.lit(" \t\r\n")).startswith("{"))
     checked = parsed.select(*raw.columns, F.explode(F.array(F.struct(
         F.when(whole, F.col("j.m")).alias("m"), F.when(whole, body).alias("v")))).alias("k"))
     return checked.select(*raw.columns, "k.m", "k.v")
