@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 from .common import kept
@@ -32,6 +34,19 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(hashes.__getitem__, own), dtype=np.uint64, count=len(own))
 
 
+def word_hashes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, ends): the word_hashes of all texts, one text after another."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    word = pc.list_flatten(split)
+    full = pc.not_equal(pc.binary_length(word), 0)
+    row = pc.list_parent_indices(split).filter(full).to_numpy()
+    coded = word.filter(full).dictionary_encode()
+    known = kept("word hashes", _WordHashes)
+    hashes = np.fromiter(map(known.__getitem__, coded.dictionary.cast(pa.binary()).to_pylist()),
+                         dtype=np.uint64, count=len(coded.dictionary))
+    return hashes[coded.indices.to_numpy()], np.cumsum(np.bincount(row, minlength=len(texts)))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)

@@ -12,11 +12,14 @@ of functions are used, so equal passages always share signatures.
 Each document is compared, on whole texts, with the smallest document of each of its signatures
 (the smallest one with the largest), unless smaller partners already hold all that the signature
 stands for. A signature can lie in a frequent line that these documents share with the others and
-nothing more. So subsequences that are in no passage then (`open`) are grouped anew: by the hash of
-all their tokens, where equality needs no further comparison, so that equal passages are found
-whatever surrounds them; and by the min-hashes of three of the four functions, whose new pairs are
-compared as before. Each step is a grouping of signatures and one partner per member: the work
-grows with the members of a signature, not with their pairs.
+nothing more, and likeness does not pass from one partner to the next. So subsequences that are in no
+passage then, or in none of a smaller document that the signature has (`open`), are looked up again
+among all members of their signatures. Equal ones meet by the hash of all their tokens. For the others
+an exact filter comes first: at most ROOM tokens of an alike subsequence may be missing in its
+partner, so of any ROOM + 1 of them one is there. Those that fewest of the members have are taken; where
+more than ROOM are in no other member, there is no partner. The members that have one of the tokens taken are
+compared in ascending order, a block in a round, until every open subsequence is settled or has
+met all of them.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import filled_text, staged
-from .shingles import mix, shingles, word_hashes
+from .divergence import slices
+from .shingles import mix, shingles, word_hashes, word_hashes_of
 
 SHINGLE, PASSAGE_WORDS, SIMILARITY = 5, 50, 0.8
 WIDTH = PASSAGE_WORDS - SHINGLE + 1
@@ -41,9 +46,10 @@ BACK = pow(POWER, -1, 1 << 64)
 FIRST_SHIFTS = 4    # tried before the rest is narrowed; sets speed only
 MATCHES = 1 << 20   # looked at together; sets memory only
 CACHE_TOKENS = 1 << 20
-TRIPLES = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (1, 2, 3))
+BLOCK = 4           # members met in the first round, each later one meets four times as many; sets speed only
 #: Of WIDTH tokens so many must be common for a similarity of SIMILARITY.
 COMMON = int(np.ceil(2 * WIDTH * SIMILARITY / (1 + SIMILARITY)))
+ROOM = WIDTH - COMMON
 
 
 def window_extremes(h: np.ndarray, width: int, largest: bool = False) -> np.ndarray:
@@ -59,10 +65,10 @@ def window_extremes(h: np.ndarray, width: int, largest: bool = False) -> np.ndar
     return pick(back[:n], ahead[width - 1:width - 1 + n])
 
 
-def compact_windows(h: np.ndarray, width: int = WIDTH):
+def compact_windows(h: np.ndarray, width: int = WIDTH, ends: np.ndarray | None = None):
     """(anchors, starts): the Cartesian-tree nodes that span at least `width` tokens, and the first
     start of the `width`-token subsequences that each node's window stands for; the next node's
-    first start ends them.
+    first start ends them. h may hold several documents, one after another, that end at `ends`.
 
     A node is that wide exactly if its token is the minimum of some `width`-token window, and its
     ancestors are too, so the tree's top has these anchors alone. Of equal hashes the left one is
@@ -72,38 +78,49 @@ def compact_windows(h: np.ndarray, width: int = WIDTH):
     """
     if len(h) < width:
         return (np.empty(0, np.int64),) * 2
+    ends = np.array([len(h)]) if ends is None else ends
+    begins = np.concatenate(([0], ends[:-1]))
     low = window_extremes(h, width)
+    across = (ends[:-1, None] - np.arange(1, width)).ravel()
+    low[across[(across >= 0) & (across < len(low))]] = 0
     edge = np.zeros(width - 1, h.dtype)
     anchors = np.flatnonzero(
         window_extremes(np.concatenate([edge, low, edge]), width, largest=True) == h)
+    document = np.searchsorted(ends, anchors, "right")
+    long = ends[document] - begins[document] >= width
+    anchors, document = anchors[long], document[long]
     values = h[anchors]
-    starts = np.where(values[1:] < values[:-1], anchors[1:] - width + 1, anchors[:-1] + 1)
-    starts = np.concatenate(([0], starts, [len(low)]))
-    stops = np.minimum.accumulate(starts[:0:-1])[::-1]
-    wide = starts[:-1] < stops
-    return anchors[wide], starts[:-1][wide]
+    starts = np.empty(len(anchors), np.int64)
+    starts[1:] = np.where(values[1:] < values[:-1], anchors[1:] - width + 1, anchors[:-1] + 1)
+    first = np.concatenate(([True], document[1:] != document[:-1]))[:len(anchors)]
+    starts[first] = begins[document[first]]
+    stops = np.minimum.accumulate(np.append(starts[1:], len(low))[::-1])[::-1][:len(anchors)]
+    wide = starts < np.minimum(stops, ends[document] - width + 1)
+    return anchors[wide], starts[wide]
 
 
-def placed_signatures(tokens: np.ndarray):
+def placed_signatures(tokens: np.ndarray, ends: np.ndarray | None = None):
     """(signature, start, stop): the hash of two min-hashes whose compact windows have a
-    subsequence of WIDTH tokens in common, and where such subsequences start."""
-    n = len(tokens) - WIDTH + 1
-    if n < 1:
+    subsequence of WIDTH tokens in common, and where such subsequences start. The tokens may be those
+    of several documents, one after another, that end at `ends`."""
+    if len(tokens) < WIDTH:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    ends = np.array([len(tokens)]) if ends is None else ends
     windows = []
     for seed in SEEDS:
         h = mix(tokens ^ seed)
-        anchors, starts = compact_windows(h)
+        anchors, starts = compact_windows(h, WIDTH, ends)
         windows.append((starts, h[anchors]))
     out = []
     for f, g in FUNCTION_PAIRS:
         (start_f, low_f), (start_g, low_g) = windows[f], windows[g]
-        both = np.sort(np.concatenate((start_f, start_g)))
-        both = both[np.concatenate(([True], both[1:] != both[:-1]))]
+        both = np.sort(np.concatenate((start_f, start_g)), kind="stable")
+        both = both[np.concatenate(([True], both[1:] != both[:-1]))[:len(both)]]
         a = low_f[np.searchsorted(start_f, both, "right") - 1]
         b = low_g[np.searchsorted(start_g, both, "right") - 1]
+        last = ends[np.searchsorted(ends, both, "right")] - WIDTH + 1
         out.append((mix(a * np.uint64(0x9E3779B97F4A7C15) + b + np.uint64(f)), both,
-                    np.append(both[1:], n)))
+                    np.minimum(np.append(both[1:], len(tokens))[:len(both)], last)))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -264,125 +281,326 @@ def _tokens(text: str) -> np.ndarray:
     return shingles(w, SHINGLE) if len(w) >= SHINGLE else np.empty(0, np.uint64)
 
 
+def _token_rows(texts: pa.Array):
+    """(tokens, ends): the tokens of all texts, one text after another."""
+    w, ends = word_hashes_of(texts)
+    if len(w) < SHINGLE:
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    counts = np.diff(ends, prepend=0)
+    whole = np.repeat(ends, counts)[:len(w) - SHINGLE + 1] >= np.arange(SHINGLE, len(w) + 1)
+    return shingles(w, SHINGLE)[whole], np.cumsum(np.maximum(counts - SHINGLE + 1, 0))
+
+
+def _token_lists(texts: pa.Array):
+    """The tokens of each text."""
+    for part in slices([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+        tokens, ends = _token_rows(part.column("text"))
+        yield from np.split(tokens, ends[:-1])
+
+
 def _signature_rows(batches):
-    for batch in batches:
-        ids, rows = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows.append(placed_signatures(_tokens(text)))
-            ids.append(np.full(len(rows[-1][0]), doc_id, dtype=np.int64))
-        if ids:
-            signs, starts, stops = (np.concatenate(c) for c in zip(*rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signs.view(np.int64)), pa.array(np.concatenate(ids)),
-                 pa.array(starts.astype(np.int32)), pa.array(stops.astype(np.int32))],
-                names=["sig", "doc_id", "start", "end"])
-
-
-def _refined(x: np.ndarray, is_open: np.ndarray):
-    """(key, start, stop, exact) of the open windows of x: the hash of all tokens of each, and the
-    min-hashes by three functions of each run of windows."""
-    at = np.flatnonzero(is_open)
-    base, stop = at[0], at[-1] + 1
-    x, is_open = x[base:stop + WIDTH - 1], is_open[base:stop]
-    yield shingles(x, WIDTH)[at - base], at, at + 1, True
-    lows = [window_extremes(mix(x ^ seed), WIDTH) for seed in SEEDS]
-    for n, triple in enumerate(TRIPLES):
-        key = np.full(len(is_open), n + 1, dtype=np.uint64)
-        for f in triple:
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + lows[f])
-        same = (key[1:] == key[:-1]) & is_open[1:] & is_open[:-1]
-        starts = np.flatnonzero(is_open & ~np.concatenate(([False], same)))
-        stops = np.flatnonzero(is_open & ~np.concatenate((same, [False]))) + 1
-        yield key[starts], starts + base, stops + base, False
+    for batch in slices(batches):
+        tokens, ends = _token_rows(batch.column("text"))
+        signs, starts, _ = placed_signatures(tokens, ends)
+        if not len(signs):
+            continue
+        rows = np.searchsorted(ends, starts, "right")
+        by_row = np.lexsort((signs, rows))
+        rows, signs = rows[by_row], signs[by_row]
+        new = np.concatenate(([True], (rows[1:] != rows[:-1]) | (signs[1:] != signs[:-1])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(signs[new].view(np.int64)), batch.column("doc_id").take(pa.array(rows[new]))],
+            names=["sig", "doc_id"])
 
 
-def _verify(batches):
-    """Rows (doc_id, text, other_id, other_text, places) sorted by document and partner to its
-    passages (doc_id, other_id, start, end), and to the windows in places marked `several` that
-    are in none, with their keys (doc_id, start, end, key, exact)."""
+def _runs(flags: np.ndarray):
+    """(start, stop) of the runs of true flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
+    return edges[::2], edges[1::2]
+
+
+class _Compared:
+    """A document: which of its windows are in a passage of any other document (`covered`), and of a
+    smaller one."""
+
+    def __init__(self, doc_id: int, x: np.ndarray):
+        self.doc_id, self.x, n = doc_id, x, max(len(x) - WIDTH + 1, 0)
+        self.covered, self.smaller = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+
+    def settled(self, asked: np.ndarray, other_id: int) -> bool:
+        return bool((self.smaller if other_id < self.doc_id else self.covered)[asked].all())
+
+    def add(self, found: np.ndarray, other_id: int) -> None:
+        self.covered |= found
+        if other_id < self.doc_id:
+            self.smaller |= found
+
+
+def _rows(batches):
+    """(document, other_id, found, places) of each row (doc_id, text, other_id, other, places), sorted by
+    document; found() compares the two texts."""
     known: dict = {}
-    size = 0
-    last, x, covered, several = None, None, None, None
+    size, last, doc = 0, None, None
 
-    def others(text):
+    def in_other(text, y):
         nonlocal size
         if text not in known:
-            y = _tokens(text)
             size += len(y)
             if size > CACHE_TOKENS:
                 known.clear()
                 size = len(y)
-            known[text] = y, placed(y) if len(y) else None
+            known[text] = placed(y) if len(y) else None
         return known[text]
 
-    def left_open():
-        if last is not None and (several & ~covered).any():
-            for key, start, stop, exact in _refined(x, several & ~covered):
-                n = len(key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, last[0])), pa.nulls(n, pa.int64()), pa.array(start),
-                     pa.array(stop), pa.array(key.view(np.int64)), pa.array(np.full(n, exact))],
-                    names=CHECKED_NAMES)
-
     for batch in batches:
-        rows = []
+        text, other = batch.column(1), batch.column(3)
+        distinct = pa.concat_arrays([text, other]).unique()
+        tokens = dict(zip(distinct.to_pylist(), _token_lists(distinct)))
         places = batch.column(4)
         cuts = places.offsets.to_numpy() - places.offsets[0].as_py()
-        starts, stops, is_several = (
-            places.flatten().field(n).to_numpy(zero_copy_only=False)
-            for n in ("start", "stop", "several"))
-        for doc_id, text, other_id, other, a, b in zip(
+        fields = {f.name: places.flatten().field(f.name).to_numpy(zero_copy_only=False)
+                  for f in places.type.value_type}
+        for doc_id, x, other_id, y, a, b in zip(
                 *[batch.column(c).to_pylist() for c in range(4)], cuts[:-1], cuts[1:]):
-            if last != (doc_id, text):
-                yield from left_open()
-                last, x = (doc_id, text), _tokens(text)
-                covered = np.zeros(max(len(x) - WIDTH + 1, 0), dtype=bool)
-                several = covered.copy()
-            asked = _in_ranges(starts[a:b], stops[a:b], len(covered))
-            of_several = is_several[a:b]
-            if of_several.any():
-                several |= _in_ranges(starts[a:b][of_several], stops[a:b][of_several], len(covered))
-            if covered[asked].all():
-                continue
-            found = np.ones(len(covered), dtype=bool) if text == other else alike_windows(
-                x, *others(other))
-            covered |= found
-            rows += [(doc_id, other_id, s, e, None, None) for s, e in _spans(found)]
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 5 + [pa.bool_()])],
-                names=CHECKED_NAMES)
+            if last != (doc_id, x):
+                last, doc = (doc_id, x), _Compared(doc_id, tokens[x])
+
+            def found():
+                if x == y:
+                    return np.ones(len(doc.covered), dtype=bool)
+                return alike_windows(doc.x, tokens[y], in_other(y, tokens[y]))
+            yield doc, other_id, found, {name: column[a:b] for name, column in fields.items()}
+
+
+CHECKED = ("doc_id bigint, other_id bigint, start bigint, end bigint, key bigint, kind int, "
+           "larger boolean")
+CHECKED_NAMES = ["doc_id", "other_id", "start", "end", "key", "kind", "larger"]
+SPAN, WINDOW, SIGNATURE, TOKEN = range(4)
+
+
+def _checked(doc: _Compared, kind: int, other_id=None, start=None, end=None, key=None, larger=None):
+    """Rows of one kind: passages, open windows with their hash, signatures and tokens of open windows.
+    `larger`: the window is in a passage, of larger documents only."""
+    columns = (start, end, key, larger)
+    n = len(next(c for c in columns if c is not None))
+    types = [pa.int64()] * 3 + [pa.bool_()]
+    start, end, key, larger = (pa.nulls(n, t) if c is None else pa.array(c, t)
+                               for c, t in zip(columns, types))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, doc.doc_id)),
+         pa.nulls(n, pa.int64()) if other_id is None else pa.array(np.full(n, other_id)),
+         start, end, key, pa.array(np.full(n, kind, np.int32)), larger], names=CHECKED_NAMES)
+
+
+def _span_rows(doc, found, other_id):
+    spans = _spans(found)
+    if spans:
+        yield _checked(doc, SPAN, other_id, *zip(*spans))
+
+
+def _gathered(batches):
+    """The batches in fewer, larger ones."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= 10_000 or len(held) >= 1_000:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _verify(batches):
+    """The passages of documents with the partners of their signatures, and what is open after them."""
+    return _gathered(_verified(batches))
+
+
+def _verified(batches):
+    doc = shared = passed = None        # windows of signatures with more than two rows, and with smaller members
+
+    def left_open():
+        if doc is None or not shared.any():
+            return
+        none, only_larger = shared & ~doc.covered, passed & doc.covered & ~doc.smaller
+        is_open = none | only_larger
+        if not is_open.any():
+            return
+        at = np.flatnonzero(is_open)
+        yield _checked(doc, WINDOW, start=at, key=window_hashes(doc.x)[at].view(np.int64),
+                       larger=only_larger[at])
+        total = np.concatenate(([0], np.cumsum(is_open)))
+        yield _checked(doc, SIGNATURE, key=np.unique(signs[several & (total[stops] > total[starts])]).view(np.int64))
+
+    for own, other_id, found, places in _rows(batches):
+        if own is not doc:
+            yield from left_open()
+            doc = own
+            signs, starts, stops = placed_signatures(doc.x)
+            shared, passed = (np.zeros(len(doc.covered), dtype=bool) for _ in range(2))
+            several = np.zeros(len(signs), dtype=bool)
+        keys = places["sig"].view(np.uint64)
+        order = np.argsort(keys)
+        k = order[np.minimum(np.searchsorted(keys, signs, sorter=order), len(keys) - 1)]
+        here = keys[k] == signs
+        asked = _in_ranges(starts[here], stops[here], len(doc.covered))
+        many = here & places["several"][k].astype(bool)
+        if many.any():
+            several |= many
+            of_several = _in_ranges(starts[many], stops[many], len(doc.covered))
+            shared |= of_several
+            if other_id < doc.doc_id:
+                passed |= of_several
+        if doc.settled(asked, other_id):
+            continue
+        alike = found()
+        doc.add(alike, other_id)
+        yield from _span_rows(doc, alike, other_id)
+    yield from left_open()
+
+
+def _verify_again(batches):
+    """The passages of documents with the members that have a token taken, and the tokens of windows
+    that are open after them."""
+    return _gathered(_verified_again(batches))
+
+
+def _verified_again(batches):
+    doc, asked_for = None, set()
+
+    def left_open():
+        left = []
+        for key, start, stop, larger in sorted(asked_for):
+            part = slice(start, stop)
+            for begin, end, flag in [
+                    (*r, larger) for r in zip(*_runs(~doc.covered[part]))] + [
+                    (*r, True) for r in zip(*_runs(doc.covered[part] & ~doc.smaller[part]))]:
+                left.append((start + int(begin), start + int(end), key, flag))
+        if left:
+            yield _checked(doc, TOKEN, None, *zip(*left))
+
+    for own, other_id, found, places in _rows(batches):
+        if own is not doc:
+            yield from left_open()
+            doc, asked_for = own, set()
+        places = [(k, a, min(b, len(doc.covered)), bool(n)) for k, a, b, n in zip(
+            *(places[c].tolist() for c in ("key", "start", "stop", "larger"))) if a < len(doc.covered)]
+        asked_for.update(places)
+        if all(doc.settled(slice(a, b), other_id) for _, a, b, _ in places):
+            continue
+        alike = found()
+        doc.add(alike, other_id)
+        yield from _span_rows(doc, alike, other_id)
     yield from left_open()
 
 
-CHECKED = "doc_id bigint, other_id bigint, start bigint, end bigint, key bigint, exact boolean"
-CHECKED_NAMES = ["doc_id", "other_id", "start", "end", "key", "exact"]
+def _member_tokens(batches):
+    """(token, doc_id): the distinct tokens of the windows of some signatures."""
+    for batch in batches:
+        for doc_id, x, signs in zip(batch.column(0).to_pylist(), _token_lists(batch.column(1)),
+                                    batch.column(2)):
+            own, starts, stops = placed_signatures(x)
+            here = np.isin(own, signs.values.to_numpy().view(np.uint64))
+            if here.any():
+                tokens = np.unique(x[_in_ranges(starts[here], stops[here] + WIDTH - 1, len(x))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens.view(np.int64)), pa.array(np.full(len(tokens), doc_id))],
+                    names=["token", "doc_id"])
+
+
+def rare_tokens(x: np.ndarray, starts: np.ndarray, tokens: np.ndarray, members: np.ndarray):
+    """(start, token) of the windows of x at `starts`: of each, those of the ROOM + 1 tokens with the
+    fewest other members that have any. `tokens` have `members` of them, other tokens none."""
+    rank = np.empty(len(tokens), np.int64)
+    rank[np.lexsort((tokens, members))] = np.arange(len(tokens))
+    order = np.argsort(tokens)
+    k = order[np.minimum(np.searchsorted(tokens, x, sorter=order), len(tokens) - 1)]
+    ranks = np.where(tokens[k] == x, rank[k], -1)
+    windows = np.lib.stride_tricks.sliding_window_view(ranks, WIDTH)
+    taken = [np.partition(windows[starts[i:i + (1 << 16)]], ROOM, axis=1)[:, :ROOM + 1]
+             for i in range(0, len(starts), 1 << 16)]
+    taken = np.concatenate(taken)
+    at = np.broadcast_to(starts[:, None], taken.shape)[taken >= 0]
+    return at, tokens[np.argsort(rank)][taken[taken >= 0]]
+
+
+def _probes(batches):
+    """(key, doc_id, start, stop, larger): the tokens taken of each document's open windows (doc_id, text,
+    windows, tokens), and the runs of windows that they are taken for."""
+    for batch in batches:
+        for doc_id, x, opened, found in zip(batch.column(0).to_pylist(), _token_lists(batch.column(1)),
+                                            batch.column(2), batch.column(3)):
+            starts, larger = (opened.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "larger"))
+            inside = starts + WIDTH <= len(x)
+            starts, first = np.unique(starts[inside], return_index=True)
+            if not len(starts):
+                continue
+            larger = larger[inside].astype(bool)[first]
+            tokens, members = (found.values.field(c).to_numpy() for c in ("token", "members"))
+            tokens, first = np.unique(tokens.view(np.uint64), return_index=True)
+            at, token = rare_tokens(x, starts, tokens, members[first])
+            if not len(at):
+                continue
+            rows = np.unique(np.rec.fromarrays([token, larger[np.searchsorted(starts, at)], at]))
+            token, flag, at = (rows[c] for c in rows.dtype.names)
+            new = np.concatenate(([True], (token[1:] != token[:-1]) | (flag[1:] != flag[:-1])
+                                  | (at[1:] != at[:-1] + 1)))
+            last = np.concatenate((new[1:], [True]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[new].view(np.int64)), pa.array(np.full(int(new.sum()), doc_id)),
+                 pa.array(at[new].astype(np.int32)), pa.array((at[last] + 1).astype(np.int32)),
+                 pa.array(flag[new])], names=["key", "doc_id", "start", "stop", "larger"])
 
 
-def _partners(members: DataFrame, key: str, name: str) -> DataFrame:
-    """Rows of members whose key several documents have, with the smallest of these (the smallest
-    one with the largest) as other_id, and `several` if the key has more than two rows. The
+def _partners(members: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
+    """Rows of members whose key several documents have (or all, with `how` left), with the smallest of these
+    (the smallest one with the largest) as other_id, and `several` if the key has more than two rows. The
     groups are written first, so that the join can split a key that many rows have."""
     groups = staged(members.sparkSession, members.groupBy(key).agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         (F.count(F.lit(1)) > 2).alias("several")).filter("low < high"), name)
-    return members.join(groups, key).withColumn(
+    return members.join(groups, key, how).withColumn(
         "other_id", F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")))
 
 
-def _places(members: DataFrame, several) -> DataFrame:
-    return members.groupBy("doc_id", "other_id").agg(F.collect_list(F.struct(
-        F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("stop"),
-        several.alias("several"))).alias("places"))
-
-
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, verify) -> DataFrame:
     other = texts.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other"))
     # a document's partners meet in one task, one text at a time: they are no more than its windows
     return (pairs.join(other, "other_id").repartition("doc_id").join(texts, "doc_id")
             .select("doc_id", "text", "other_id", "other", "places")
             .sortWithinPartitions("doc_id", F.xxhash64("text"), "other_id")
-            .mapInArrow(_verify, CHECKED))
+            .mapInArrow(verify, CHECKED))
+
+
+def _met(windows: DataFrame, members: DataFrame, texts: DataFrame):
+    """The passages of open windows (doc_id, windows) with any of the members (doc_id, sigs) of their
+    signatures."""
+    spark = texts.sparkSession
+    tokens = staged(spark, texts.join(members, "doc_id").select("doc_id", "text", "sigs").mapInArrow(
+        _member_tokens, "token bigint, doc_id bigint"), "member_tokens")
+    shared = tokens.groupBy("token").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+        F.count(F.lit(1)).alias("members")).filter("low < high").select("token", "members")
+    of_document = tokens.join(staged(spark, shared, "shared_tokens"), "token").groupBy("doc_id").agg(
+        F.collect_list(F.struct("token", "members")).alias("tokens"))
+    left = staged(spark, texts.join(windows, "doc_id").join(of_document, "doc_id").select(
+        "doc_id", "text", "windows", "tokens").mapInArrow(
+        _probes, "key bigint, doc_id bigint, start int, stop int, larger boolean"), "rare_tokens")
+    met = staged(spark, tokens.withColumnRenamed("token", "key").join(
+        left.select("key").distinct(), "key", "left_semi").distinct().select(
+        "key", F.col("doc_id").alias("other_id"), F.row_number().over(
+            Window.partitionBy("key").orderBy("doc_id")).alias("nth")), "rare_members")
+    first, behind = 1, 1 + BLOCK
+    while not left.isEmpty():
+        pairs = left.join(met.filter(F.col("nth").between(first, behind - 1)), "key").filter(
+            "other_id <> doc_id AND (other_id < doc_id OR NOT larger)").groupBy("doc_id", "other_id").agg(
+            F.collect_list(F.struct("key", "start", "stop", "larger")).alias("places"))
+        checked = staged(spark, _compared(pairs, texts, _verify_again), "passages_met")
+        yield checked.filter(F.col("kind") == SPAN)
+        left = checked.filter(F.col("kind") == TOKEN).select(
+            "key", "doc_id", F.col("start").cast("int").alias("start"),
+            F.col("end").cast("int").alias("stop"), "larger")
+        first, behind = behind, behind + 4 * (behind - first)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -397,25 +615,30 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     read; other columns are not.
     """
     spark = docs.sparkSession
-    texts = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), filled_text().alias("text"))
-             .filter("doc_id IS NOT NULL"))
-    rows = staged(spark, texts.mapInArrow(
-        _signature_rows, "sig bigint, doc_id bigint, start int, end int"), "signatures")
-    members = _partners(rows, "sig", "passage_groups")
-    pairs = staged(spark, _places(members, F.col("several")), "passage_pairs")
+    texts = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                         filled_text().cast("string").alias("text")).filter("doc_id IS NOT NULL"))
+    rows = staged(spark, texts.mapInArrow(_signature_rows, "sig bigint, doc_id bigint"), "signatures")
+    pairs = staged(spark, _partners(rows, "sig", "passage_groups").groupBy("doc_id", "other_id").agg(
+        F.collect_list(F.struct("sig", "several")).alias("places")), "passage_pairs")
     # every partner is a member too; the hint keeps this join alike at every size
     texts = staged(spark, texts.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id",
                                      "left_semi"), "passage_texts")
-    checked = staged(spark, _compared(pairs, texts), "passages_checked")
+    checked = staged(spark, _compared(pairs, texts, _verify), "passages_checked")
     again = staged(spark, _partners(
-        checked.filter("key IS NOT NULL").drop("other_id"), "key", "passage_keys"), "passages_open")
-    equal = again.filter("exact").select(
+        checked.filter(F.col("kind") == WINDOW).select("doc_id", "start", "key", "larger"), "key",
+        "passage_keys", "left"), "passages_open")
+    equal = again.filter("low IS NOT NULL").select(
         "doc_id", "other_id", "start", (F.col("start") + WIDTH + SHINGLE - 1).alias("end"))
-    near = _places(again.filter("NOT exact"), F.lit(False)).join(
-        pairs.select("doc_id", "other_id"), ["doc_id", "other_id"], "left_anti")
-    found = (checked.filter("key IS NULL").unionByName(_compared(near, texts))
-             .select("doc_id", "other_id", "start", "end").unionByName(equal))
-    return joined_spans(_smallest(found))
+    windows = again.filter("low IS NULL OR low = doc_id").groupBy("doc_id").agg(F.collect_list(F.struct(
+        "start", (F.col("larger") | F.col("low").isNotNull()).alias("larger"))).alias("windows"))
+    open_signs = checked.filter(F.col("kind") == SIGNATURE).select(F.col("key").alias("sig")).distinct()
+    members = (pairs.select("doc_id", F.explode("places").alias("p")).filter("p.several")
+               .select("doc_id", "p.sig").join(open_signs, "sig", "left_semi")
+               .groupBy("doc_id").agg(F.collect_list("sig").alias("sigs")))
+    found = checked.filter(F.col("kind") == SPAN)
+    for more in _met(windows, members, texts):
+        found = found.unionByName(more)
+    return joined_spans(_smallest(found.select("doc_id", "other_id", "start", "end").unionByName(equal)))
 
 
 def _smallest(found: DataFrame) -> DataFrame:

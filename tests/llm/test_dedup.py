@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -289,6 +290,69 @@ def test_recall_of_passages_with_a_changed_word(spark, line_words):
     assert got <= want and len(want) > 300 and len(got) >= 0.9 * len(want)
 
 
+def test_documents_alike_around_a_frequent_line_all_meet(spark, monkeypatch):
+    """Groups of documents that are alike to each other, not to the smallest documents with the line that
+    holds their min-hashes; with chains, where the smallest of a group is alike to one of two only."""
+    monkeypatch.setattr(substring_dedup, "BLOCK", 2)
+    rng = random.Random(33)
+    line, rows, groups = prose(rng, 38), [(i, None) for i in range(1, 9)], []
+    for group in range(40):
+        words = f"{prose(rng, 8)} {line} {prose(rng, 8)}".split()
+        first, second = list(words), list(words)
+        first[1 + group % 3] += "x"
+        second[-2 - group % 3] += "y"
+        ids = [100 + 3 * group + n for n in range(3)]
+        groups.append(ids)
+        rows += [(i, " ".join(w)) for i, w in zip(ids, (first, words, second))]
+    rows = [(i, f"{prose(rng, 60)} {text or prose(rng, 9) + ' ' + line} {prose(rng, 60)}") for i, text in rows]
+    plain = {i: substring_dedup._tokens(t) for i, t in rows}
+    signs = {i: substring_dedup.signatures(x) for i, x in plain.items()}
+    want = defaultdict(list)
+    for ids in groups:
+        for a in ids:
+            for b in ids:
+                if a != b and len(np.intersect1d(signs[a], signs[b])) and any(plain_alike(plain[a], plain[b])):
+                    want[a].append(b)
+    got = defaultdict(list)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got[r.doc_id].append(r)
+    assert len(want) > 100 and set(got) == set(want)
+    for a, others in want.items():
+        assert {r.first_doc_id for r in got[a]} <= set(others)
+        assert any(r.removable for r in got[a]) == (min(others) < a)
+
+
+def test_rare_tokens_of_a_window_hold_one_of_any_alike_partner():
+    rng, sd = random.Random(34), substring_dedup
+    members = [np.array([rng.randrange(60) for _ in range(70)], dtype=np.uint64) for _ in range(9)]
+    own = members[0]
+    members += [np.where(np.arange(70) % 46 < 4, np.uint64(99), own), np.roll(own, 3)]
+    values, counts = np.unique(np.concatenate([np.unique(m) for m in members[1:]]), return_counts=True)
+    known = np.isin(values, own)
+    starts = np.arange(len(own) - sd.WIDTH + 1)
+    at, token = sd.rare_tokens(own, starts, values[known], counts[known])
+    met = 0
+    for other in members[1:]:
+        for i in np.flatnonzero(sd.alike_windows(own, other)).tolist():
+            met += 1
+            assert np.isin(token[at == i], other).any()
+    assert met > 20 and all(len(token[at == i]) <= sd.ROOM + 1 for i in starts)
+
+
+def test_signatures_of_several_documents_are_those_of_each():
+    texts = ["", "a", prose(random.Random(1), 70), "A\tb\x0bc \x1c d\u00a0e\u0085f " * 30, prose(random.Random(2), 49),
+             prose(random.Random(3), 300), prose(random.Random(4), 50)]
+    tokens, ends = substring_dedup._token_rows(pa.array(texts))
+    got = sorted(zip(*(c.tolist() for c in substring_dedup.placed_signatures(tokens, ends))))
+    want, at = [], 0
+    for text, end in zip(texts, ends):
+        x = substring_dedup._tokens(text)
+        assert x.tolist() == tokens[at:end].tolist()
+        want += [(s, a + at, b + at) for s, a, b in zip(*(c.tolist() for c in substring_dedup.placed_signatures(x)))]
+        at = end
+    assert got == sorted(want)
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substring_dedup.repeated_passages(no_docs(spark)).count() == 0
 
