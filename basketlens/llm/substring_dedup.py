@@ -298,6 +298,20 @@ def _token_lists(texts: pa.Array):
         yield from np.split(tokens, ends[:-1])
 
 
+def _signed_lists(texts: pa.Array):
+    """The tokens of each text and its placed_signatures."""
+    for part in slices([pa.RecordBatch.from_arrays([texts], names=["text"])]):
+        tokens, ends = _token_rows(part.column("text"))
+        begins = np.concatenate(([0], ends[:-1]))
+        signs, starts, stops = placed_signatures(tokens, ends)
+        row = np.searchsorted(ends, starts, "right")
+        by_row = np.argsort(row, kind="stable")
+        row, signs, starts, stops = (c[by_row] for c in (row, signs, starts, stops))
+        starts, stops = starts - begins[row], stops - begins[row]
+        cuts = np.searchsorted(row, np.arange(1, len(ends)))
+        yield from zip(np.split(tokens, ends[:-1]), zip(*(np.split(c, cuts) for c in (signs, starts, stops))))
+
+
 def _signature_rows(batches):
     for batch in slices(batches):
         tokens, ends = _token_rows(batch.column("text"))
@@ -323,8 +337,8 @@ class _Compared:
     """A document: which of its windows are in a passage of any other document (`covered`), and of a
     smaller one."""
 
-    def __init__(self, doc_id: int, x: np.ndarray):
-        self.doc_id, self.x, n = doc_id, x, max(len(x) - WIDTH + 1, 0)
+    def __init__(self, doc_id: int, x: np.ndarray, placed_signs):
+        self.doc_id, self.x, self.signs, n = doc_id, x, placed_signs, max(len(x) - WIDTH + 1, 0)
         self.covered, self.smaller = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
 
     def settled(self, asked: np.ndarray, other_id: int) -> bool:
@@ -342,20 +356,20 @@ def _rows(batches):
     known: dict = {}
     size, last, doc = 0, None, None
 
-    def in_other(text, y):
+    def other(text):
         nonlocal size
         if text not in known:
+            y = next(_token_lists(pa.array([text])), np.empty(0, np.uint64))
             size += len(y)
             if size > CACHE_TOKENS:
                 known.clear()
                 size = len(y)
-            known[text] = placed(y) if len(y) else None
+            known[text] = y, placed(y) if len(y) else None
         return known[text]
 
     for batch in batches:
-        text, other = batch.column(1), batch.column(3)
-        distinct = pa.concat_arrays([text, other]).unique()
-        tokens = dict(zip(distinct.to_pylist(), _token_lists(distinct)))
+        distinct = batch.column(1).unique()
+        tokens = dict(zip(distinct.to_pylist(), _signed_lists(distinct)))
         places = batch.column(4)
         cuts = places.offsets.to_numpy() - places.offsets[0].as_py()
         fields = {f.name: places.flatten().field(f.name).to_numpy(zero_copy_only=False)
@@ -363,12 +377,12 @@ def _rows(batches):
         for doc_id, x, other_id, y, a, b in zip(
                 *[batch.column(c).to_pylist() for c in range(4)], cuts[:-1], cuts[1:]):
             if last != (doc_id, x):
-                last, doc = (doc_id, x), _Compared(doc_id, tokens[x])
+                last, doc = (doc_id, x), _Compared(doc_id, *tokens[x])
 
             def found():
                 if x == y:
                     return np.ones(len(doc.covered), dtype=bool)
-                return alike_windows(doc.x, tokens[y], in_other(y, tokens[y]))
+                return alike_windows(doc.x, *other(y))
             yield doc, other_id, found, {name: column[a:b] for name, column in fields.items()}
 
 
@@ -436,7 +450,7 @@ def _verified(batches):
         if own is not doc:
             yield from left_open()
             doc = own
-            signs, starts, stops = placed_signatures(doc.x)
+            signs, starts, stops = doc.signs
             shared, passed = (np.zeros(len(doc.covered), dtype=bool) for _ in range(2))
             several = np.zeros(len(signs), dtype=bool)
         keys = places["sig"].view(np.uint64)
@@ -496,10 +510,13 @@ def _verified_again(batches):
 
 def _member_tokens(batches):
     """(token, doc_id): the distinct tokens of the windows of some signatures."""
+    return _gathered(_tokens_of_members(batches))
+
+
+def _tokens_of_members(batches):
     for batch in batches:
-        for doc_id, x, signs in zip(batch.column(0).to_pylist(), _token_lists(batch.column(1)),
-                                    batch.column(2)):
-            own, starts, stops = placed_signatures(x)
+        for doc_id, (x, (own, starts, stops)), signs in zip(
+                batch.column(0).to_pylist(), _signed_lists(batch.column(1)), batch.column(2)):
             here = np.isin(own, signs.values.to_numpy().view(np.uint64))
             if here.any():
                 tokens = np.unique(x[_in_ranges(starts[here], stops[here] + WIDTH - 1, len(x))])
@@ -525,6 +542,11 @@ def rare_tokens(x: np.ndarray, starts: np.ndarray, tokens: np.ndarray, members:
 
 
 def _probes(batches):
+    """Rows of _taken in fewer batches."""
+    return _gathered(_taken(batches))
+
+
+def _taken(batches):
     """(key, doc_id, start, stop, larger): the tokens taken of each document's open windows (doc_id, text,
     windows, tokens), and the runs of windows that they are taken for."""
     for batch in batches:
