@@ -3,7 +3,7 @@
 The model is fitted on every document (rows alike in id and text are one document, their words counted
 together): the VOCABULARY most widespread words, weighted by rarity, give each document a direction;
 spherical k-means finds TOPICS centres, and every word joins the centre where it is most over-represented.
-A text's topic is the cluster with the largest summed word weight. The documents' word counts are written
+A text's topic is the cluster with the largest summed word weight. The weights of the documents' words are written
 once and read by each round; a round's sums are added as integers, so that they do not depend on how the
 rows lie in tasks.
 """
@@ -23,6 +23,7 @@ from .divergence import slices
 
 VOCABULARY, TOPICS, ROUNDS = 4_096, 8, 25
 UNIT = 1 << 30      # a weight of 1 in the sums of a round
+JOINED = 400_000    # sets memory and speed only
 EMPTY, NONE = "empty", "none"
 
 
@@ -42,13 +43,23 @@ def _split(texts: pa.Array):
 
 
 def _spread(batches):
-    """(word, df): in how many of some texts a word is."""
+    """(word, df): in how many of some texts a word is. Slices are joined up to JOINED words."""
+    def joined(parts):
+        return pa.concat_tables(parts).group_by("word").aggregate([("df", "sum")]).rename_columns(["word", "df"])
+    parts, fresh = [], 0
     for batch in slices(batches):
         row, word = _split(batch.column("text"))
         coded = word.dictionary_encode()
         own = np.unique(row * max(len(coded.dictionary), 1) + coded.indices.to_numpy())
         df = np.bincount(own % max(len(coded.dictionary), 1), minlength=len(coded.dictionary))
-        yield pa.RecordBatch.from_arrays([coded.dictionary, pa.array(df)], names=["word", "df"])
+        parts.append(pa.table([coded.dictionary, pa.array(df)], names=["word", "df"]))
+        fresh += len(df)
+        if fresh >= JOINED:
+            parts, fresh = [joined(parts)], 0
+            if parts[0].num_rows >= JOINED:
+                yield from parts.pop().to_batches(max_chunksize=50_000)
+    if parts:
+        yield from joined(parts).to_batches(max_chunksize=50_000)
 
 
 def _counted(words: tuple[str, ...]):
@@ -84,35 +95,53 @@ def _weighted(batch: pa.RecordBatch, rarity: np.ndarray):
     return row, word, weight / np.maximum(size, 1e-9)[row]
 
 
+def _weighing(rarity: np.ndarray):
+    """Counted texts with the weights of their words as packed numbers in place of the counts."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                row, _, weight = _weighted(batch, rarity)
+                data, ends = weight.tobytes(), np.cumsum(np.bincount(row, minlength=batch.num_rows)) * 8
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("d"), batch.column("words"),
+                     pa.array([data[a:b] for a, b in zip([0, *ends], ends)], pa.binary())],
+                    names=["d", "words", "weights"])
+    return run
+
+
+def _read(batch: pa.RecordBatch):
+    """(row, word, weight) of a batch of weighed texts."""
+    words, weights = batch.column("words").to_pylist(), batch.column("weights").to_pylist()
+    row = np.repeat(np.arange(len(words)), [len(w) // 2 for w in words])
+    return row, np.frombuffer(b"".join(words), np.uint16).astype(np.int64), np.frombuffer(b"".join(weights))
+
+
 def _likeness(row, word, weight, n: int, centres: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(row, weight * c[word], minlength=n) for c in centres], axis=1)
 
 
-def _least_like(counted: DataFrame, centres: np.ndarray, rarity: np.ndarray):
+def _least_like(weighed: DataFrame, centres: np.ndarray):
     """The text least like the centres that it is most like, the smallest d of several."""
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                own = _weighted(batch, rarity)
+                own = _read(batch)
                 near = _likeness(*own, batch.num_rows, centres).max(axis=1)
                 d = batch.column("d").to_numpy()
                 best = np.lexsort((d, near))[:1]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(near[best]), *(batch.column(c).take(pa.array(best)) for c in ("d", "words", "counts"))],
-                    names=["near", "d", "words", "counts"])
-    return counted.mapInArrow(run, "near double, d bigint, words binary, counts binary").orderBy("near", "d").first()
+                    [pa.array(near[best]), *(batch.column(c).take(pa.array(best)) for c in ("d", "words", "weights"))],
+                    names=["near", "d", "words", "weights"])
+    return weighed.mapInArrow(run, "near double, d bigint, words binary, weights binary").orderBy("near", "d").first()
 
 
-def _direction(found, rarity: np.ndarray) -> np.ndarray:
-    batch = pa.RecordBatch.from_arrays([pa.array([bytes(found[c])]) for c in ("words", "counts")],
-                                       names=["words", "counts"])
-    _, word, weight = _weighted(batch, rarity)
-    out = np.zeros(len(rarity))
-    out[word] = weight
+def _direction(found, size: int) -> np.ndarray:
+    out = np.zeros(size)
+    out[np.frombuffer(bytes(found["words"]), np.uint16)] = np.frombuffer(bytes(found["weights"]))
     return out
 
 
-def _sums(counted: DataFrame, middle: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sums(weighed: DataFrame, middle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The summed directions of the texts nearest to each centre, and their numbers. Every task sends the sums
     of its centres and words; what reaches the driver is one number per centre and word."""
     k, v = middle.shape
@@ -121,7 +150,7 @@ def _sums(counted: DataFrame, middle: np.ndarray, rarity: np.ndarray) -> tuple[n
         total, texts = np.zeros(k * v, np.int64), np.zeros(k, np.int64)
         for batch in batches:
             if batch.num_rows:
-                row, word, weight = _weighted(batch, rarity)
+                row, word, weight = _read(batch)
                 mine = _likeness(row, word, weight, batch.num_rows, middle).argmax(axis=1)
                 total += np.bincount(mine[row] * v + word, np.rint(weight * UNIT), minlength=k * v).astype(np.int64)
                 texts += np.bincount(mine, minlength=k)
@@ -129,7 +158,7 @@ def _sums(counted: DataFrame, middle: np.ndarray, rarity: np.ndarray) -> tuple[n
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((at, np.arange(k * v, k * v + k)))),
              pa.array(np.concatenate((total[at], texts)))], names=["at", "n"])
-    found = (counted.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
+    found = (weighed.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros(k * v + k)
     out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(float)
     return out[:k * v].reshape(k, v) / UNIT, out[k * v:]
@@ -139,12 +168,23 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """(d, text, copies): the documents. Only rows that repeat an id and text are grouped; while these are few
+    the others are not shuffled."""
+    spark = docs.sparkSession
+    rows = docs.select(F.xxhash64("doc_id", filled_text()).alias("d"), filled_text().cast("string").alias("text"))
+    repeated = staged(spark, rows.groupBy("d").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "repeated")
+    again = staged(spark, rows.join(repeated.select("d"), "d", "left_semi").groupBy("d").agg(
+        F.min("text").alias("text"), F.count(F.lit(1)).alias("copies")), "repeated_texts")
+    return rows.join(repeated.select("d"), "d", "left_anti").withColumn(
+        "copies", F.lit(1).cast("bigint")).unionByName(again)
+
+
 def fit(docs: DataFrame, topics: int = TOPICS) -> TopicModel:
     """The word clusters of `docs`. Every document takes part in the counts and in each round; what reaches the
     driver is bounded by TOPICS centres of VOCABULARY words."""
     spark = docs.sparkSession
-    texts = (docs.select(F.xxhash64("doc_id", filled_text()).alias("d"), filled_text().cast("string").alias("text"))
-             .groupBy("d").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    texts = _documents(docs)
     known = (texts.mapInArrow(_spread, "word string, df bigint").groupBy("word").agg(F.sum("df").alias("df"))
              .filter("df > 1").orderBy(F.desc("df"), "word").limit(VOCABULARY).toPandas())
     if known.empty:
@@ -152,16 +192,18 @@ def fit(docs: DataFrame, topics: int = TOPICS) -> TopicModel:
     words = tuple(known["word"])
     counted = staged(spark, texts.mapInArrow(_counted(words), "d bigint, words binary, counts binary"), "word_counts")
     rarity = np.log(1 + counted.count() / known["df"].to_numpy(float))
+    weighed = staged(spark, counted.mapInArrow(
+        _weighing(rarity), "d bigint, words binary, weights binary"), "word_weights")
     # First centres: each the document least like those already taken.
-    centres = [_direction(counted.orderBy("d").first(), rarity)]
+    centres = [_direction(weighed.orderBy("d").first(), len(words))]
     while len(centres) < topics:
-        found = _least_like(counted, np.stack(centres), rarity)
+        found = _least_like(weighed, np.stack(centres))
         if found["near"] > 1 - 1e-9:        # all documents are taken
             break
-        centres.append(_direction(found, rarity))
+        centres.append(_direction(found, len(words)))
     middle = np.stack(centres)
     for _ in range(ROUNDS):
-        sums, texts_of = _sums(counted, middle, rarity)
+        sums, texts_of = _sums(weighed, middle)
         moved = _unit(np.where(texts_of[:, None] > 0, sums, middle))
         if np.allclose(moved, middle, atol=1e-5):
             break

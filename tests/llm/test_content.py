@@ -371,6 +371,18 @@ def test_goals_keep_small_values_whole(spark):
     assert got == pytest.approx({"a": 10.0, "b": 440.0, "c": 50.0})
 
 
+def test_word_clusters_count_rows_that_repeat_an_id_and_text_as_one_document(spark):
+    rows = [(1, "a b a"), (1, "a b a"), (2, "a b a"), (None, "b c"), (None, "b c"), (None, "b c"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = topics._documents(docs)
+    assert sorted((r.text, r.copies) for r in found.collect()) == [
+        ("", 1), ("", 1), ("a b a", 1), ("a b a", 2), ("b c", 3)]
+    spread = found.mapInArrow(topics._spread, "word string, df bigint").groupBy("word").sum("df")
+    assert {tuple(r) for r in spread.collect()} == {("a", 2), ("b", 3), ("c", 1)}
+    plan = found.filter("copies = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(d" not in plan      # texts that come once are not shuffled
+
+
 def test_expected_tokens_have_the_target_shares(spark):
     rows = mixing.mix(spark.read.parquet(f"{DATA}/documents.parquet"), rate=0.3).cache()
     have = rows.groupBy("lang").agg(F.sum(F.col("tokens") * F.col("probability")).alias("e"),
