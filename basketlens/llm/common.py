@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,14 +35,28 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [PACKAGE_ROOT])
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFrame:
     """Write `df` under the shared checkpoint folder and read it back: later steps
-    start from files that every executor sees, also after one is lost."""
+    start from files that every executor sees, also after one is lost. `options` are the writer's."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """What is written here leaves no shuffle files; else they stay until the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 def filled_text(column: str = "text"):
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import filled_text, staged
+from .common import filled_text, shuffles_removed, staged
 from .divergence import slices
 from .shingles import mix, shingles, word_hashes, word_hashes_of
 
@@ -140,8 +140,14 @@ def placed(y: np.ndarray):
     """The distinct tokens of y and their places, and its windows: values, first, counts, places,
     sorted window hashes."""
     places = np.argsort(y, kind="stable")
-    values, first, counts = np.unique(y[places], return_index=True, return_counts=True)
-    return values, first, counts, places, np.sort(window_hashes(y)) if len(y) >= WIDTH else None
+    values = y[places]
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[:len(y)])
+    return values[first], first, np.diff(first, append=len(y)), places, np.sort(window_hashes(y)) if len(y) >= WIDTH else None
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))[:len(values)]]
 
 
 def _holding(places: np.ndarray, many: int, at: int, stop: int) -> np.ndarray:
@@ -185,8 +191,7 @@ def _mark(alike: np.ndarray, possible: np.ndarray, here: np.ndarray, shift: np.n
             continue
         asked = asked & _holding(here[first:last], SAME_SHIFT, begin, end)
         own = here[low:high]
-        own = np.sort(own[(own >= begin) & (own < end)])
-        own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+        own = _distinct(own[(own >= begin) & (own < end)])
         if len(own) >= COMMON and asked.any():
             asked &= _holding(own, COMMON, begin, end)
             alike[part] |= asked
@@ -198,7 +203,7 @@ def _in_dense_bands(here: np.ndarray, shift: np.ndarray) -> np.ndarray:
     ones. Bands begin at each multiple of DRIFT, so that one of them holds any shift's drift."""
     band = (shift - shift.min()) // DRIFT + 2
     wide = int(here.max()) + WIDTH + 1
-    keys = np.unique(np.concatenate([(band - k) * wide + here for k in range(3)]))
+    keys = _distinct(np.concatenate([(band - k) * wide + here for k in range(3)]))
     many = COMMON - 1
     dense = np.zeros(int(band.max()) + 1, dtype=bool)
     dense[keys[:-many][keys[many:] - keys[:-many] < WIDTH] // wide] = True
@@ -359,7 +364,7 @@ def _rows(batches):
     def other(text):
         nonlocal size
         if text not in known:
-            y = next(_token_lists(pa.array([text])), np.empty(0, np.uint64))
+            y = _tokens(text)
             size += len(y)
             if size > CACHE_TOKENS:
                 known.clear()
@@ -519,7 +524,7 @@ def _tokens_of_members(batches):
                 batch.column(0).to_pylist(), _signed_lists(batch.column(1)), batch.column(2)):
             here = np.isin(own, signs.values.to_numpy().view(np.uint64))
             if here.any():
-                tokens = np.unique(x[_in_ranges(starts[here], stops[here] + WIDTH - 1, len(x))])
+                tokens = _distinct(x[_in_ranges(starts[here], stops[here] + WIDTH - 1, len(x))])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(tokens.view(np.int64)), pa.array(np.full(len(tokens), doc_id))],
                     names=["token", "doc_id"])
@@ -574,11 +579,17 @@ def _taken(batches):
                  pa.array(flag[new])], names=["key", "doc_id", "start", "stop", "larger"])
 
 
+def _staged(spark, df: DataFrame, name: str) -> DataFrame:
+    """`staged` with little disk: the shuffle files of one step are gone before the next begins."""
+    with shuffles_removed(spark):
+        return staged(spark, df, name, compression="zstd")
+
+
 def _partners(members: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
     """Rows of members whose key several documents have (or all, with `how` left), with the smallest of these
     (the smallest one with the largest) as other_id, and `several` if the key has more than two rows. The
     groups are written first, so that the join can split a key that many rows have."""
-    groups = staged(members.sparkSession, members.groupBy(key).agg(
+    groups = _staged(members.sparkSession, members.groupBy(key).agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         (F.count(F.lit(1)) > 2).alias("several")).filter("low < high"), name)
     return members.join(groups, key, how).withColumn(
@@ -598,17 +609,17 @@ def _met(windows: DataFrame, members: DataFrame, texts: DataFrame):
     """The passages of open windows (doc_id, windows) with any of the members (doc_id, sigs) of their
     signatures."""
     spark = texts.sparkSession
-    tokens = staged(spark, texts.join(members, "doc_id").select("doc_id", "text", "sigs").mapInArrow(
+    tokens = _staged(spark, texts.join(members, "doc_id").select("doc_id", "text", "sigs").mapInArrow(
         _member_tokens, "token bigint, doc_id bigint"), "member_tokens")
     shared = tokens.groupBy("token").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         F.count(F.lit(1)).alias("members")).filter("low < high").select("token", "members")
-    of_document = tokens.join(staged(spark, shared, "shared_tokens"), "token").groupBy("doc_id").agg(
+    of_document = tokens.join(_staged(spark, shared, "shared_tokens"), "token").groupBy("doc_id").agg(
         F.collect_list(F.struct("token", "members")).alias("tokens"))
-    left = staged(spark, texts.join(windows, "doc_id").join(of_document, "doc_id").select(
+    left = _staged(spark, texts.join(windows, "doc_id").join(of_document, "doc_id").select(
         "doc_id", "text", "windows", "tokens").mapInArrow(
         _probes, "key bigint, doc_id bigint, start int, stop int, larger boolean"), "rare_tokens")
-    met = staged(spark, tokens.withColumnRenamed("token", "key").join(
+    met = _staged(spark, tokens.withColumnRenamed("token", "key").join(
         left.select("key").distinct(), "key", "left_semi").distinct().select(
         "key", F.col("doc_id").alias("other_id"), F.row_number().over(
             Window.partitionBy("key").orderBy("doc_id")).alias("nth")), "rare_members")
@@ -617,7 +628,7 @@ def _met(windows: DataFrame, members: DataFrame, texts: DataFrame):
         pairs = left.join(met.filter(F.col("nth").between(first, behind - 1)), "key").filter(
             "other_id <> doc_id AND (other_id < doc_id OR NOT larger)").groupBy("doc_id", "other_id").agg(
             F.collect_list(F.struct("key", "start", "stop", "larger")).alias("places"))
-        checked = staged(spark, _compared(pairs, texts, _verify_again), "passages_met")
+        checked = _staged(spark, _compared(pairs, texts, _verify_again), "passages_met")
         yield checked.filter(F.col("kind") == SPAN)
         left = checked.filter(F.col("kind") == TOKEN).select(
             "key", "doc_id", F.col("start").cast("int").alias("start"),
@@ -639,14 +650,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                          filled_text().cast("string").alias("text")).filter("doc_id IS NOT NULL"))
-    rows = staged(spark, texts.mapInArrow(_signature_rows, "sig bigint, doc_id bigint"), "signatures")
-    pairs = staged(spark, _partners(rows, "sig", "passage_groups").groupBy("doc_id", "other_id").agg(
+    rows = _staged(spark, texts.mapInArrow(_signature_rows, "sig bigint, doc_id bigint"), "signatures")
+    pairs = _staged(spark, _partners(rows, "sig", "passage_groups").groupBy("doc_id", "other_id").agg(
         F.collect_list(F.struct("sig", "several")).alias("places")), "passage_pairs")
     # every partner is a member too; the hint keeps this join alike at every size
-    texts = staged(spark, texts.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id",
+    texts = _staged(spark, texts.join(pairs.select("doc_id").distinct().hint("merge"), "doc_id",
                                      "left_semi"), "passage_texts")
-    checked = staged(spark, _compared(pairs, texts, _verify), "passages_checked")
-    again = staged(spark, _partners(
+    checked = _staged(spark, _compared(pairs, texts, _verify), "passages_checked")
+    again = _staged(spark, _partners(
         checked.filter(F.col("kind") == WINDOW).select("doc_id", "start", "key", "larger"), "key",
         "passage_keys", "left"), "passages_open")
     equal = again.filter("low IS NOT NULL").select(

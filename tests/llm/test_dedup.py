@@ -1,4 +1,6 @@
+import glob
 import hashlib
+import os
 import random
 from collections import defaultdict
 
@@ -8,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from basketlens.llm import exact_dedup, graph, near_dedup, substring_dedup
+from basketlens.llm import common, exact_dedup, graph, near_dedup, substring_dedup
 from basketlens.llm.shingles import shingle_set, words
 
 from .helpers import DOC_SCHEMA, WORDS, doc_rows, docs, no_docs, prose, tuples
@@ -353,6 +355,20 @@ def test_signatures_of_several_documents_are_those_of_each():
     assert got == sorted(want)
 
 
+def test_steps_of_substring_dedup_leave_no_shuffle_files(spark):
+    folder = os.environ.get("SPARK_LOCAL_DIRS") or spark.sparkContext.getConf().get("spark.local.dir", "/tmp")
+
+    def files():
+        return {f for d in folder.split(",") for f in glob.glob(f"{d}/blockmgr-*/*/shuffle_*")}
+    passage = prose(random.Random(8), 60)
+    rows = spark.createDataFrame([(i, f"{prose(random.Random(i), 20)} {passage}") for i in range(6)], "doc_id long, text string")
+    before, setting = files(), spark.conf.get(common.CLEANUP, None)
+    found = substring_dedup.repeated_passages(rows)
+    assert not files() - before
+    assert spark.conf.get(common.CLEANUP, None) == setting
+    assert found.count() == 6
+
+
 def test_substring_dedup_of_an_empty_table(spark):
     assert substring_dedup.repeated_passages(no_docs(spark)).count() == 0
 
