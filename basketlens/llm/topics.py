@@ -3,9 +3,9 @@
 The model is fitted on every document (rows alike in id and text are one document, their words counted
 together): the VOCABULARY most widespread words, weighted by rarity, give each document a direction;
 spherical k-means finds TOPICS centres, and every word joins the centre where it is most over-represented.
-A text's topic is the cluster with the largest summed word weight. The weights of the documents' words are written
-once and read by each round; a round's sums are added as integers, so that they do not depend on how the
-rows lie in tasks.
+A text's topic is the cluster with the largest summed word weight. The counts of the documents' words are written
+once, many texts packed in a row, and read by each round; a round's sums are added as integers, so that they do
+not depend on how the rows lie in tasks.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ from .divergence import slices
 VOCABULARY, TOPICS, ROUNDS = 4_096, 8, 25
 UNIT = 1 << 30      # a weight of 1 in the sums of a round
 JOINED = 400_000    # sets memory and speed only
+#: The factor of a word for its count in a text; larger counts are not looked up.
+LOGS = 1 + np.log(np.maximum(np.arange(1 << 8), 1))
+#: Rows of packed texts are large, so fewer of them are read together.
+PACKED = {"parquet.block.size": str(16 << 20)}
 EMPTY, NONE = "empty", "none"
 
 
@@ -42,6 +46,14 @@ def _split(texts: pa.Array):
     return row[full.to_numpy(zero_copy_only=False)], word.filter(full)
 
 
+def _distinct(keys: np.ndarray):
+    """The distinct keys in order, and where each begins among the sorted ones, with the number of keys at the
+    end."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[:len(keys)])
+    return keys[first], np.append(first, len(keys))
+
+
 def _spread(batches):
     """(word, df): in how many of some texts a word is. Slices are joined up to JOINED words."""
     def joined(parts):
@@ -50,7 +62,7 @@ def _spread(batches):
     for batch in slices(batches):
         row, word = _split(batch.column("text"))
         coded = word.dictionary_encode()
-        own = np.unique(row * max(len(coded.dictionary), 1) + coded.indices.to_numpy())
+        own, _ = _distinct(row * max(len(coded.dictionary), 1) + coded.indices.to_numpy())
         df = np.bincount(own % max(len(coded.dictionary), 1), minlength=len(coded.dictionary))
         parts.append(pa.table([coded.dictionary, pa.array(df)], names=["word", "df"]))
         fresh += len(df)
@@ -63,76 +75,65 @@ def _spread(batches):
 
 
 def _counted(words: tuple[str, ...]):
-    """d and the known words of each text with their counts, as packed numbers; texts without one are left
-    out."""
+    """The known words of the texts with their counts. A row has the texts of a slice as packed numbers: d and
+    the number of words of each, and their words and counts one text after another; texts without a known word
+    are left out."""
     def run(batches):
         known = pa.array(words, pa.string())
         for batch in slices(batches):
             row, word = _split(batch.column("text"))
             at = pc.fill_null(pc.index_in(word, value_set=known), -1).to_numpy()
-            own, n = np.unique(row[at >= 0] * len(words) + at[at >= 0], return_counts=True)
-            n = n * batch.column("copies").to_numpy()[own // len(words)]
-            rows, first = np.unique(own // len(words), return_index=True)
-            ends = np.append(first, len(own))
-
-            def packed(values, kind):
-                data = values.astype(kind).tobytes()
-                size = np.dtype(kind).itemsize
-                return pa.array([data[a * size:b * size] for a, b in zip(ends, ends[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("d").take(pa.array(rows)), packed(own % len(words), np.uint16), packed(n, np.uint32)],
-                names=["d", "words", "counts"])
+            own, first = _distinct(row[at >= 0] * len(words) + at[at >= 0])
+            if not len(own):
+                continue
+            row = own // len(words)
+            n = np.diff(first) * batch.column("copies").to_numpy()[row]
+            texts, first = _distinct(row)
+            d = batch.column("d").to_numpy()[texts]
+            packed = (d, np.diff(first), (own % len(words)).astype(np.uint16),
+                      n.astype(np.uint8 if n.max() < len(LOGS) else np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in packed],
+                                             names=["d", "sizes", "words", "counts"])
     return run
 
 
-def _weighted(batch: pa.RecordBatch, rarity: np.ndarray):
-    """(row, word, weight) of a batch of counted texts; the weights of a text are a unit vector."""
-    words, counts = batch.column("words").to_pylist(), batch.column("counts").to_pylist()
-    row = np.repeat(np.arange(len(words)), [len(w) // 2 for w in words])
-    word = np.frombuffer(b"".join(words), np.uint16).astype(np.int64)
-    weight = (1 + np.log(np.frombuffer(b"".join(counts), np.uint32))) * rarity[word]
-    size = np.sqrt(np.bincount(row, weight * weight, minlength=len(words)))
-    return row, word, weight / np.maximum(size, 1e-9)[row]
-
-
-def _weighing(rarity: np.ndarray):
-    """Counted texts with the weights of their words as packed numbers in place of the counts."""
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                row, _, weight = _weighted(batch, rarity)
-                data, ends = weight.tobytes(), np.cumsum(np.bincount(row, minlength=batch.num_rows)) * 8
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("d"), batch.column("words"),
-                     pa.array([data[a:b] for a, b in zip([0, *ends], ends)], pa.binary())],
-                    names=["d", "words", "weights"])
-    return run
-
-
-def _read(batch: pa.RecordBatch):
-    """(row, word, weight) of a batch of weighed texts."""
-    words, weights = batch.column("words").to_pylist(), batch.column("weights").to_pylist()
-    row = np.repeat(np.arange(len(words)), [len(w) // 2 for w in words])
-    return row, np.frombuffer(b"".join(words), np.uint16).astype(np.int64), np.frombuffer(b"".join(weights))
-
-
-def _likeness(row, word, weight, n: int, centres: np.ndarray) -> np.ndarray:
-    return np.stack([np.bincount(row, weight * c[word], minlength=n) for c in centres], axis=1)
+def _weighed(batches, rarity: np.ndarray):
+    """(d, ends, words, weights) of each row of _counted; a text's words end at its end, and their weights
+    are a unit vector."""
+    for batch in batches:
+        for d, sizes, words, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            sizes, words = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint16)
+            weight = (LOGS[np.frombuffer(counts, np.uint8)] if len(counts) == len(words)
+                      else 1 + np.log(np.frombuffer(counts, np.int64))) * rarity[words]
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            length = np.sqrt(np.bincount(row, weight * weight, minlength=len(sizes)))
+            yield np.frombuffer(d, np.int64), np.cumsum(sizes), words, weight / np.maximum(length, 1e-9)[row]
+
+
+def _likeness(ends: np.ndarray, words: np.ndarray, weights: np.ndarray, across: np.ndarray) -> np.ndarray:
+    """Of each text with each centre; `across` has a row for each word."""
+    out, at = np.empty((len(ends), across.shape[1])), 0
+    for i, end in enumerate(ends.tolist()):
+        np.dot(weights[at:end], across[words[at:end]], out=out[i])
+        at = end
+    return out
 
 
-def _least_like(weighed: DataFrame, centres: np.ndarray):
+def _least_like(counted: DataFrame, rarity: np.ndarray, centres: np.ndarray):
     """The text least like the centres that it is most like, the smallest d of several."""
+    across = np.ascontiguousarray(centres.T)
+
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                own = _read(batch)
-                near = _likeness(*own, batch.num_rows, centres).max(axis=1)
-                d = batch.column("d").to_numpy()
-                best = np.lexsort((d, near))[:1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(near[best]), *(batch.column(c).take(pa.array(best)) for c in ("d", "words", "weights"))],
-                    names=["near", "d", "words", "weights"])
-    return weighed.mapInArrow(run, "near double, d bigint, words binary, weights binary").orderBy("near", "d").first()
+        best = None
+        for d, ends, words, weights in _weighed(batches, rarity):
+            near = _likeness(ends, words, weights, across).max(axis=1)
+            i = np.lexsort((d, near))[0]
+            if best is None or (near[i], d[i]) < best[:2]:
+                own = slice(ends[i - 1] if i else 0, ends[i])
+                best = near[i], d[i], words[own].tobytes(), weights[own].tobytes()
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in best], names=["near", "d", "words", "weights"])
+    return counted.mapInArrow(run, "near double, d bigint, words binary, weights binary").orderBy("near", "d").first()
 
 
 def _direction(found, size: int) -> np.ndarray:
@@ -141,24 +142,24 @@ def _direction(found, size: int) -> np.ndarray:
     return out
 
 
-def _sums(weighed: DataFrame, middle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sums(counted: DataFrame, rarity: np.ndarray, middle: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The summed directions of the texts nearest to each centre, and their numbers. Every task sends the sums
     of its centres and words; what reaches the driver is one number per centre and word."""
     k, v = middle.shape
+    across = np.ascontiguousarray(middle.T)
 
     def run(batches):
         total, texts = np.zeros(k * v, np.int64), np.zeros(k, np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                row, word, weight = _read(batch)
-                mine = _likeness(row, word, weight, batch.num_rows, middle).argmax(axis=1)
-                total += np.bincount(mine[row] * v + word, np.rint(weight * UNIT), minlength=k * v).astype(np.int64)
-                texts += np.bincount(mine, minlength=k)
+        for d, ends, words, weights in _weighed(batches, rarity):
+            mine = _likeness(ends, words, weights, across).argmax(axis=1)
+            at = np.repeat(mine * v, np.diff(ends, prepend=0)) + words
+            total += np.bincount(at, np.rint(weights * UNIT), minlength=k * v).astype(np.int64)
+            texts += np.bincount(mine, minlength=k)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((at, np.arange(k * v, k * v + k)))),
              pa.array(np.concatenate((total[at], texts)))], names=["at", "n"])
-    found = (weighed.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
+    found = (counted.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros(k * v + k)
     out[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(float)
     return out[:k * v].reshape(k, v) / UNIT, out[k * v:]
@@ -190,20 +191,20 @@ def fit(docs: DataFrame, topics: int = TOPICS) -> TopicModel:
     if known.empty:
         return TopicModel((), (), ())
     words = tuple(known["word"])
-    counted = staged(spark, texts.mapInArrow(_counted(words), "d bigint, words binary, counts binary"), "word_counts")
-    rarity = np.log(1 + counted.count() / known["df"].to_numpy(float))
-    weighed = staged(spark, counted.mapInArrow(
-        _weighing(rarity), "d bigint, words binary, weights binary"), "word_weights")
-    # First centres: each the document least like those already taken.
-    centres = [_direction(weighed.orderBy("d").first(), len(words))]
+    counted = staged(spark, texts.mapInArrow(_counted(words), "d binary, sizes binary, words binary, counts binary"),
+                     "word_counts", **PACKED)
+    texts_of = counted.agg(F.sum(F.length("d")) / 8).first()[0]
+    rarity = np.log(1 + texts_of / known["df"].to_numpy(float))
+    # First centres: each the document least like those already taken, the one of the smallest d first.
+    centres = [_direction(_least_like(counted, rarity, np.zeros((1, len(words)))), len(words))]
     while len(centres) < topics:
-        found = _least_like(weighed, np.stack(centres))
+        found = _least_like(counted, rarity, np.stack(centres))
         if found["near"] > 1 - 1e-9:        # all documents are taken
             break
         centres.append(_direction(found, len(words)))
     middle = np.stack(centres)
     for _ in range(ROUNDS):
-        sums, texts_of = _sums(weighed, middle)
+        sums, texts_of = _sums(counted, rarity, middle)
         moved = _unit(np.where(texts_of[:, None] > 0, sums, middle))
         if np.allclose(moved, middle, atol=1e-5):
             break

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from basketlens.llm import chat, mixing, pii, pii_examples, queries, topics, toxicity
@@ -440,6 +441,21 @@ def test_topics_follow_the_words(spark):
     assert got[90] == "empty" and got[91] == "none"
 
 
+def test_counts_of_many_texts_share_a_row(spark):
+    texts = ["a b a", "", "c", "q", "b " * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts), pa.array([1, 1, 2, 1, 1])],
+                                       names=["d", "text", "copies"])
+    for some in ([batch], [batch.slice(0, 3), batch.slice(3)]):
+        rows = list(topics._counted(("a", "b", "c"))(some))
+        assert [r.num_rows for r in rows] == [1] * len(some)
+        got = {}
+        for d, ends, words, weights in topics._weighed(rows, np.array([1.0, 2.0, 3.0])):
+            for i, part in enumerate(np.split(np.arange(len(words)), ends[:-1])):
+                got[int(d[i])] = dict(zip(words[part].tolist(), weights[part].tolist()))
+        a, b = 1 + math.log(2), 2.0
+        assert got == {0: pytest.approx({0: a / math.hypot(a, b), 1: b / math.hypot(a, b)}), 2: {2: 1.0}, 4: {1: 1.0}}
+
+
 def test_topics_are_fitted_on_every_document(spark):
     rows = [(i, f"alpha beta gamma w{i % 7}" + (f" rare{i // 2}" if i < 60 else "")) for i in range(3000)]
     model = topics.fit(spark.createDataFrame(rows, "doc_id long, text string"), topics=3)
