@@ -26,6 +26,7 @@ UNIT = 1 << 30      # a weight of 1 in the sums of a round
 JOINED = 400_000    # sets memory and speed only
 #: The factor of a word for its count in a text; larger counts are not looked up.
 LOGS = 1 + np.log(np.maximum(np.arange(1 << 8), 1))
+PACK = 1 << 16      # sets memory and speed only
 #: Rows of packed texts are large, so fewer of them are read together.
 PACKED = {"parquet.block.size": str(16 << 20)}
 EMPTY, NONE = "empty", "none"
@@ -75,9 +76,9 @@ def _spread(batches):
 
 
 def _counted(words: tuple[str, ...]):
-    """The known words of the texts with their counts. A row has the texts of a slice as packed numbers: d and
-    the number of words of each, and their words and counts one text after another; texts without a known word
-    are left out."""
+    """The known words of the texts with their counts. A row has texts with about PACK words as packed numbers: d
+    and the number of words of each, and their words and counts one text after another; texts without a known
+    word are left out."""
     def run(batches):
         known = pa.array(words, pa.string())
         for batch in slices(batches):
@@ -89,10 +90,12 @@ def _counted(words: tuple[str, ...]):
             row = own // len(words)
             n = np.diff(first) * batch.column("copies").to_numpy()[row]
             texts, first = _distinct(row)
-            d = batch.column("d").to_numpy()[texts]
-            packed = (d, np.diff(first), (own % len(words)).astype(np.uint16),
-                      n.astype(np.uint8 if n.max() < len(LOGS) else np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in packed],
+            d, sizes, own = batch.column("d").to_numpy()[texts], np.diff(first), (own % len(words)).astype(np.uint16)
+            n = n.astype(np.uint8 if n.max() < len(LOGS) else np.int64)
+            cuts = np.flatnonzero(np.diff(first[1:] // PACK)) + 1
+            parts = [(d[a:b], sizes[a:b], own[first[a]:first[b]], n[first[a]:first[b]])
+                     for a, b in zip([0, *cuts], [*cuts, len(d)])]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in c], pa.binary()) for c in zip(*parts)],
                                              names=["d", "sizes", "words", "counts"])
     return run
 
